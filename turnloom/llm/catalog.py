@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from turnloom.llm import lookalike, overlap
+from turnloom.llm import chunking, grouped_split, lookalike, overlap, turns
 from turnloom.registry import Query
 
-MODULES = (lookalike, overlap)
+MODULES = (overlap, turns, chunking, lookalike, grouped_split)
 
 
 def queries() -> dict[str, Query]:
