@@ -103,7 +103,7 @@ def split_oversized(rows: DataFrame, text: str, limit: str, overlap: str) -> Dat
     keep = [c for c in rows.columns if c not in (text, limit, overlap)]
     over = rows.where(F.length(text) > F.col(limit)).select(*keep, text, limit, overlap)
     schema = over.select(*keep).schema
-    for name, kind in (("piece_no", "int"), ("start", "int"), ("end", "int"), ("piece", "string")):
+    for name, kind in (("piece_no", "integer"), ("start", "integer"), ("end", "integer"), ("piece", "string")):
         schema = schema.add(name, kind)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -102,7 +102,7 @@ def ordered_lines(lines: DataFrame) -> DataFrame:
     is not after its own, and one without either comes last.
     """
     once = lines.repartition("conversation_id").dropDuplicates(["conversation_id", "line_id"])
-    raw = F.regexp_replace(F.coalesce("text_raw", F.lit("")), "[ ​﻿]", " ")
+    raw = F.regexp_replace(F.coalesce("text_raw", F.lit("")), r"[\x{A0}\x{200B}\x{FEFF}]", " ")
     clock = F.coalesce(F.nullif(F.regexp_extract(raw, TIME, 1), F.lit("")), F.nullif(F.regexp_extract(raw, TIME, 2), F.lit("")))
     rest = without_time(raw)
     told = F.nullif(F.trim("speaker"), F.lit(""))
