@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from turnloom.llm import chunking, grouped_split, lookalike, overlap, tokens, turns
+from turnloom.llm import chunking, grouped_split, lookalike, overlap, packing, tokens, turns
 from turnloom.registry import Query
 
-MODULES = (overlap, turns, chunking, lookalike, grouped_split, tokens)
+MODULES = (overlap, turns, chunking, lookalike, grouped_split, tokens, packing)
 
 
 def queries() -> dict[str, Query]:
