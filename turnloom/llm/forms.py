@@ -64,7 +64,6 @@ HIDDEN = "͏ᅟᅠ឴឵ㅤﾠ⠀"
 SCRIPTS = ("Latin", "Cyrillic", "Greek")
 _SCRIPT = {s: regex.compile(rf"\p{{{s}}}") for s in SCRIPTS}
 _WORD = regex.compile(r"[\p{Latin}\p{Cyrillic}\p{Greek}][\p{Latin}\p{Cyrillic}\p{Greek}\p{M}]*")
-_LATIN, _OTHER = regex.compile(r"\p{Latin}"), regex.compile(r"[\p{Cyrillic}\p{Greek}]")
 _EMOJI = regex.compile(r"\p{Extended_Pictographic}")
 
 
@@ -99,6 +98,9 @@ class Classes:
         return out
 
 
+MARKS = frozenset(chr(p) for p in range(0x300, 0x20000) if unicodedata.category(chr(p))[0] == "M")
+
+
 def invisible(ch: str) -> bool:
     """Format characters and fillers; controls other than tab and line ends."""
     kind = unicodedata.category(ch)
@@ -186,12 +188,10 @@ class Forms:
         singles = sorted(x for x in self.rewrite if len(x) == 1)
         #: A character class that every text to be rewritten meets, apart from letters of another script.
         self.suspects = "[\\p{M}" + "".join(f"\\x{{{ord(x):X}}}" for x in singles if not unicodedata.category(x).startswith("M")) + "]"
-        self._suspect = regex.compile("[\\p{M}" + "".join(f"\\U{ord(x):08x}" for x in singles) + "]")
+        self._suspect = MARKS.union(singles)
 
     def _settle(self, text: str) -> str:
         """Letters of another script that look like their word's own."""
-        if not (_OTHER.search(text) and (_LATIN.search(text) or (_SCRIPT["Greek"].search(text) and _SCRIPT["Cyrillic"].search(text)))):
-            return text
         words = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(text)]
         own = [Counter(s for s in map(script_of, w) if s) for _, _, w in words]
         if len({s for c in own for s in c}) < 2:
@@ -225,7 +225,8 @@ class Forms:
         """``text`` with every class member replaced by its representative."""
         if text.isascii() and text.isprintable():
             return text
-        if self._suspect.search(text):
+        chars = set(text)
+        if not chars.isdisjoint(self._suspect):
             out, at = [], 0
             for end, x in self.automaton.iter_long(text):
                 start = end + 1 - len(x)
@@ -234,4 +235,5 @@ class Forms:
                 out += [text[at:start], self.rewrite[x]]
                 at = end + 1
             text = unicodedata.normalize("NFC", "".join([*out, text[at:]]))
-        return self._settle(text)
+            chars = set(text)
+        return self._settle(text) if len({script_of(c) for c in chars} - {None}) > 1 else text
