@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from turnloom.llm import chunking, grouped_split, langid, lookalike, overlap, packing, tokens, turns
+from turnloom.llm import chunking, grouped_split, langid, lookalike, overlap, packing, quality, tokens, turns
 from turnloom.registry import Query
 
-MODULES = (overlap, turns, chunking, langid, lookalike, grouped_split, tokens, packing)
+MODULES = (overlap, turns, chunking, langid, lookalike, grouped_split, tokens, packing, quality)
 
 
 def queries() -> dict[str, Query]:
