@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from turnloom.plans import speech_intervals
+from turnloom.plans import speech_intervals, text
 from turnloom.registry import Query
 
-MODULES = (speech_intervals,)
+MODULES = (speech_intervals, text)
 
 
 def queries() -> dict[str, Query]:

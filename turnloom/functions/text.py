@@ -1,0 +1,178 @@
+"""Text functions over columns: cleaning, peeling, splitting and counting.
+
+All are built-in expressions.  A blank is a blank of Unicode, and letters are
+letters of any script.  Null in, null out, unless a function says otherwise.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Character classes and vocabularies shared with the SQL formulations.
+BLANK = r"[\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+ROLE = r"(?:user|assistant|ai|human|system|speaker\s*\d+|bot|agent)"
+INDEX = r"(?:\d+\s*[.):\]]|[-*#•]\s)"
+ROLE_PREFIX = rf"^\s*{ROLE}\s*[:\-—–]\s*"
+FULL_PREFIX = rf"^\s*(?:{INDEX}\s*)?(?:{ROLE}\s*[:\-—–]\s*)?"
+BAD_START = rf"^\s*(?:{INDEX}\s*)?{ROLE}\s*[:\-—–]"
+QUOTED = r"^[\"'“‘`]((?s:.*))[\"'”’`]$"
+HESITATIONS = ("um", "uh", "umm", "uhh", "hm", "hmm", "huh", "ưm", "à", "ừ", "ơ", "ơi", "hử", "chà", "á", "ú")
+STOP = r"[.,?!;]+$"
+TAKE_FLOOR, BACKCHANNEL, PAUSE = "[TAKE_FLOOR]", "[BACKCHANNEL]", "[PAUSE]"
+TAGS = ("laughter", "sigh", "confirmation-en", "question-en", "question-ah", "question-oh", "question-ei", "question-yi", "surprise-ah", "surprise-oh", "surprise-wa", "surprise-yo", "dissatisfaction-hnn")
+TAG = r"\[(?:" + "|".join(TAGS) + r")\]"
+STAGE = (
+    "sigh|sighs|sighing|yawn|yawns|yawning|laugh|laughs|laughing|chuckle|chuckles|cough|coughs|clears throat|clearing throat|whistle|whistles|whistling|"
+    "wink|winks|wink wink|smile|smiles|smiling|grin|grins|pause|pauses|hands receipt|three times"
+)
+WORD = r"[A-Za-zÀ-ỹ]+(?:['’\-][A-Za-zÀ-ỹ]+)*|\d+(?:\.\d+)?"
+INLINE_ROLE = r"(?:user|assistant|system)"
+
+
+def strip(x: Column) -> Column:
+    """Without blanks at either end."""
+    return F.regexp_replace(x, rf"^{BLANK}+|{BLANK}+$", "")
+
+
+def normalize_ws(x: Column) -> Column:
+    """Runs of blanks as one space, none at the ends."""
+    return F.trim(F.regexp_replace(x, rf"{BLANK}+", " "))
+
+
+def words(x: Column) -> Column:
+    """The words between blanks; a blank text has none."""
+    return F.filter(F.split(normalize_ws(x), " "), lambda w: w != "")
+
+
+def clean_word(w: Column) -> Column:
+    """A word in lower case with letters, digits and underscores only."""
+    return F.lower(F.regexp_replace(w, r"[^\p{L}\p{M}\p{N}_\s]", ""))
+
+
+def without_think(x: Column) -> Column:
+    """Without <think> blocks."""
+    return strip(F.regexp_replace(x, r"(?s)<think>.*?</think>", ""))
+
+
+def after_think(x: Column) -> Column:
+    """What follows the last </think>."""
+    return strip(F.substring_index(x, "</think>", -1))
+
+
+def sanitize_utterance(x: Column) -> Column:
+    """Without think blocks, code fences, up to four rounds of index, role and quote prefixes, and dashes.  Null gives ''."""
+    s = without_think(strip(F.coalesce(x, F.lit(""))))
+    s = strip(F.regexp_replace(s, r"^```[a-zA-Z0-9_+-]*\s*", ""))
+    s = strip(F.regexp_replace(s, r"\s*```\s*$", ""))
+    for _ in range(4):
+        for pattern in (FULL_PREFIX, ROLE_PREFIX, rf"^\s*{INDEX}\s*"):
+            s = F.regexp_replace(F.regexp_replace(s, rf"(?i){pattern}", ""), r"^\s+", "")
+        s = F.when((F.length(s) >= 2) & s.rlike(QUOTED), strip(F.regexp_replace(s, QUOTED, "$1"))).otherwise(s)
+    return normalize_ws(F.regexp_replace(s, "[—–]", ", "))
+
+
+def has_prefix(x: Column) -> Column:
+    """Whether a text still begins with a role."""
+    return F.coalesce(strip(x).rlike(rf"(?i){BAD_START}"), F.lit(False))
+
+
+def strip_tags(x: Column) -> Column:
+    """Without the known paralinguistic tags."""
+    return F.regexp_replace(x, TAG, "")
+
+
+def strip_tags_but(x: Column, keep: tuple[str, ...]) -> Column:
+    """Without bracket tags except ``keep`` and the pause."""
+    kept = "|".join([*keep, "PAUSE"])
+    return F.regexp_replace(x, rf"\[(?!(?:{kept})\])[A-Za-z0-9_\-]+\]", "")
+
+
+def dashes_to_spaces(x: Column) -> Column:
+    """Hyphens as spaces, outside bracket tags."""
+    return F.regexp_replace(x, r"-(?![A-Za-z0-9_\-]*\])", " ")
+
+
+def sentences(x: Column) -> Column:
+    """Sentences by . ? !; a text without any is one."""
+    found = F.filter(F.transform(F.split(x, r"(?<=[.?!])\s+"), strip), lambda s: s != "")
+    return F.when(F.size(found) > 0, found).otherwise(F.array(strip(x)))
+
+
+def align_words(x: Column) -> Column:
+    """The words that alignment counts."""
+    bare = F.regexp_replace(x, r"\[(?:BACKCHANNEL|TAKE_FLOOR|PAUSE|interrupted|MASK1|MASK2)\]", "")
+    return F.regexp_extract_all(strip(strip_tags(bare)), F.lit(f"({WORD})"), F.lit(1))
+
+
+def cut_at_take_floor(x: Column) -> Column:
+    """What stands before the floor token and one word after it, or three if fewer than five stand before."""
+    left, right = strip(F.substring_index(x, TAKE_FLOOR, 1)), strip(F.substring(x, F.locate(TAKE_FLOOR, x) + len(TAKE_FLOOR), F.length(x)))
+    after = F.regexp_extract_all(right, F.lit(f"({WORD})"), F.lit(1))
+    keep = F.when(F.size(F.regexp_extract_all(left, F.lit(f"({WORD})"), F.lit(1))) < 5, 3).otherwise(1)
+    kept = F.array_join(F.slice(after, F.lit(1), keep), " ")
+    return F.when(F.contains(x, F.lit(TAKE_FLOOR)), F.when(F.size(after) == 0, left).otherwise(F.trim(F.concat_ws(" ", left, kept)))).otherwise(x)
+
+
+def stage_directions(x: Column) -> Column:
+    """*sighs* and the like removed, other starred phrases without their stars."""
+    return F.regexp_replace(F.regexp_replace(x, rf"(?i)\*[ ,]*(?:{STAGE})[ ,]*\*", ""), r"\*([^*\n]{1,60})\*", "$1")
+
+
+def sanitize_text(x: Column) -> Column:
+    """One spelling of the floor token, dots as pauses, no turn marks, roles or stage directions."""
+    s = F.regexp_replace(x, r"(?i)\[TAKING_FLOOR\]", TAKE_FLOOR)
+    s = F.regexp_replace(s, r"\.\.\.|…", PAUSE)
+    s = F.regexp_replace(s, r"\[(?:User|Assistant) [Tt]urn\]", "")
+    s = F.regexp_replace(s, rf"(?i)^(?:\s*(?:\d+\)\s*)?{INLINE_ROLE}\s*:\s*)+", "")
+    return strip(F.regexp_replace(stage_directions(s), rf"{BLANK}{{2,}}", " "))
+
+
+def process_history(x: Column) -> Column:
+    """Without backchannel tokens, cut after the floor token."""
+    s = F.replace(x, F.lit(BACKCHANNEL), F.lit(""))
+    return normalize_ws(F.when(F.contains(s, F.lit(TAKE_FLOOR)), F.concat(F.substring_index(s, TAKE_FLOOR, 1), F.lit(f" {TAKE_FLOOR}"))).otherwise(s))
+
+
+def backchannel_key(x: Column) -> Column:
+    """The key of a backchannel: no punctuation at the ends, lower case."""
+    return F.lower(F.regexp_replace(x, r"^[\s.,!?\-]+|[\s.,!?\-]+$", ""))
+
+
+def safe_id(x: Column) -> Column:
+    return F.regexp_replace(x, r"[^\p{L}\p{N}_\-.]", "_")
+
+
+def safe_stem(x: Column) -> Column:
+    """A stem of file-safe characters, 'clip' if none is left."""
+    stem = F.regexp_replace(F.regexp_replace(x, r"^.*/", ""), r"(?<=.)\.[^.]*$", "")
+    s = F.regexp_replace(F.regexp_replace(stem, r"[^A-Za-z0-9._-]+", "_"), r"^[._-]+|[._-]+$", "")
+    return F.when(s == "", "clip").otherwise(s)
+
+
+def transcript_markup(x: Column) -> Column:
+    """Transcription markup off: repairs keep both sides, {F um} its words, laughter its tag."""
+    s = normalize_ws(F.regexp_replace(x, r"[\[\]+]", " "))
+    s = F.regexp_replace(s, r"\{[A-Z]\s+([^}]+)\}", "$1")
+    s = F.regexp_replace(F.regexp_replace(s, r"(?i)<\s*laughter\s*>", " [laughter] "), r"<[^>]+>", " ")
+    return F.regexp_replace(normalize_ws(F.regexp_replace(s, "#", " ")), r"^[ \-]+|[ \-]+$", "")
+
+
+def end_marker(x: Column) -> Column:
+    """'-/' or '/' at the end of a line, null if neither stands there."""
+    m = F.regexp_extract(x, r"(-?/)\s*$", 1)
+    return F.when(m != "", m)
+
+
+def uniform(*parts: Column) -> Column:
+    """A number in [0, 1) that depends on the parts only."""
+    key = F.concat_ws("|", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def first_json(x: Column, schema: str) -> Column:
+    """The text as JSON, or else its outermost {...}; null if neither parses."""
+    def read(s: Column) -> Column:
+        return F.when(F.try_parse_json(s).isNotNull(), F.from_json(s, schema))
+
+    return F.coalesce(read(x), read(F.nullif(F.regexp_extract(x, r"(?s)(\{.*\})", 1), F.lit(""))))
