@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from turnloom.plans import speech_intervals, text
+from turnloom.plans import slots, speech_intervals, text
 from turnloom.registry import Query
 
-MODULES = (speech_intervals, text)
+MODULES = (speech_intervals, text, slots)
 
 
 def queries() -> dict[str, Query]:
