@@ -141,10 +141,10 @@ def w14_first_floor_taking(spark, sf_dir):
     return t6_decisions(spark, sf_dir).where("decision = 'floor_taking'").groupBy(*KEY).agg(F.min("word_index").alias("word_index"))
 
 
-@registry.query("p11_reconstructed", SQL_FOLD + """, tok AS (SELECT x.record_id, x.turn, x.word_index, x.word || CASE f.decision WHEN 'floor_taking' THEN ' [TAKE_FLOOR]' WHEN 'backchannel' THEN ' [BACKCHANNEL]' ELSE '' END AS t
+@registry.query("proj11_reconstructed", SQL_FOLD + """, tok AS (SELECT x.record_id, x.turn, x.word_index, x.word || CASE f.decision WHEN 'floor_taking' THEN ' [TAKE_FLOOR]' WHEN 'backchannel' THEN ' [BACKCHANNEL]' ELSE '' END AS t
   FROM x LEFT JOIN fold f ON f.record_id = x.record_id AND f.turn = x.turn AND f.word_index = x.word_index)
 SELECT record_id, turn, string_agg(t, ' ' ORDER BY word_index) AS text FROM tok GROUP BY record_id, turn""")
-def p11_reconstructed(spark, sf_dir):
+def proj11_reconstructed(spark, sf_dir):
     """Turns with the tokens of their decisions put back."""
     return decided_turns(spark, sf_dir).select(*KEY, S.reconstructed(F.col("words"), F.col("decisions")).alias("text"))
 
@@ -161,22 +161,22 @@ def w1_last4_context(spark, sf_dir):
     return rows.select(*KEY, F.size("context").alias("n_context"), F.array_join(lines, "\n").alias("context"))
 
 
-@registry.query("p8_single_slots", f"WITH {SQL_W} SELECT record_id, turn, word_index, array_to_string(ws[1:word_index + 1], ' ') AS prefix FROM sa")
-def p8_single_slots(spark, sf_dir):
+@registry.query("proj8_single_slots", f"WITH {SQL_W} SELECT record_id, turn, word_index, array_to_string(ws[1:word_index + 1], ' ') AS prefix FROM sa")
+def proj8_single_slots(spark, sf_dir):
     """One row for each slot, with the turn up to it."""
     rows = turns_with_words(spark, sf_dir).select(*KEY, "words", F.explode(S.slots_a(F.col("words"))).alias("word_index"))
     return rows.select(*KEY, "word_index", F.array_join(F.slice("words", F.lit(1), F.col("word_index") + 1), " ").alias("prefix"))
 
 
-@registry.query("p12_dialogue_block", f"WITH {C.SQL_TURNS} SELECT record_id, string_agg(CAST(turn + 1 AS VARCHAR) || ') ' || coalesce(role, '?') || ': ' || coalesce(content, ''), chr(10) ORDER BY turn) AS block FROM turns GROUP BY record_id")
-def p12_dialogue_block(spark, sf_dir):
+@registry.query("proj12_dialogue_block", f"WITH {C.SQL_TURNS} SELECT record_id, string_agg(CAST(turn + 1 AS VARCHAR) || ') ' || coalesce(role, '?') || ': ' || coalesce(content, ''), chr(10) ORDER BY turn) AS block FROM turns GROUP BY record_id")
+def proj12_dialogue_block(spark, sf_dir):
     """Each dialogue as numbered lines."""
     line = F.transform("history", lambda t, i: F.concat((i + 1).cast("string"), F.lit(") "), F.coalesce(C.role_of(t["role"]), F.lit("?")), F.lit(": "), F.coalesce(t["content"], F.lit(""))))
     return C.dialogues(spark, sf_dir).where("size(history) > 0").select("record_id", F.array_join(line, "\n").alias("block"))
 
 
-@registry.query("p13_prompts", f"WITH {SQL_W}, {SQL_CONTEXT} SELECT s.record_id, s.turn, s.word_index, 'History:' || chr(10) || array_to_string(list_transform(c, lambda t: coalesce(t.role, '?') || ': ' || t.content), chr(10)) || chr(10) || 'Now: ' || array_to_string(ws[1:word_index + 1], ' ') AS prompt FROM sa s JOIN ctx4 ON s.record_id = ctx4.record_id AND s.turn = ctx4.turn")
-def p13_prompts(spark, sf_dir):
+@registry.query("proj13_prompts", f"WITH {SQL_W}, {SQL_CONTEXT} SELECT s.record_id, s.turn, s.word_index, 'History:' || chr(10) || array_to_string(list_transform(c, lambda t: coalesce(t.role, '?') || ': ' || t.content), chr(10)) || chr(10) || 'Now: ' || array_to_string(ws[1:word_index + 1], ' ') AS prompt FROM sa s JOIN ctx4 ON s.record_id = ctx4.record_id AND s.turn = ctx4.turn")
+def proj13_prompts(spark, sf_dir):
     """The prompt for each slot: the context and the turn so far."""
     rows = S.last_turns(C.turns(spark, sf_dir), "record_id", "turn").where(X.strip(F.col("content")) != "").withColumn("words", X.words(F.col("content")))
     lines = F.array_join(F.transform("context", lambda t: F.concat(F.coalesce(t["role"], F.lit("?")), F.lit(": "), t["content"])), "\n")
@@ -229,7 +229,7 @@ def x19_typed_boundaries(spark, sf_dir):
     """Typed boundaries read back from the text with its tokens."""
     from pyspark.sql import Window
 
-    toks = p11_reconstructed(spark, sf_dir).select(*KEY, F.posexplode(F.split("text", " ")).alias("pos", "tok"))
+    toks = proj11_reconstructed(spark, sf_dir).select(*KEY, F.posexplode(F.split("text", " ")).alias("pos", "tok"))
     is_token = F.col("tok").isin(X.TAKE_FLOOR, X.BACKCHANNEL)
     w = Window.partitionBy(*KEY).orderBy("pos")
     seen = toks.withColumn("idx", (F.sum(F.when(is_token, 0).otherwise(1)).over(w) - 1).cast("int")).where(is_token & (F.col("idx") >= 0))

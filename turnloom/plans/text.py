@@ -229,8 +229,8 @@ def x30_retry_delay(spark, sf_dir):
 
 
 over_turns("f4_prefix", lambda x: X.has_prefix(x), f"regexp_matches({sql_strip('content')}, {q('(?i)' + X.BAD_START)})", "contaminated")
-over_turns("p9_prefix", lambda x: F.array_join(F.slice(X.words(x), 1, 5), " "), f"array_to_string(({sql_words('content')})[1:5], ' ')", "prefix")
-over_turns("p10_process_history", lambda x: X.process_history(F.concat(F.lit("[BACKCHANNEL] "), x, F.lit(" [TAKE_FLOOR] over"))), f"{sql_ws(chr(39) + ' ' + chr(39) + ' || content')} || ' [TAKE_FLOOR]'", "text")
+over_turns("proj9_prefix", lambda x: F.array_join(F.slice(X.words(x), 1, 5), " "), f"array_to_string(({sql_words('content')})[1:5], ' ')", "prefix")
+over_turns("proj10_process_history", lambda x: X.process_history(F.concat(F.lit("[BACKCHANNEL] "), x, F.lit(" [TAKE_FLOOR] over"))), f"{sql_ws(chr(39) + ' ' + chr(39) + ' || content')} || ' [TAKE_FLOOR]'", "text")
 
 
 @registry.query("f5_valid_backchannel", f"""WITH {C.SQL_MANIFEST}, t AS (SELECT backchannel_id, text, len({sql_words('text')}) AS n FROM b WHERE text IS NOT NULL)
