@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from turnloom.plans import corpus, evaluation, slots, speech_intervals, text
+from turnloom.plans import corpus, evaluation, manifest, slots, speech_intervals, text, transcripts
 from turnloom.registry import Query
 
-MODULES = (speech_intervals, text, slots, corpus, evaluation)
+MODULES = (speech_intervals, text, slots, corpus, evaluation, manifest, transcripts)
 
 
 def queries() -> dict[str, Query]:
