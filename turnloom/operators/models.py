@@ -1,0 +1,145 @@
+"""Models and services behind injected interfaces, with deterministic stand-ins.
+
+Every operator takes an object with one method, sends it whole Arrow batches on
+the executors, retries, and reports ``status`` and ``error`` instead of failing
+the job.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import time
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import Protocol
+
+import pandas as pd
+from pyspark.sql import DataFrame
+
+
+class Scorer(Protocol):
+    """Distributions over (backchannel, floor_taking, silence) for prompts."""
+
+    def score(self, prompts: list[str]) -> list[tuple[float, float, float]]: ...
+
+
+class Generator(Protocol):
+    """One text for each prompt."""
+
+    def generate(self, prompts: list[str], temperature: float) -> list[str]: ...
+
+
+class Synthesizer(Protocol):
+    """Samples at 24 kHz, as a length, for each text and voice."""
+
+    def render(self, texts: list[str], voices: list[str]) -> list[int]: ...
+
+
+def _unit(*parts: object) -> float:
+    return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:8], 16) / 2**32
+
+
+@dataclass
+class HashScorer:
+    """A stand-in whose distribution depends on the prompt only."""
+
+    seed: int = 42
+
+    def score(self, prompts: list[str]) -> list[tuple[float, float, float]]:
+        out = []
+        for p in prompts:
+            a, b, c = (_unit(self.seed, k, p) + 0.01 for k in "bfs")
+            out.append((a / (a + b + c), b / (a + b + c), c / (a + b + c)))
+        return out
+
+
+@dataclass
+class EchoGenerator:
+    """A stand-in that returns the last line of its prompt, at low temperature with a role before it."""
+
+    def generate(self, prompts: list[str], temperature: float) -> list[str]:
+        return [(("user: " if temperature < 0.75 and _unit(p) < 0.3 else "") + p.rsplit("\n", 1)[-1]) for p in prompts]
+
+
+@dataclass
+class SilentSynthesizer:
+    """A stand-in that renders 1,440 samples a character, and fails on empty texts."""
+
+    def render(self, texts: list[str], voices: list[str]) -> list[int]:
+        if any(not t for t in texts):
+            raise ValueError("empty text")
+        return [1440 * len(t) for t in texts]
+
+
+def in_batches(rows: DataFrame, column: str, call: Callable[[pd.DataFrame], list], out: str, kind: str, fallback: object = None, attempts: int = 2, pause: float = 0.0) -> DataFrame:
+    """``rows`` with ``out`` (of type ``kind``), ``status`` (ok, retried or fallback) and ``error``.
+
+    ``call`` gets a batch and returns a value for each row.  A batch that fails
+    is retried row by row, up to ``attempts`` times with ``pause`` seconds
+    between, and a row that fails for good gets ``fallback``.  Rows whose
+    ``column`` is null get the fallback at once.
+    """
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema)}, {out} {kind}, status string, error string"
+
+    def one(row: pd.DataFrame) -> tuple[object, str, str | None]:
+        why = "no input"
+        for _ in range(attempts if row[column].notna().all() else 0):
+            try:
+                return call(row)[0], "retried", None
+            except Exception as e:  # noqa: BLE001 - whatever a service raises is a status
+                why = f"{type(e).__name__}: {e}"
+                time.sleep(pause)
+        return fallback, "fallback", why
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            try:
+                if f[column].isna().any():
+                    raise ValueError("nulls")
+                got = [(v, "ok", None) for v in call(f)]
+            except Exception:  # noqa: BLE001 - the rows are tried one by one
+                got = [one(f.iloc[i : i + 1]) for i in range(len(f))]
+            yield f.assign(**{out: [g[0] for g in got], "status": [g[1] for g in got], "error": [g[2] for g in got]})
+
+    return rows.mapInPandas(run, schema)
+
+
+def scored(slots: DataFrame, prompt: str, scorer: Scorer) -> DataFrame:
+    """Slots with ``probs`` (backchannel, floor_taking, silence); silence where the scorer fails."""
+    return in_batches(slots, prompt, lambda f: [list(p) for p in scorer.score(f[prompt].tolist())], "probs", "array<double>", [0.0, 0.0, 1.0])
+
+
+def rendered(units: DataFrame, text: str, voice: str, synthesizer: Synthesizer) -> DataFrame:
+    """Units with ``samples``; 0, silence, where rendering fails."""
+    return in_batches(units, text, lambda f: synthesizer.render(f[text].tolist(), f[voice].tolist()), "samples", "bigint", 0)
+
+
+def rewritten(dialogues: DataFrame, key: str, turns: str, generator: Generator, is_clean: Callable[[str], bool], clean: Callable[[str], str], max_turns: int = 200, attempts: int = 4) -> DataFrame:
+    """(key, turn, role, content, tries): each dialogue's turns written anew one after the other.
+
+    A turn's prompt holds the turns rewritten before it, so a dialogue is serial
+    and dialogues run side by side, one row each, without a shuffle.  A turn that
+    isn't clean is tried again, a little warmer, up to ``attempts`` times.
+    """
+    kind = dialogues.schema[key].dataType.simpleString()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for k, own in zip(f[key], f[turns]):
+                said: list[str] = []
+                for i, t in enumerate([] if own is None else own):
+                    if i >= max_turns:
+                        break
+                    text, tries = t["content"] or "", 0
+                    prompt = "\n".join([*said[-4:], text])
+                    for tries in range(1, attempts + 1):
+                        new = generator.generate([prompt], 0.7 + 0.1 * (tries - 1))[0]
+                        if is_clean(new):
+                            break
+                    new = clean(new)
+                    said.append(new)
+                    out.append((k, i, t["role"], new, tries))
+            yield pd.DataFrame(out, columns=[key, "turn", "role", "content", "tries"])
+
+    return dialogues.select(key, turns).mapInPandas(run, f"{key} {kind}, turn int, role string, content string, tries int")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,28 +35,21 @@ def merged_turns(lines: DataFrame, by: str, order: str, text: Column) -> DataFra
     return g.select(by, "turn_no", "speaker", "n", F.array_join("_p.t", " ").alias("text"))
 
 
-def attached_backchannels(lines: DataFrame, by: str, order: str, key: str) -> DataFrame:
-    """(by, key, host): the line that hosts each marked backchannel, the nearest one before that is no backchannel, or else after.
+def attached_backchannels(lines: DataFrame, by: str, order: str, key: str, speakers: tuple[str, str] = ("A", "B")) -> DataFrame:
+    """(by, key, host): the line that hosts each marked backchannel: the nearest line of the other speaker before it that is no backchannel, or else after it.
 
-    A backchannel without any host becomes a line of its own (``host`` null).
-    Sandwiched lines of the other speaker count as one turn, so the search runs
-    over lines in order, one conversation at a time.
+    ``host`` is null where there is none.  The nearest lines are carried along by
+    windows, so a conversation is never gathered in one row.
     """
-
-    def attach(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order)
-        keys, bc, speakers = frame[key].tolist(), frame["is_bc"].tolist(), frame["speaker"].tolist()
-        hosts = []
-        for i, flag in enumerate(bc):
-            if not flag:
-                continue
-            before = next((keys[j] for j in range(i - 1, -1, -1) if not bc[j] and speakers[j] != speakers[i]), None)
-            after = next((keys[j] for j in range(i + 1, len(keys)) if not bc[j] and speakers[j] != speakers[i]), None)
-            hosts.append((frame[by].iloc[0], keys[i], before if before is not None else after))
-        return pd.DataFrame(hosts, columns=[by, key, "host"]).astype({"host": "Int64"})
-
-    kind = lines.schema[by].dataType.simpleString()
-    return lines.select(by, order, key, "is_bc", "speaker").groupBy(by).applyInPandas(attach, f"{by} {kind}, {key} bigint, host bigint")
+    w = Window.partitionBy(by).orderBy(order)
+    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    near = lines
+    for s in speakers:
+        own = F.when(~F.col("is_bc") & (F.col("speaker") == s), F.col(key))
+        near = near.withColumn(f"_b{s}", F.last(own, ignorenulls=True).over(before)).withColumn(f"_a{s}", F.first(own, ignorenulls=True).over(after))
+    x, y = speakers
+    pick = lambda side: F.when(F.col("speaker") == x, F.col(f"_{side}{y}")).otherwise(F.col(f"_{side}{x}"))
+    return near.where("is_bc").select(by, key, F.coalesce(pick("b"), pick("a")).alias("host"))
 
 
 def aligned_marks(original: list[str], marked_tokens: list[str], mark: str = "|") -> list[int]:

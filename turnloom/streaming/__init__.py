@@ -1 +1,53 @@
+"""Streaming forms: slots and decisions as turns arrive, contexts in state, sessions by watermark."""
 
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from turnloom.functions import text as X
+from turnloom.operators import slots as S
+
+
+def decisions(turns: DataFrame, floor: float = 0.1, backchannel: float = 0.4) -> DataFrame:
+    """(record_id, turn, word_index, action, decision): the same for a stream of turns and a table of them."""
+
+    def act(i):
+        u = X.uniform(F.lit(42), F.col("record_id"), F.col("turn"), i)
+        return F.struct(i.alias("word_index"), S.sampled_action(u, F.lit(floor), F.lit(backchannel)).alias("action"))
+
+    rows = turns.where(X.strip(F.col("content")) != "").withColumn("_words", X.words(F.col("content")))
+    return rows.select("record_id", "turn", F.inline(S.decided(F.transform(S.slots_a(F.col("_words")), act))))
+
+
+def contexts(turns: DataFrame, n: int = 4) -> DataFrame:
+    """(record_id, turn, context) for turns that arrive in order: the last ``n`` turns of each dialogue are its state."""
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last: list[str] = list(state.get[0]) if state.exists else []
+        out = []
+        for f in frames:
+            for turn, role, content in f.sort_values("turn")[["turn", "role", "content"]].itertuples(index=False):
+                out.append((key[0], turn, "\n".join(x for x in last if x)))
+                blank = content is None or not str(content).strip()
+                last = [*last, "" if blank else f"{role}: {content}"][-n:]
+        state.update((last,))
+        yield pd.DataFrame(out, columns=["record_id", "turn", "context"])
+
+    return turns.groupBy("record_id").applyInPandasWithState(step, "record_id bigint, turn int, context string", "last array<string>", "append", GroupStateTimeout.NoTimeout)
+
+
+def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = "1 hour") -> DataFrame:
+    """Sessions of each user: start, end, events and their value; with a watermark on a stream."""
+    rows = events.withWatermark("ts", late) if events.isStreaming and late else events
+    g = rows.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"), F.sum("value").alias("value"))
+    return g.select("user_id", F.col("w.start").alias("start_ts"), F.col("w.end").alias("end_ts"), "n", "value")
+
+
+def once(rows: DataFrame, key: str, time: str, late: str = "1 hour") -> DataFrame:
+    """A stream without the rows that came before, within the watermark."""
+    return rows.withWatermark(time, late).dropDuplicatesWithinWatermark([key]) if rows.isStreaming else rows.dropDuplicates([key])
