@@ -76,17 +76,19 @@ def assigned_speakers(labels: DataFrame, conversation: str = "conversation_id",
     edit distance to the roster, which for two slots is the optimal assignment.
     """
     block = F.when(F.length(core) == 1, F.col(core)).otherwise(F.concat(F.soundex(core), F.substring(core, 1, 1)))
+    # the roster is two rows, whatever the corpus holds
     used = labels.where(F.col(core).isNotNull()).groupBy(conversation, core).agg(F.count("*").alias("n")).withColumn("block", block)
     blocks = used.groupBy(conversation, "block").agg(F.sum("n").alias("n"), F.min(core).alias("name"))
-    roster = blocks.groupBy("block").agg(F.count("*").alias("k")).orderBy(F.desc("k"), "block").limit(2)
-    slot = F.row_number().over(Window.orderBy("block"))
-    roster = roster.select("block", F.when(slot == 1, "A").otherwise("B").alias("slot"), F.col("block").alias("like"))
-    known = blocks.join(F.broadcast(roster.select("block", "slot")), "block", "left")
-    both = F.broadcast(roster.groupBy().agg(F.max(F.when(F.col("slot") == "A", F.col("like"))).alias("a"), F.max(F.when(F.col("slot") == "B", F.col("like"))).alias("b")))
+    top = blocks.groupBy("block").agg(F.count("*").alias("k")).orderBy(F.desc("k"), "block").limit(2).collect()
+    roster = sorted(r["block"] for r in top)
+    slot = F.lit(None).cast("string")
+    for name, like in reversed(list(zip("AB", roster))):
+        slot = F.when(F.col("block") == like, name).otherwise(slot)
     w = Window.partitionBy(conversation)
+    known = blocks.withColumn("slot", slot)
     known = known.withColumn("taken", F.collect_set("slot").over(w)).withColumn("nth", F.row_number().over(w.orderBy(F.col("slot").isNotNull(), F.desc("n"), "block")))
-    known = known.join(both)
-    nearer = F.when(F.levenshtein("name", "a") <= F.levenshtein("name", F.coalesce("b", "a")), "A").otherwise("B")
+    far = [F.levenshtein("name", F.lit(x)) for x in roster] or [F.lit(0)]
+    nearer = F.when(far[0] <= far[-1], "A").otherwise("B")
     free_a, free_b = ~F.array_contains("taken", "A"), ~F.array_contains("taken", "B")
     first = F.when(free_a & free_b, nearer).when(free_a, "A").when(free_b, "B").otherwise(nearer)
     second = F.when(free_a & free_b, F.when(nearer == "A", "B").otherwise("A")).otherwise(nearer)
