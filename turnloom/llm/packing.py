@@ -58,12 +58,25 @@ def enumerate_patterns(lengths: np.ndarray, counts: np.ndarray, capacity: int) -
     return best[:PATTERNS]
 
 
-def nnls(a: np.ndarray, y: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """x >= 0 that brings a @ x near y in least squares, by multiplicative steps."""
-    x = np.full(a.shape[1], max(y.sum(), 1.0) / max(a.sum(), 1.0))
-    up = a.T @ y
+def nnls(members: np.ndarray, y: np.ndarray, rounds: int = 400) -> np.ndarray:
+    """How often to use each pattern so that together they come near ``y`` in least squares, none less than 0 times.
+
+    ``members`` are the rows of each pattern's lengths, padded with ``len(y)``;
+    the steps are multiplicative, so nothing turns negative.
+    """
+    n = len(y)
+    target = np.append(y, 0.0)
+    flat = members.ravel()
+
+    def back(r: np.ndarray) -> np.ndarray:
+        return r[members].sum(axis=1)
+
+    x = np.full(len(members), max(y.sum(), 1.0) / max((flat < n).sum(), 1))
+    up = back(target)
     for _ in range(rounds):
-        x *= up / np.maximum(a.T @ (a @ x), 1e-12)
+        used = np.bincount(flat, weights=np.repeat(x, members.shape[1]), minlength=n + 1)
+        used[n] = 0.0
+        x *= up / np.maximum(back(used), 1e-12)
     return x
 
 
@@ -86,11 +99,10 @@ def pack_histogram(histogram: dict[int, int], capacity: int) -> list[tuple[dict[
     patterns = enumerate_patterns(lengths, counts, capacity)
     if patterns:
         row = {k: i for i, k in enumerate(lengths.tolist())}
-        a = np.zeros((len(lengths), len(patterns)))
+        members = np.full((len(patterns), 4), len(lengths), dtype=np.int64)
         for j, p in enumerate(patterns):
-            for k in p:
-                a[row[k], j] += 1
-        x = nnls(a, counts)
+            members[j, : len(p)] = [row[k] for k in p]
+        x = nnls(members, counts)
         for j in np.argsort(-x, kind="stable"):
             need = {k: patterns[j].count(k) for k in set(patterns[j])}
             if (times := min([int(x[j]), *(left.get(k, 0) // n for k, n in need.items())])) > 0:

@@ -71,7 +71,11 @@ def bpe_ids(word: Column, path: str) -> Column:
     the next one); every step merges the leftmost pair of least rank and looks up
     the two ranks that change.
     """
-    table_of = F.from_json(F.lit(_rank_json(path)), "array<map<string,int>>")
+    # the map stands in the plan once
+    return _let(F.from_json(F.lit(_rank_json(path)), "array<map<string,int>>"), lambda table_of: _folded(word, table_of))
+
+
+def _folded(word: Column, table_of: Column) -> Column:
     none = F.lit(2**31 - 1)
 
     def rank(key: Column) -> Column:
