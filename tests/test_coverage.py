@@ -15,7 +15,7 @@ HELPERS = {
     "J1": "proj5_packed", "J2": "a6_quota", "J4": "j9_unit_audio, voice_pool", "J5": "s14_manifest_lines", "J12": "t15_evaluated_slots", "A13": "a3_mean_kl",
     "W11": "w12_unit_spans", "W15": "t6_decisions", "W16": "model-internal", "O3": "o1_even_sample", "O5": "o1_even_sample", "O11": "order by in every plan", "O13": "j13_voice_cast", "O14": "t15_evaluated_slots",
     "U1": "j6_marker_join", "U2": "o6_ratio_resplit", "U3": "f12_shard", "X24": "t15_evaluated_slots", "X25": "t3_normalised_scores", "X28": "x28_even_word_times",
-    "T4": "t3_normalised_scores", "T7": "t9_rewritten", "T8": "t9_rewritten", "T11": "t10_backchannel_contexts", "T14": "proj8_single_slots, t12_training_examples", "T17": "w8_accumulated_hosts, t18_units", "W10": "w10_backchannel_starts",
+    "T4": "t3_normalised_scores", "T7": "t9_rewritten", "T8": "t9_rewritten", "T11": "t10_backchannel_contexts", "T14": "proj8_single_slots, t12_training_examples", "W10": "w10_backchannel_starts",
     **{f"M{i}": "turnloom.operators.models" for i in (1, 2, 3, 4, 7, 10)}, "M5": "outside: training", "M9": "outside: networks", **{f"C{i}": "Spark's execution, turnloom.config" for i in range(1, 7)},
 }
 

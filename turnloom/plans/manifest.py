@@ -250,3 +250,20 @@ def w8_accumulated_hosts(spark, sf_dir):
     rows = hosts(spark, sf_dir).withColumn("o", opens).withColumn("session", F.sum("o").over(w) - 1)
     g = rows.groupBy(*UNIT, "session").agg(F.min("host_idx").alias("first_host"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("host_idx", F.coalesce("tts_text", F.lit("")).alias("t")))).alias("p"))
     return g.select(*UNIT, "session", "first_host", "n", X.normalize_ws(F.array_join("p.t", " ")).alias("text"))
+
+
+@registry.query("t17_manifest", SQL_SEG + f""", p AS (SELECT record_id, turn, role, i, trim(t, ' ,') AS t FROM seg),
+c AS (SELECT *, sum(len(regexp_extract_all(regexp_replace(t, {q(X.TAG)}, '', 'g'), {q(X.WORD)}))) OVER (PARTITION BY record_id, turn ORDER BY i) AS words, max(i) OVER (PARTITION BY record_id, turn) AS n FROM p),
+h AS (SELECT record_id, turn, {sql_ws("string_agg(t, ' ' ORDER BY i)")} AS tts_text FROM p GROUP BY record_id, turn)
+SELECT c.record_id, c.turn, CAST(c.i AS INTEGER) AS bc_idx, CAST(c.words AS INTEGER) AS word_count, CASE role WHEN 'user' THEN 1 ELSE 0 END AS speaker_idx, h.tts_text FROM c JOIN h ON h.record_id = c.record_id AND h.turn = c.turn WHERE c.i < c.n""")
+def t17_manifest(spark, sf_dir):
+    """Each backchannel with its host's whole text and the words of it that come before."""
+    from turnloom.operators import slots as S
+
+    rows = P.decided_turns(spark, sf_dir).select("record_id", "turn", "role", S.reconstructed(F.col("words"), F.col("decisions")).alias("s"))
+    s = F.when(F.contains("s", F.lit(X.TAKE_FLOOR)), F.trim(F.substring_index("s", X.TAKE_FLOOR, 1))).otherwise(F.col("s"))
+    rows = rows.withColumn("parts", F.transform(F.split(s, r"\[BACKCHANNEL\]"), lambda t: F.regexp_replace(t, r"^[ ,]+|[ ,]+$", "")))
+    text = X.normalize_ws(F.array_join("parts", " "))
+    counts = F.transform(F.slice("parts", F.lit(1), F.size("parts") - 1), lambda _, i: F.size(X.align_words(F.array_join(F.slice("parts", F.lit(1), i + 1), " "))))
+    speaker = F.when(F.col("role") == "user", 1).otherwise(0)
+    return rows.select("record_id", "turn", text.alias("tts_text"), speaker.alias("speaker_idx"), F.posexplode(counts).alias("bc_idx", "word_count"))
