@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from functools import cache
 
-import regex
 
 from turnloom.llm.forms import Forms
 
-_WORDS = regex.compile(r"(?V1)[\p{Han}\p{Hiragana}\p{Katakana}ー]|[[\p{L}\p{M}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}ー]]+")
+# The blocks of Japanese characters.
+_JA = "\u3005\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0002fa1f"
+_WORDS = re.compile(f"[{_JA}]|[^\\W_{_JA}]+")
 
 
 @cache
