@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.registry import Registry
-from turnloom.session import table
+from turnloom.session import cut, table
 
 registry = Registry()
 
@@ -126,7 +126,8 @@ def turn_lines(lines: DataFrame) -> DataFrame:
     deliveries count once; a null conversation is one like any other.  Empty in,
     empty out.
     """
-    rows = ordered_lines(lines)
+    # cleaned once, read for the roster, the labels and the turns
+    rows = cut(ordered_lines(lines))
     speakers = assigned_speakers(rows.select("conversation_id", "core"))
     spoken = rows.where(~F.coalesce(F.lower(F.substring(F.trim("da"), 1, 1)) == "b", F.lit(False)) & F.col("words").rlike(r"[\p{L}\p{N}]") & F.col("core").isNotNull())
     same = rows_equal(spoken, speakers)
