@@ -38,13 +38,19 @@ def slots_a(words: Column, told: Column | None = None) -> Column:
 def kept_of_runs(indices: Column) -> Column:
     """Single indices, and the 2nd, 4th ... of each run of consecutive ones."""
 
-    def nth(i: Column) -> Column:
-        # how many indices just before i run up to it
-        before = F.filter(indices, lambda j: (j < i) & ~F.exists(F.sequence(j, i), lambda k: ~F.array_contains(indices, k)))
-        return F.size(before)
+    item = "array<struct<i:int,nth:int>>"
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("nth"), F.array().cast(item).alias("out"))
 
-    alone = lambda i: ~F.array_contains(indices, i - 1) & ~F.array_contains(indices, i + 1)
-    return F.filter(indices, lambda i: alone(i) | (nth(i) % 2 == 1))
+    def step(s: Column, i: Column) -> Column:
+        nth = F.when(i == s["last"] + 1, s["nth"] + 1).otherwise(0)
+        return F.struct(i.alias("last"), nth.alias("nth"), F.concat(s["out"], F.array(F.struct(i.alias("i"), nth.alias("nth")))).alias("out"))
+
+    def kept(s: Column) -> Column:
+        out = s["out"]
+        alone = lambda x, k: (x["nth"] == 0) & ~F.coalesce(F.get(out, k + 1)["nth"] == 1, F.lit(False))
+        return F.transform(F.filter(out, lambda x, k: (x["nth"] % 2 == 1) | alone(x, k)), lambda x: x["i"])
+
+    return F.aggregate(indices, start, step, kept)
 
 
 def filled_gaps(indices: Column, n_words: Column, max_gap: int = MAX_GAP, fill: int = FILL) -> Column:
@@ -63,7 +69,9 @@ def slots_b(words: Column) -> Column:
     """Policy B: candidates but the last word, thinned in runs, with long gaps filled."""
     n = F.size(words)
     inner = F.filter(candidates(words), lambda i: i < n - 1)
-    return F.when(n > 0, filled_gaps(kept_of_runs(inner), n)).otherwise(F.array().cast("array<int>"))
+    # the thinned indices are bound once, as filling reads them several times
+    full = F.element_at(F.transform(F.array(kept_of_runs(inner)), lambda kept: filled_gaps(kept, n)), 1)
+    return F.when(n > 0, full).otherwise(F.array().cast("array<int>"))
 
 
 def sampled_action(u: Column, floor: Column, backchannel: Column) -> Column:
