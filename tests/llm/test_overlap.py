@@ -84,3 +84,16 @@ def test_empty(spark):
     df = spark.createDataFrame([], "id bigint, t boolean, text string")
     links, members = P.overlaps(df, F.col("id"), F.col("t"), F.col("text"))
     assert links.count() == 0 and members.count() == 0
+
+
+def test_large_family_of_variants_is_whole(spark):
+    """Every shared n-gram joins 50 x 50 pairs, and no two records share a run of 20 words."""
+    rows = [(i, i >= 50, " ".join(f"v{i}x{k}" if k % 15 == 7 else f"w{k}" for k in range(60))) for i in range(100)]
+    df = spark.createDataFrame(rows, "id bigint, t boolean, text string")
+    links, _ = P.overlaps(df, F.col("id"), F.col("t"), F.col("text"))
+    assert links.count() == 2500
+
+
+def test_blocks_of_a_large_key_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK", 7)
+    test_large_family_of_variants_is_whole(spark)

@@ -10,7 +10,8 @@ training record, and pairs with enough of it are compared exactly.
   longest run that a fifth of changed words must leave whole somewhere (pigeonhole),
   so no pair is lost.  Longer records use LONG words, winnowed by local minima:
   any common run of LONG + WINDOW - 1 words shares a hash.
-* An n-gram that would join more than HOT pairs is taken twice as long.
+* No n-gram is dropped, however many pairs it joins: where they are more than BLOCK,
+  its evaluation side is dealt into blocks, each joined with all of its training side.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ AGREE = 0.8
 LONG, WINDOW, SHORT = 10, 4, 40
 #: Share of a long record's landmarks that must be hit before the exact comparison.
 CONTAINED = 0.05
-#: Pairs that one n-gram may join before it is taken longer.
-HOT = 2000
+#: Pairs that one n-gram joins in one block; bounds a task's share, loses nothing.
+BLOCK = 100_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -53,11 +54,11 @@ def _rolled(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def landmark_table(flat: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(record, key, longer form) of many records at once: ``flat`` holds their words' hashes one after the other.
+    """(record, key, place) of many records at once: ``flat`` holds their words' hashes one after the other.
 
-    Where a key's longer form would leave its record, the record's class stands
-    for it, which no other record shares.  Records of fewer than five words agree
-    with none but their own class and have no key.
+    ``place`` is where the key's n-gram first stands in ``flat``.  Records of fewer
+    than five words agree with none but their own class and have no key.
+    ``classes`` doesn't matter.
     """
     ends = np.cumsum(sizes)
     record = np.repeat(np.arange(len(sizes)), sizes)
@@ -73,12 +74,7 @@ def landmark_table(flat: np.ndarray, sizes: np.ndarray, classes: np.ndarray) ->
         at = start[whole]
         if window > 1:
             at = np.unique(at + np.lib.stride_tricks.sliding_window_view(keys, window)[at].argmin(axis=1))
-        owner = record[at]
-        far = classes[owner].astype(np.uint64)
-        double = _rolled(flat, 2 * size)
-        fits = at + 2 * size <= ends[owner]
-        far[fits] = double[at[fits]]
-        parts.append((owner, keys[at], far))
+        parts.append((record[at], keys[at], at))
 
     # lengths of a pair differ by a quarter at most, so the ranges overlap by that
     add(2, 5, 10)
@@ -86,14 +82,14 @@ def landmark_table(flat: np.ndarray, sizes: np.ndarray, classes: np.ndarray) ->
     add(4, 16, SHORT * 5 // 4)
     add(LONG, SHORT, 1 << 60, WINDOW)
     if not parts:
-        none = np.zeros(0, dtype=np.uint64)
-        return np.zeros(0, dtype=np.int64), none, none
-    owner, key, far = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((key, owner))
-    owner, key, far = owner[order], key[order], far[order]
+        none = np.zeros(0, dtype=np.int64)
+        return none, np.zeros(0, dtype=np.uint64), none
+    owner, key, place = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((place, key, owner))
+    owner, key, place = owner[order], key[order], place[order]
     first = np.ones(len(owner), dtype=bool)
     first[1:] = (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
-    return owner[first], key[first], far[first]
+    return owner[first], key[first], place[first]
 
 
 def same_order(a: list, b: list) -> int:
@@ -136,9 +132,9 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = batch.column(3)
         sizes = np.diff(words.offsets.to_numpy())
         classes = batch.column(0).to_numpy(zero_copy_only=False)
-        owner, near, far = landmark_table(words.flatten().to_numpy(zero_copy_only=False).view(np.uint64), sizes, classes)
+        owner, key, _ = landmark_table(words.flatten().to_numpy(zero_copy_only=False).view(np.uint64), sizes, classes)
         own = pa.array(owner)
-        yield pa.RecordBatch.from_arrays([*[batch.column(i).take(own) for i in range(3)], pa.array(sizes[owner], pa.int32()), pa.array(near.view(np.int64)), pa.array(far.view(np.int64))], ["class", "in_eval", "in_train", "n", "near", "far"])
+        yield pa.RecordBatch.from_arrays([*[batch.column(i).take(own) for i in range(3)], pa.array(sizes[owner], pa.int32()), pa.array(key.view(np.int64))], ["class", "in_eval", "in_train", "n", "key"])
 
 
 def _agree(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,16 +161,16 @@ def overlaps(records: DataFrame, record_id: Column, is_train: Column, text: Colu
     members = hashed.select("id", "is_train", "class")
     classes = hashed.groupBy("class").agg(F.max(~F.col("is_train")).alias("in_eval"), F.max("is_train").alias("in_train"), F.any_value("words").alias("words"))
     classes = cut(classes)
-    keys = classes.select("class", "in_eval", "in_train", "words").mapInArrow(_keys, "class bigint, in_eval boolean, in_train boolean, n int, near bigint, far bigint")
+    keys = classes.select("class", "in_eval", "in_train", "words").mapInArrow(_keys, "class bigint, in_eval boolean, in_train boolean, n int, key bigint")
     keys = cut(keys)
-    # an n-gram joins e x t pairs; where that is too many its longer form takes its place
-    counts = keys.groupBy("near").agg(F.count_if("in_eval").alias("e"), F.count_if("in_train").alias("t")).where("e > 0 AND t > 0 AND e + t > 1")
-    used = keys.join(counts.select("near", (F.col("e") * F.col("t") > HOT).alias("hot")), "near")
-    used = used.select("class", "in_eval", "in_train", "n", F.when(F.col("hot"), F.xxhash64("near", "far")).otherwise(F.col("near")).alias("key")).distinct()
-    e = used.where("in_eval").select(F.col("class").alias("e"), F.col("n").alias("n_e"), "key")
-    t = used.where("in_train").select(F.col("class").alias("t"), F.col("n").alias("n_t"), "key")
+    # an n-gram joins e x t pairs, in as many blocks of its evaluation side as they need
+    counts = keys.groupBy("key").agg(F.count_if("in_eval").alias("e"), F.count_if("in_train").alias("t")).where("e > 0 AND t > 0 AND e + t > 1")
+    blocks = F.least("e", F.ceil(F.col("e") * F.col("t") / BLOCK)).cast("int")
+    used = keys.join(counts.select("key", blocks.alias("blocks")), "key")
+    e = used.where("in_eval").select(F.col("class").alias("e"), F.col("n").alias("n_e"), "key", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"))
+    t = used.where("in_train").select(F.col("class").alias("t"), F.col("n").alias("n_t"), "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     fits = (F.col("n_e") >= AGREE * F.col("n_t")) & (F.col("n_t") >= AGREE * F.col("n_e")) & (F.col("e") != F.col("t"))
-    hits = e.join(t, "key").where(fits).groupBy("e", "t").agg(F.count("*").alias("hits"), F.least(F.first("n_e"), F.first("n_t")).alias("n"))
+    hits = e.join(t, ["key", "block"]).where(fits).groupBy("e", "t").agg(F.count("*").alias("hits"), F.least(F.first("n_e"), F.first("n_t")).alias("n"))
     # a record of n words has about n * 2 / (WINDOW + 1) landmarks, a short one about n
     least = F.when(F.col("n") > SHORT, F.col("n") * 2 / (WINDOW + 1)).otherwise(F.col("n"))
     near = hits.select("e", "t", "n", F.least(F.col("hits") / least, F.lit(1.0)).alias("contained")).where((F.col("n") <= SHORT) | (F.col("contained") >= CONTAINED)).drop("n")
