@@ -97,3 +97,29 @@ def test_large_family_of_variants_is_whole(spark):
 def test_blocks_of_a_large_key_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(P, "BLOCK", 7)
     test_large_family_of_variants_is_whole(spark)
+
+
+def apart(n, k):
+    """Two records of n words whose n - k common words stand in as many runs as k words out and k others in can make."""
+    common, a, b = [f"c{i}" for i in range(n - k)], [], []
+    for i, run in enumerate(np.array_split(common, 2 * k + 1)):
+        a += [*run, f"a{i}"] if i % 2 else [*run]
+        b += [*run, f"b{i}"] if i % 2 == 0 and i < 2 * k else [*run]
+    return a, b
+
+
+@pytest.mark.parametrize("n", range(5, 51))
+def test_separate_insertions_and_deletions_keep_a_landmark(n):
+    a, b = apart(n, n // 5)
+    assert len(a) == len(b) == n and P.same_order(a, b) == n - n // 5
+    h = np.array([hash(w) & (1 << 63) - 1 for w in a + b], dtype=np.uint64)
+    owner, key, _ = P.landmark_table(h, np.array([n, n]), np.array([1, 2]))
+    assert set(key[owner == 0].tolist()) & set(key[owner == 1].tolist())
+
+
+def test_separate_insertions_and_deletions_are_found(spark):
+    pairs = [apart(n, n // 5) for n in (5, 9, 11, 12, 15, 16, 17, 20, 25, 30, 35, 40)]
+    rows = [(100 * s + i, s == 1, " ".join(f"n{i}{w}" for w in p[s])) for i, p in enumerate(pairs) for s in (0, 1)]
+    df = spark.createDataFrame(rows, "id bigint, t boolean, text string")
+    links, _ = P.overlaps(df, F.col("id"), F.col("t"), F.col("text"))
+    assert links.count() == len(pairs)

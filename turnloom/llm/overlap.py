@@ -6,10 +6,11 @@ training record, and pairs with enough of it are compared exactly.
 
 * Records with the same words form a class; only one representative a class is
   compared, so groups of exact copies cost nothing until their pairs are listed.
-* The n of the n-grams follows the record's length.  Up to SHORT words it is the
-  longest run that a fifth of changed words must leave whole somewhere (pigeonhole),
-  so no pair is lost.  Longer records use LONG words, winnowed by local minima:
-  any common run of LONG + WINDOW - 1 words shares a hash.
+* Up to SHORT words the n-grams are pairs of words, and no pair of records is lost:
+  with k words out on one side and as many in on the other, the n - k common words
+  stand in at most 2k + 1 runs, and for k = n / 5 one run has two words or more.
+  Longer records use LONG words, winnowed by local minima: any common run of
+  LONG + WINDOW - 1 words shares a hash.
 * No n-gram is dropped, however many pairs it joins: where they are more than BLOCK,
   its evaluation side is dealt into blocks, each joined with all of its training side.
 """
@@ -77,9 +78,7 @@ def landmark_table(flat: np.ndarray, sizes: np.ndarray, classes: np.ndarray) ->
         parts.append((record[at], keys[at], at))
 
     # lengths of a pair differ by a quarter at most, so the ranges overlap by that
-    add(2, 5, 10)
-    add(3, 8, 20)
-    add(4, 16, SHORT * 5 // 4)
+    add(2, 5, SHORT * 5 // 4)
     add(LONG, SHORT, 1 << 60, WINDOW)
     if not parts:
         none = np.zeros(0, dtype=np.int64)
