@@ -171,6 +171,13 @@ def test_models(spark):
     assert [(r.k, r.turn) for r in rows] == [("d", 0), ("d", 1)]
 
 
+def test_long_dialogues_are_rewritten_whole(spark):
+    talk = spark.createDataFrame([("d", [("user", f"t{i}") for i in range(450)])], "k string, h array<struct<role:string,content:string>>")
+    turns = lambda **most: [r.turn for r in M.rewritten(talk, "k", "h", M.EchoGenerator(), lambda s: True, str.strip, **most).collect()]
+    assert turns() == turns(max_turns=0) == list(range(450))
+    assert turns(max_turns=3) == [0, 1, 2]
+
+
 def test_readers(spark, tmp_path):
     def put(name, value):
         p = tmp_path / name

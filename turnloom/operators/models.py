@@ -114,12 +114,13 @@ def rendered(units: DataFrame, text: str, voice: str, synthesizer: Synthesizer)
     return in_batches(units, text, lambda f: synthesizer.render(f[text].tolist(), f[voice].tolist()), "samples", "bigint", 0)
 
 
-def rewritten(dialogues: DataFrame, key: str, turns: str, generator: Generator, is_clean: Callable[[str], bool], clean: Callable[[str], str], max_turns: int = 200, attempts: int = 4) -> DataFrame:
+def rewritten(dialogues: DataFrame, key: str, turns: str, generator: Generator, is_clean: Callable[[str], bool], clean: Callable[[str], str], max_turns: int | None = None, attempts: int = 4) -> DataFrame:
     """(key, turn, role, content, tries): each dialogue's turns written anew one after the other.
 
     A turn's prompt holds the turns rewritten before it, so a dialogue is serial
     and dialogues run side by side, one row each, without a shuffle.  A turn that
-    isn't clean is tried again, a little warmer, up to ``attempts`` times.
+    isn't clean is tried again, a little warmer, up to ``attempts`` times.  All
+    turns are written unless ``max_turns`` is given and above 0; then that many.
     """
     kind = dialogues.schema[key].dataType.simpleString()
 
@@ -129,7 +130,7 @@ def rewritten(dialogues: DataFrame, key: str, turns: str, generator: Generator,
             for k, own in zip(f[key], f[turns]):
                 said: list[str] = []
                 for i, t in enumerate([] if own is None else own):
-                    if i >= max_turns:
+                    if max_turns and 0 < max_turns <= i:
                         break
                     text, tries = t["content"] or "", 0
                     prompt = "\n".join([*said[-4:], text])
