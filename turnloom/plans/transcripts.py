@@ -25,6 +25,13 @@ m AS (SELECT *, coalesce(before <> speaker AND after <> speaker AND act, false)
 
 
 def lines(spark, sf_dir):
+    """The lines whose ``speaker`` ends in A or B, in either case, once each, in order.
+
+    Not the whole table: lines with a null speaker (whose label may stand in
+    ``text_raw``) and with a full-width label are left out, here as in ``SQL_L``,
+    before neighbours are looked at, so kept lines on both sides of one count as
+    adjacent.
+    """
     from pyspark.sql import Window
 
     raw = F.coalesce("text_raw", F.lit(""))
