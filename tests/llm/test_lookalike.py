@@ -41,3 +41,10 @@ def test_frame(spark):
     for i, t in enumerate(texts):
         assert got[i] == ((None, False) if t is None else (forms.canonical(t), forms.canonical(t) != t))
     assert got[1] == ("", False) and one_form(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("mixed, plain", [("г\u03bfрод", "город"), ("\u03c1аз, два", "раз, два"), ("λ\u043eγος", "λογος")])
+def test_cyrillic_beside_greek_is_suspect(spark, mixed, plain):
+    df = spark.createDataFrame([(mixed,)], "text string")
+    row = one_form(df, forms=ANY).first()
+    assert ANY.canonical(mixed) == row.canonical == plain and row.changed

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.llm.forms import Forms
+from turnloom.llm.forms import SCRIPTS, Forms
 from turnloom.registry import Registry
 from turnloom.session import table
 
@@ -60,7 +60,9 @@ def one_form(texts: DataFrame, text: str = "text", out: str = "canonical", forms
 
 def suspects(forms: Forms, text: Column) -> Column:
     """Whether a text may have to be rewritten; true for all that are."""
-    mixed = text.rlike(r"[\p{IsCyrillic}\p{IsGreek}]") & text.rlike(r"\p{IsLatin}")
+    # any two of the three scripts; most texts are Latin and end at the first test
+    latin, cyrillic, greek = (text.rlike(rf"\p{{Is{x}}}") for x in SCRIPTS)
+    mixed = text.rlike(r"[\p{IsCyrillic}\p{IsGreek}]") & (latin | (cyrillic & greek))
     return text.rlike(forms.suspects) | text.rlike(r"[\x00-\x08\x0E-\x1F\x7F]") | mixed
 
 
