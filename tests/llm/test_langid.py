@@ -63,3 +63,9 @@ def test_frame(spark):
 def test_sample_is_bounded(spark):
     df = spark.range(2000).select(F.col("id").alias("row_id"), F.lit("en").alias("label"), F.lit("a b").alias("text"))
     assert 50 < len(P.sample(df, 100)) < 200 and P.sample(df.limit(0)) == []
+
+
+def test_sampled_texts_are_whole(spark):
+    long = "a b " * 2000
+    df = spark.createDataFrame([(1, "en", long)], "row_id bigint, label string, text string")
+    assert P.sample(df, 1) == [("en", long)]

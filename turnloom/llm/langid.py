@@ -240,13 +240,13 @@ def fit(labelled: list[tuple[str, str]], rounds: int = 2) -> Filters:
 
 
 def sample(texts: DataFrame, n: int = SAMPLE) -> list[tuple[str, str]]:
-    """About ``n`` labelled texts of each language, chosen by a hash of their id: the bounded sample of the fit."""
+    """About ``n`` labelled texts of each language, chosen by a hash of their id and read whole: the bounded sample of the fit."""
     counts = {r["label"]: r["k"] for r in texts.where(F.col("label").isin(*LANGUAGES)).groupBy("label").agg(F.count("*").alias("k")).collect()}
     if not counts:
         return []
     share = F.element_at(F.create_map(*[F.lit(x) for code, k in counts.items() for x in (code, n / k)]), F.col("label"))
     few = texts.where(F.col("label").isin(*counts)).where(F.pmod(F.xxhash64("row_id"), F.lit(1_000_000)) < share * 1_000_000)
-    return [(r["label"], r["text"]) for r in few.select("label", F.substring("text", 1, 2000).alias("text")).limit(2 * n * len(LANGUAGES)).collect()]
+    return [(r["label"], r["text"]) for r in few.select("label", "text").collect()]
 
 
 def language_segments(texts: DataFrame, filters: Filters, parts: str = "parts") -> DataFrame:
