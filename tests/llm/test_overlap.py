@@ -26,18 +26,6 @@ def test_same_order_is_lcs():
         assert P.same_order(a, b) == lcs(a, b)
 
 
-@pytest.mark.parametrize("n", [5, 7, 10, 15, 20, 30, 39])
-def test_short_records_keep_a_landmark(n):
-    rnd = random.Random(n)
-    for _ in range(50):
-        h = np.array([rnd.getrandbits(63) for _ in range(n)], dtype=np.uint64)
-        g = h.copy()
-        for i in rnd.sample(range(n), n // 5):
-            g[i] = rnd.getrandbits(63)
-        owner, key, _ = P.landmark_table(np.concatenate([h, g]), np.array([n, n]), np.array([1, 2]))
-        assert set(key[owner == 0].tolist()) & set(key[owner == 1].tolist())
-
-
 def test_words():
     assert comparable_words("Ｈello, wоrld! ﬁne") == ["hello", "world", "fine"]
     assert comparable_words("東京へ行くTom") == ["東", "京", "へ", "行", "く", "tom"]
@@ -94,11 +82,29 @@ def test_large_family_of_variants_is_whole(spark):
     assert links.count() == 2500
 
 
-def test_blocks_of_a_large_key_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(P, "BLOCK", 7)
+def test_small_blocks_and_chunks_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK_WORDS", 700)
+    monkeypatch.setattr(P, "CHUNK_WORDS", 900)
+    monkeypatch.setattr(P, "_CELLS", 50)
     test_large_family_of_variants_is_whole(spark)
 
 
+def test_a_family_of_templates_is_whole(spark):
+    """Records of ten words of which two differ in each: 500 x 500 links."""
+    rows = [(i, i >= 500, f"we met v{i} near the old w{i} bridge at noon") for i in range(1000)]
+    df = spark.createDataFrame(rows, "id bigint, t boolean, text string")
+    links, _ = P.overlaps(df, F.col("id"), F.col("t"), F.col("text"))
+    assert links.count() == 250_000
+
+
+def test_four_words(spark):
+    rows = [(1, True, "alpha beta gamma delta"), (2, False, "alpha beta gamma delta epsilon"), (3, False, "alpha beta gamma"), (4, False, "alpha beta delta")]
+    df = spark.createDataFrame(rows, "id bigint, t boolean, text string")
+    links, members = P.overlaps(df, F.col("id"), F.col("t"), F.col("text"))
+    ids = {r["class"]: r["id"] for r in members.collect()}
+    assert [(ids[r["e"]], ids[r["t"]], r["agreement"]) for r in links.collect()] == [(2, 1, 0.8)]
+
+
 def apart(n, k):
     """Two records of n words whose n - k common words stand in as many runs as k words out and k others in can make."""
     common, a, b = [f"c{i}" for i in range(n - k)], [], []
@@ -108,17 +114,33 @@ def apart(n, k):
     return a, b
 
 
-@pytest.mark.parametrize("n", range(5, 51))
-def test_separate_insertions_and_deletions_keep_a_landmark(n):
+def scanned(a, b):
+    h = [np.array([hash(w) & (1 << 63) - 1 for w in x], dtype=np.uint64) for x in (a, b)]
+    return list(P.candidates(h[0], np.array([len(a)]), h[1], np.array([len(b)])))
+
+
+@pytest.mark.parametrize("n", [*range(5, 51), 99, 142, 500])
+def test_separate_insertions_and_deletions_are_candidates(n):
     a, b = apart(n, n // 5)
     assert len(a) == len(b) == n and P.same_order(a, b) == n - n // 5
-    h = np.array([hash(w) & (1 << 63) - 1 for w in a + b], dtype=np.uint64)
-    owner, key, _ = P.landmark_table(h, np.array([n, n]), np.array([1, 2]))
-    assert set(key[owner == 0].tolist()) & set(key[owner == 1].tolist())
+    assert len(scanned(a, b)) == 1
+
+
+def test_every_agreeing_pair_is_a_candidate():
+    rnd = random.Random(3)
+    for _ in range(400):
+        n = rnd.randint(4, 70)
+        a = [f"w{rnd.randrange(rnd.choice([3, 12, 400]))}" for _ in range(n)]
+        b = list(a)
+        for _ in range(rnd.randint(0, max(1, n // 4))):
+            k = rnd.randrange(len(b))
+            b[k : k + 1] = rnd.choice([[], [f"x{rnd.randrange(5)}"], [b[k], "new"]])
+        if b and lcs(a, b) >= 0.8 * max(len(a), len(b)) and len(b) > 3 and a != b:
+            assert scanned(a, b), (a, b)
 
 
 def test_separate_insertions_and_deletions_are_found(spark):
-    pairs = [apart(n, n // 5) for n in (5, 9, 11, 12, 15, 16, 17, 20, 25, 30, 35, 40)]
+    pairs = [apart(n, n // 5) for n in (5, 9, 11, 12, 15, 16, 17, 20, 25, 30, 35, 40, 45, 60, 100, 300)]
     rows = [(100 * s + i, s == 1, " ".join(f"n{i}{w}" for w in p[s])) for i, p in enumerate(pairs) for s in (0, 1)]
     df = spark.createDataFrame(rows, "id bigint, t boolean, text string")
     links, _ = P.overlaps(df, F.col("id"), F.col("t"), F.col("text"))

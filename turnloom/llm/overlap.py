@@ -1,18 +1,22 @@
 """Problem 1: records of the evaluation splits that also stand in training.
 
-Word n-gram hashes of the evaluation side are partitioned and training is
-scanned for hits; hits give the containment of each evaluation record in each
-training record, and pairs with enough of it are compared exactly.
+Word pair hashes of the evaluation side are partitioned into blocks, training is
+scanned for hits against each block, and hits give the containment of an
+evaluation record in a training record; pairs with enough of it are compared
+exactly.
 
 * Records with the same words form a class; only one representative a class is
   compared, so groups of exact copies cost nothing until their pairs are listed.
-* Up to SHORT words the n-grams are pairs of words, and no pair of records is lost:
-  with k words out on one side and as many in on the other, the n - k common words
-  stand in at most 2k + 1 runs, and for k = n / 5 one run has two words or more.
-  Longer records use LONG words, winnowed by local minima: any common run of
-  LONG + WINDOW - 1 words shares a hash.
-* No n-gram is dropped, however many pairs it joins: where they are more than BLOCK,
-  its evaluation side is dealt into blocks, each joined with all of its training side.
+* No pair is lost, at any length and in families of any size.  Records of n and m
+  words of which c >= 0.8 * max(n, m) agree in order have at most n + m - 2c + 1
+  runs of common words, so at least 3c - n - m - 1 word pairs in common, which is
+  one or more from four words on.  A record's most frequent fifth of word pairs is
+  left out of the scan and out of that bound (prefix filter in one order for both
+  sides: how often a word pair stands in the block).
+* Only records whose lengths can agree meet: both sides are parted by the power of
+  two of the length, evaluation into blocks and training into chunks of a bounded
+  number of words.  A word pair that stands everywhere is a long posting list in
+  every block, never one task's share.
 """
 
 from __future__ import annotations
@@ -20,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -32,63 +35,101 @@ from turnloom.session import cut, table
 
 registry = Registry()
 
-#: Share of the longer record's words that must agree in order.
-AGREE = 0.8
-LONG, WINDOW, SHORT = 10, 4, 40
-#: Share of a long record's landmarks that must be hit before the exact comparison.
-CONTAINED = 0.05
-#: Pairs that one n-gram joins in one block; bounds a task's share, loses nothing.
-BLOCK = 100_000
+#: Share of the longer record's words that must agree in order, in fifths.
+FIFTHS = 4
+#: Words of evaluation records in a block, and of training records in a chunk; they bound a task's memory and lose nothing.
+BLOCK_WORDS, CHUNK_WORDS = 2_000_000, 1_000_000
+#: Cells of the table of hits that one step of a scan fills.
+_CELLS = 4_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _rolled(h: np.ndarray, n: int) -> np.ndarray:
-    """A hash of each run of n words, from the words' hashes."""
-    if len(h) < n:
-        return h[:0]
-    out = np.zeros(len(h) - n + 1, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(n):
-            out = (out ^ h[k : len(h) - n + 1 + k]) * _MIX
-            out ^= out >> np.uint64(29)
-        return out + np.uint64(n)
-
+def word_pairs(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(record, key) of every word pair of many records, whose words' hashes stand in ``flat`` one record after the other.
 
-def landmark_table(flat: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(record, key, place) of many records at once: ``flat`` holds their words' hashes one after the other.
-
-    ``place`` is where the key's n-gram first stands in ``flat``.  Records of fewer
-    than five words agree with none but their own class and have no key.
-    ``classes`` doesn't matter.
+    A pair that stands in a record again has another key, so that a record's keys are a set.
     """
-    ends = np.cumsum(sizes)
+    if len(flat) < 2:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     record = np.repeat(np.arange(len(sizes)), sizes)
-    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-    def add(size: int, least: int, most: int, window: int = 1) -> None:
-        wanted = (sizes >= least) & (sizes <= most)
-        if not wanted.any() or len(flat) < size + window - 1:
-            return
-        keys = _rolled(flat, size)
-        start = np.arange(len(keys) - window + 1)
-        whole = wanted[record[start]] & (start + window - 1 + size <= ends[record[start]])
-        at = start[whole]
-        if window > 1:
-            at = np.unique(at + np.lib.stride_tricks.sliding_window_view(keys, window)[at].argmin(axis=1))
-        parts.append((record[at], keys[at], at))
-
-    # lengths of a pair differ by a quarter at most, so the ranges overlap by that
-    add(2, 5, SHORT * 5 // 4)
-    add(LONG, SHORT, 1 << 60, WINDOW)
-    if not parts:
-        none = np.zeros(0, dtype=np.int64)
-        return none, np.zeros(0, dtype=np.uint64), none
-    owner, key, place = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((place, key, owner))
-    owner, key, place = owner[order], key[order], place[order]
-    first = np.ones(len(owner), dtype=bool)
-    first[1:] = (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
-    return owner[first], key[first], place[first]
+    with np.errstate(over="ignore"):
+        key = (flat[:-1] * _MIX) ^ (flat[1:] + (flat[1:] << np.uint64(23)))
+        key = (key ^ (key >> np.uint64(29))) * _MIX
+        inside = record[1:] == record[:-1]
+        record, key = record[:-1][inside], key[inside]
+        order = np.lexsort((key, record))
+        record, key = record[order], key[order]
+        first = np.ones(len(key), dtype=bool)
+        first[1:] = (record[1:] != record[:-1]) | (key[1:] != key[:-1])
+        at = np.arange(len(key))
+        return record, key + (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def least_common(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Word pairs that records of n and m words must share if they agree."""
+    c = (FIFTHS * np.maximum(n, m) + 4) // 5
+    return 3 * c - n - m - 1
+
+
+def left_out(n: np.ndarray) -> np.ndarray:
+    """Word pairs of a record that the scan leaves out, the most frequent ones."""
+    return np.where(n >= 12, n // 5, 0)
+
+
+def candidates(flat_e: np.ndarray, n_e: np.ndarray, flat_t: np.ndarray, n_t: np.ndarray) -> Iterator[tuple[int, int, float]]:
+    """(place of e, place of t, containment of e's word pairs in t's) of all pairs that may agree."""
+    rec_e, key_e = word_pairs(flat_e, n_e)
+    rec_t, key_t = word_pairs(flat_t, n_t)
+    if not len(key_e) or not len(key_t):
+        return
+    known, id_e, often = np.unique(key_e, return_inverse=True, return_counts=True)
+    id_t = np.searchsorted(known, key_t).clip(0, len(known) - 1)
+    there = known[id_t] == key_t
+    often_t = np.where(there, often[id_t], 0)
+
+    def kept(record: np.ndarray, often: np.ndarray, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        order = np.lexsort((ids, often, record))
+        start = np.searchsorted(record, np.arange(len(n)))
+        place = np.arange(len(order)) - start[record[order]]
+        return order[place < (n - 1 - left_out(n))[record[order]]]
+
+    keep_e, keep_t = kept(rec_e, often[id_e], id_e, n_e), kept(rec_t, often_t, id_t, n_t)
+    keep_t = keep_t[there[keep_t]]
+    # postings by key and length, so that only lengths that can agree are read
+    far = int(n_e.max()) + 1
+    posting = id_e[keep_e].astype(np.int64) * far + n_e[rec_e[keep_e]]
+    order = np.argsort(posting, kind="stable")
+    posting, of = posting[order], rec_e[keep_e][order]
+    base, m = id_t[keep_t].astype(np.int64) * far, n_t[rec_t[keep_t]]
+    low = np.searchsorted(posting, base + np.minimum((FIFTHS * m + 4) // 5, far))
+    size = np.searchsorted(posting, base + np.minimum(5 * m // FIFTHS, far - 1), "right") - low
+    begin = np.searchsorted(rec_t[keep_t], np.arange(len(n_t) + 1))
+    hits = np.concatenate([[0], np.cumsum(np.maximum(size, 0))])
+    bounds_e, bounds_t = (np.searchsorted(r, np.arange(len(n) + 1)) for r, n in ((rec_e, n_e), (rec_t, n_t)))
+    step, t0 = max(1, _CELLS // len(n_e)), 0
+    while t0 < len(n_t):
+        t1 = t0 + 1
+        while t1 < min(len(n_t), t0 + step) and hits[begin[t1 + 1]] - hits[begin[t0]] <= 2 * _CELLS:
+            t1 += 1
+        rows = slice(begin[t0], begin[t1])
+        n = np.maximum(size[rows], 0)
+        total = int(n.sum())
+        if total:
+            at = np.repeat(low[rows] - (np.cumsum(n) - n), n) + np.arange(total)
+            cell = np.repeat((rec_t[keep_t[rows]] - t0) * len(n_e), n) + of[at]
+            table_of = np.bincount(cell, minlength=(t1 - t0) * len(n_e)).reshape(t1 - t0, len(n_e))
+            mine = n_t[t0:t1]
+            # one less for a longer partner whose fifth is not yet full
+            least = np.maximum(1, least_common(mine, mine) - 1 - left_out(5 * mine // FIFTHS))
+            t, e = np.nonzero(table_of >= least[:, None])
+            need = least_common(n_e[e], mine[t])
+            enough = table_of[t, e] >= need - np.maximum(left_out(n_e[e]), left_out(mine[t]))
+            for i, j, k in zip(e[enough].tolist(), (t[enough] + t0).tolist(), need[enough].tolist()):
+                own = key_e[bounds_e[i] : bounds_e[i + 1]]
+                shared = len(np.intersect1d(own, key_t[bounds_t[j] : bounds_t[j + 1]], assume_unique=True))
+                if shared >= k:
+                    yield i, j, shared / len(own)
+        t0 = t1
 
 
 def same_order(a: list, b: list) -> int:
@@ -125,58 +166,71 @@ def _word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sides, pa.bool_()), pa.array(classes, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], ["id", "is_train", "class", "words"])
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """class, sides, words -> a row for each landmark."""
-    for batch in batches:
-        words = batch.column(3)
-        sizes = np.diff(words.offsets.to_numpy())
-        classes = batch.column(0).to_numpy(zero_copy_only=False)
-        owner, key, _ = landmark_table(words.flatten().to_numpy(zero_copy_only=False).view(np.uint64), sizes, classes)
-        own = pa.array(owner)
-        yield pa.RecordBatch.from_arrays([*[batch.column(i).take(own) for i in range(3)], pa.array(sizes[owner], pa.int32()), pa.array(key.view(np.int64))], ["class", "in_eval", "in_train", "n", "key"])
+LINKS = "e bigint, t bigint, contained double, agreement double"
+
+
+def _cell(evaluation: pa.Table, training: pa.Table) -> pa.Table:
+    """The links between a block of evaluation classes and a chunk of training classes."""
 
+    def side(rows: pa.Table):
+        words = rows.column(1).combine_chunks()
+        flat = words.flatten().to_numpy(zero_copy_only=False)
+        return rows.column(0).to_numpy(), flat.view(np.uint64), np.diff(words.offsets.to_numpy()).astype(np.int64)
 
-def _agree(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        ok = []
-        for a, b in zip(f["words_e"], f["words_t"]):
-            a, b = a.tolist(), b.tolist()
-            ok.append(same_order(a, b) / max(len(a), len(b)))
-        yield f[["e", "t", "contained"]].assign(agreement=ok)
+    out: list[tuple] = []
+    if not evaluation.num_rows or not training.num_rows:
+        return pa.table({c: pa.array([], k) for c, k in zip(("e", "t", "contained", "agreement"), (pa.int64(), pa.int64(), pa.float64(), pa.float64()))})
+    (own_e, flat_e, n_e), (own_t, flat_t, n_t) = side(evaluation), side(training)
+    ends_e, ends_t = np.cumsum(n_e), np.cumsum(n_t)
+    for i, j, contained in candidates(flat_e, n_e, flat_t, n_t):
+        if own_e[i] != own_t[j]:
+            longer = int(max(n_e[i], n_t[j]))
+            same = same_order(flat_e[ends_e[i] - n_e[i] : ends_e[i]].tolist(), flat_t[ends_t[j] - n_t[j] : ends_t[j]].tolist())
+            if 5 * same >= FIFTHS * longer:
+                out.append((own_e[i], own_t[j], contained, same / longer))
+    e, t, contained, agreement = zip(*out) if out else ((), (), (), ())
+    return pa.table({"e": pa.array(e, pa.int64()), "t": pa.array(t, pa.int64()), "contained": pa.array(contained, pa.float64()), "agreement": pa.array(agreement, pa.float64())})
 
 
 def overlaps(records: DataFrame, record_id: Column, is_train: Column, text: Column) -> tuple[DataFrame, DataFrame]:
     """Links between classes of evaluation and training records, and the members of the classes.
 
     Returns (links, members): links has ``e``, ``t`` (classes), ``contained`` (share
-    of the smaller one's landmarks that were hit) and ``agreement`` (words in the
-    same order, as a share of the longer one's); members has ``id``, ``is_train``,
-    ``class``.  ``is_train`` null takes a record out, as does a text that is null
-    or has no words.  Repeated ids count once.  A class that stands in both
-    splits links to itself.  Empty in, empty out; other columns don't matter.
+    of the evaluation record's word pairs that stand in the training record) and
+    ``agreement`` (words in the same order, as a share of the longer one's);
+    members has ``id``, ``is_train``, ``class``.  ``is_train`` null takes a record
+    out, as does a text that is null or has no words.  Repeated ids count once.  A
+    class that stands in both splits links to itself.  Records of fewer than four
+    words agree with their own class only.  Empty in, empty out; other columns
+    don't matter.
     """
     rows = records.select(record_id.alias("id"), is_train.alias("is_train"), text.alias("text")).where("is_train IS NOT NULL AND text IS NOT NULL")
     hashed = cut(rows.mapInArrow(_word_hashes, "id bigint, is_train boolean, class bigint, words array<bigint>").dropDuplicates(["id"]))
     members = hashed.select("id", "is_train", "class")
+    n = F.size("words")
     classes = hashed.groupBy("class").agg(F.max(~F.col("is_train")).alias("in_eval"), F.max("is_train").alias("in_train"), F.any_value("words").alias("words"))
-    classes = cut(classes)
-    keys = classes.select("class", "in_eval", "in_train", "words").mapInArrow(_keys, "class bigint, in_eval boolean, in_train boolean, n int, key bigint")
-    keys = cut(keys)
-    # an n-gram joins e x t pairs, in as many blocks of its evaluation side as they need
-    counts = keys.groupBy("key").agg(F.count_if("in_eval").alias("e"), F.count_if("in_train").alias("t")).where("e > 0 AND t > 0 AND e + t > 1")
-    blocks = F.least("e", F.ceil(F.col("e") * F.col("t") / BLOCK)).cast("int")
-    used = keys.join(counts.select("key", blocks.alias("blocks")), "key")
-    e = used.where("in_eval").select(F.col("class").alias("e"), F.col("n").alias("n_e"), "key", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"))
-    t = used.where("in_train").select(F.col("class").alias("t"), F.col("n").alias("n_t"), "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    fits = (F.col("n_e") >= AGREE * F.col("n_t")) & (F.col("n_t") >= AGREE * F.col("n_e")) & (F.col("e") != F.col("t"))
-    hits = e.join(t, ["key", "block"]).where(fits).groupBy("e", "t").agg(F.count("*").alias("hits"), F.least(F.first("n_e"), F.first("n_t")).alias("n"))
-    # a record of n words has about n * 2 / (WINDOW + 1) landmarks, a short one about n
-    least = F.when(F.col("n") > SHORT, F.col("n") * 2 / (WINDOW + 1)).otherwise(F.col("n"))
-    near = hits.select("e", "t", "n", F.least(F.col("hits") / least, F.lit(1.0)).alias("contained")).where((F.col("n") <= SHORT) | (F.col("contained") >= CONTAINED)).drop("n")
-    words = classes.select("class", "words")
-    pairs = near.join(words.toDF("e", "words_e"), "e").join(words.toDF("t", "words_t"), "t")
-    links = pairs.mapInPandas(_agree, "e bigint, t bigint, contained double, agreement double").where(F.col("agreement") >= AGREE)
+    classes = cut(classes.withColumn("n", n))
+
+    def band(x: Column) -> Column:
+        return F.length(F.bin(x)) - 1
+
+    # the lengths that can agree with n, as powers of two: one or two bands
+    near = F.sequence(band(F.floor((FIFTHS * F.col("n") + 4) / 5)), band(F.floor(5 * F.col("n") / FIFTHS)))
+    e = classes.where("in_eval AND n > 3").select("class", "words", "n", band(F.col("n")).alias("band"))
+    # named anew: both sides of a cogroup must not share columns
+    t = classes.where("in_train AND n > 3").select(F.col("class").alias("class_t"), F.col("words").alias("words_t"), "n", F.explode(near).alias("band"))
+    # at most a row for each power of two
+    size_e, size_t = ({r["band"]: r["k"] for r in x.groupBy("band").agg(F.sum("n").alias("k")).collect()} for x in (e, t))
+    both = sorted(set(size_e) & set(size_t))
     own = classes.where("in_eval AND in_train").select(F.col("class").alias("e"), F.col("class").alias("t"), F.lit(1.0).alias("contained"), F.lit(1.0).alias("agreement"))
+    if not both:
+        return own, members
+    blocks = F.element_at(F.create_map(*[F.lit(x) for b in both for x in (b, -(-size_e[b] // BLOCK_WORDS))]), F.col("band"))
+    chunks = F.element_at(F.create_map(*[F.lit(x) for b in both for x in (b, -(-size_t[b] // CHUNK_WORDS))]), F.col("band"))
+    e = e.where(F.col("band").isin(both)).select("class", "words", "band", F.pmod(F.xxhash64("class"), blocks).alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)).alias("chunk"))
+    t = t.where(F.col("band").isin(both)).select("class_t", "words_t", "band", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"), F.pmod(F.xxhash64("class_t"), chunks).alias("chunk"))
+    cell = ["band", "block", "chunk"]
+    links = e.groupBy(*cell).cogroup(t.groupBy(*cell)).applyInArrow(_cell, LINKS)
     return links.unionByName(own), members
 
 
