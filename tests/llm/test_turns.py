@@ -10,7 +10,7 @@ SCHEMA = "line_id bigint, conversation_id string, utt int, da string, speaker st
 def found(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA).withColumn("words", F.lit("clash")).withColumn("nth", F.lit(3))
     t = P.turn_lines(df)
-    g = t.groupBy("conversation_id", "turn_no").agg(F.first("speaker").alias("s"), F.min_by("line_id", "nth"), F.max_by("line_id", "nth"))
+    g = t.groupBy("conversation_id", "turn_no").agg(F.first("speaker").alias("s"), F.min_by("line_id", "place"), F.max_by("line_id", "place"))
     return sorted(map(tuple, g.collect()), key=str)
 
 
@@ -52,3 +52,32 @@ def test_named_speakers_take_the_slots(spark):
     rows = [("c", "a")] * 3 + [("c", "b")] * 2 + [("d", "john")] * 4 + [("d", "b")]
     got = {tuple(r) for r in P.assigned_speakers(spark.createDataFrame(rows, "conversation_id string, core string")).collect()}
     assert got == {("c", "a", "A"), ("c", "b", "B"), ("d", "john", "A"), ("d", "b", "B")}
+
+
+def test_least_total_cost(spark):
+    """Both names are nearer to 'a'; the one that loses less by it goes to 'b'."""
+    rows = [("x", "a"), ("x", "b"), ("y", "a"), ("y", "b"), ("c", "ana"), ("c", "ana"), ("c", "dora")]
+    got = {tuple(r) for r in P.assigned_speakers(spark.createDataFrame(rows, "conversation_id string, core string")).collect()}
+    assert got >= {("c", "ana", "A"), ("c", "dora", "B")}
+    three = [("x", "a"), ("x", "b"), ("y", "a"), ("y", "b"), ("c", "a"), ("c", "bob"), ("c", "aa")]
+    got = {tuple(r) for r in P.assigned_speakers(spark.createDataFrame(three, "conversation_id string, core string")).collect()}
+    assert got >= {("c", "a", "A"), ("c", "bob", "B"), ("c", "aa", "A")}
+
+
+def test_null_conversation_is_kept(spark):
+    rows = [(1, None, 1, "sd", "A", "one"), (2, None, 2, "sd", "B", "two"), (3, "c", 1, "sd", "A", "x"), (4, "c", 2, "sd", "B", "y")]
+    assert found(spark, rows) == [("c", 0, "A", 3, 3), ("c", 1, "B", 4, 4), (None, 0, "A", 1, 1), (None, 1, "B", 2, 2)]
+
+
+def test_stretches_of_a_long_conversation(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(2)
+    rows = [(i, "c", i if i % 5 else None, "sd", rnd.choice("AAB"), f"{i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d} - word") for i in range(400)]
+    rows += [(1000 + i, "c", None, "sd", rnd.choice("AB"), "word") for i in range(50)]
+    whole = found(spark, rows)
+    monkeypatch.setattr(P, "STRETCH", 7)
+    monkeypatch.setattr(P, "LINES", 3)
+    assert found(spark, rows) == whole
+    speakers = [r[4] for r in rows]
+    assert len(whole) == 1 + sum(a != b for a, b in zip(speakers, speakers[1:]))

@@ -71,9 +71,12 @@ def assigned_speakers(labels: DataFrame, conversation: str = "conversation_id",
     """conversation, core, speaker ('A' or 'B') from a row for each line with its label's core.
 
     The roster is the two phonetic blocks that most conversations use, in their
-    alphabetical order.  In a conversation each roster block takes its slot; the
-    remaining blocks, the most frequent first, take the free slot by the least
-    edit distance to the roster, which for two slots is the optimal assignment.
+    alphabetical order.  In a conversation each roster block takes its slot and
+    every other block the slot of the least edit distance, unless that leaves a
+    slot empty while there are two blocks or more: then the block moves for which
+    that costs least.  With two slots this is the assignment of least total cost
+    in which both are taken.  A null conversation is one like any other; lines
+    without a core have no speaker.
     """
     block = F.when(F.length(core) == 1, F.col(core)).otherwise(F.concat(F.soundex(core), F.substring(core, 1, 1)))
     # the roster is two rows, whatever the corpus holds
@@ -84,17 +87,15 @@ def assigned_speakers(labels: DataFrame, conversation: str = "conversation_id",
     slot = F.lit(None).cast("string")
     for name, like in reversed(list(zip("AB", roster))):
         slot = F.when(F.col("block") == like, name).otherwise(slot)
-    w = Window.partitionBy(conversation)
-    known = blocks.withColumn("slot", slot)
-    known = known.withColumn("taken", F.collect_set("slot").over(w)).withColumn("nth", F.row_number().over(w.orderBy(F.col("slot").isNotNull(), F.desc("n"), "block")))
     far = [F.levenshtein("name", F.lit(x)) for x in roster] or [F.lit(0)]
-    nearer = F.when(far[0] <= far[-1], "A").otherwise("B")
-    free_a, free_b = ~F.array_contains("taken", "A"), ~F.array_contains("taken", "B")
-    first = F.when(free_a & free_b, nearer).when(free_a, "A").when(free_b, "B").otherwise(nearer)
-    second = F.when(free_a & free_b, F.when(nearer == "A", "B").otherwise("A")).otherwise(nearer)
-    guess = F.when(F.col("nth") == 1, first).when(F.col("nth") == 2, second).otherwise(nearer)
-    known = known.select(conversation, "block", F.coalesce("slot", guess).alias("speaker"))
-    return used.join(known, [conversation, "block"]).select(conversation, core, "speaker")
+    known = blocks.withColumn("slot", slot).withColumn("_a", far[0]).withColumn("_b", far[-1])
+    known = known.withColumn("near", F.coalesce("slot", F.when(F.col("_a") <= F.col("_b"), "A").otherwise("B")))
+    w = Window.partitionBy(conversation)
+    cheapest = F.row_number().over(w.orderBy(F.col("slot").isNotNull(), F.abs(F.col("_a") - F.col("_b")), "n", F.desc("block")))
+    one_sided = (F.min("near").over(w) == F.max("near").over(w)) & (F.count("*").over(w) > 1)
+    moves = one_sided & (cheapest == 1) & F.col("slot").isNull()
+    known = known.select(F.col(conversation).alias("_c"), F.col("block").alias("_b"), F.when(moves, F.when(F.col("near") == "A", "B").otherwise("A")).otherwise(F.col("near")).alias("speaker"))
+    return used.join(known, F.col(conversation).eqNullSafe(F.col("_c")) & (F.col("block") == F.col("_b"))).select(conversation, core, "speaker")
 
 
 def ordered_lines(lines: DataFrame) -> DataFrame:
@@ -112,14 +113,32 @@ def ordered_lines(lines: DataFrame) -> DataFrame:
     rows = once.select("conversation_id", "line_id", "utt", "da", told.alias("told"), rest.alias("rest"), seconds_of(clock).alias("sec"), in_text.alias("in_text"))
     body = F.when(F.col("told").isNull() & F.col("in_text").isNotNull(), F.regexp_replace("rest", LABEL, "")).otherwise(F.col("rest"))
     rows = rows.select("conversation_id", "line_id", "utt", "da", "sec", label_core(F.coalesce("told", "in_text")).alias("core"), spoken_words(body).alias("words"))
-    by_time = Window.partitionBy("conversation_id").orderBy(F.col("sec").asc_nulls_last(), F.col("utt").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    before = F.max(F.when(F.col("sec").isNotNull(), F.col("utt"))).over(by_time)
-    at = F.when(F.col("utt").isNotNull(), F.col("utt").cast("double")).when(F.col("sec").isNotNull(), F.coalesce(before, F.lit(-1e9)) + 0.5)
-    return rows.withColumn("at", at)
+    # minutes first, then their summary, so that a long conversation is no one task's
+    rows = rows.withColumn("_minute", F.floor(F.col("sec") / 60))
+    asks = rows.where(F.col("sec").isNotNull())
+    minutes = asks.groupBy("conversation_id", "_minute").agg(F.max("utt").alias("_utt"))
+    earlier = Window.partitionBy("conversation_id").orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
+    minutes = minutes.select(F.col("conversation_id").alias("_c"), F.col("_minute").alias("_m"), F.max("_utt").over(earlier).alias("_earlier"))
+    by_time = Window.partitionBy("conversation_id", "_minute").orderBy("sec").rangeBetween(Window.unboundedPreceding, 0)
+    timed = asks.withColumn("_within", F.max("utt").over(by_time)).join(minutes, F.col("conversation_id").eqNullSafe(F.col("_c")) & (F.col("_minute") == F.col("_m")))
+    before = F.coalesce(F.greatest("_within", "_earlier").cast("double"), F.lit(-1e9)) + 0.5
+    told_at = F.col("utt").cast("double")
+    both = timed.withColumn("at", F.coalesce(told_at, before)).drop("_within", "_earlier", "_c", "_m").unionByName(rows.where(F.col("sec").isNull()).withColumn("at", told_at))
+    return both.drop("_minute")
+
+
+#: Places of a conversation that are folded in one task, and lines where no place is known.
+STRETCH, LINES = 1024, 4096
+
+
+def in_order() -> Column:
+    """The order of a conversation's lines, as one comparable value."""
+    last = F.lit(float("inf"))
+    return F.struct(F.coalesce("at", last), F.coalesce("sec", last), F.col("line_id"))
 
 
 def turn_lines(lines: DataFrame) -> DataFrame:
-    """The lines that belong to turns, with ``speaker`` and ``turn_no``.
+    """The lines that belong to turns, with ``speaker``, ``turn_no`` and ``place`` (their order in the conversation).
 
     Lines of the listener (``da`` begins with b or B), lines without a word, and
     lines whose speaker nothing tells belong to no turn and end none.  Repeated
@@ -130,30 +149,36 @@ def turn_lines(lines: DataFrame) -> DataFrame:
     rows = cut(ordered_lines(lines))
     speakers = assigned_speakers(rows.select("conversation_id", "core"))
     spoken = rows.where(~F.coalesce(F.lower(F.substring(F.trim("da"), 1, 1)) == "b", F.lit(False)) & F.col("words").rlike(r"[\p{L}\p{N}]") & F.col("core").isNotNull())
-    same = rows_equal(spoken, speakers)
-    spoken = spoken.join(speakers.withColumnRenamed("conversation_id", "_c").withColumnRenamed("core", "_k"), same).drop("_c", "_k")
-    w = Window.partitionBy("conversation_id").orderBy(F.col("at").asc_nulls_last(), F.col("sec").asc_nulls_last(), "line_id")
-    before = F.lag("speaker").over(w)
-    opens = F.when(before.isNull() | (before != F.col("speaker")), 1).otherwise(0)
-    return spoken.withColumn("_opens", opens).withColumn("turn_no", (F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).cast("int")).withColumn("nth", F.row_number().over(w)).drop("_opens")
-
-
-def rows_equal(a: DataFrame, b: DataFrame) -> Column:
-    return a["conversation_id"].eqNullSafe(F.col("_c")) & (a["core"] == F.col("_k"))
+    speakers = speakers.toDF("_c", "_k", "speaker")
+    spoken = spoken.join(speakers, F.col("conversation_id").eqNullSafe(F.col("_c")) & (F.col("core") == F.col("_k"))).drop("_c", "_k")
+    # stretches of a conversation are folded apart; what opens at their seams comes from a row for each stretch
+    stretch = F.struct(F.coalesce(F.floor(F.col("at") / STRETCH), F.lit(2**62)).alias("a"), F.when(F.col("at").isNull(), F.floor(F.col("line_id") / LINES)).alias("b"))
+    spoken = spoken.withColumn("_s", stretch).withColumn("_o", in_order())
+    w = Window.partitionBy("conversation_id", "_s").orderBy("_o")
+    changes = F.when(F.lag("speaker").over(w) != F.col("speaker"), 1).otherwise(0)
+    spoken = spoken.withColumn("_changes", changes).withColumn("_own", F.sum("_changes").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    seams = spoken.groupBy("conversation_id", "_s").agg(F.min_by("speaker", "_o").alias("first"), F.max_by("speaker", "_o").alias("last"), F.max("_own").alias("inner"))
+    v = Window.partitionBy("conversation_id").orderBy("_s")
+    seams = seams.withColumn("opens", F.when(F.lag("last").over(v) != F.col("first"), 1).otherwise(0))
+    offset = F.sum(F.col("opens") + F.col("inner")).over(v.rowsBetween(Window.unboundedPreceding, 0)) - F.col("inner")
+    seams = seams.select(F.col("conversation_id").alias("_c"), F.col("_s").alias("_t"), offset.alias("_offset"))
+    spoken = spoken.join(seams, F.col("conversation_id").eqNullSafe(F.col("_c")) & (F.col("_s") == F.col("_t")))
+    spoken = spoken.withColumn("turn_no", (F.col("_offset") + F.col("_own")).cast("int")).withColumn("place", F.col("_o"))
+    return spoken.drop("_c", "_s", "_t", "_o", "_changes", "_own", "_offset")
 
 
 @registry.query("p2_found")
 def p2_found(spark, sf_dir):
     """Each turn with the first and last of its lines."""
     rows = turn_lines(table(spark, sf_dir, "transcript_lines"))
-    return rows.groupBy("conversation_id", "turn_no").agg(F.first("speaker").alias("speaker"), F.min_by("line_id", "nth").alias("first_line_id"), F.max_by("line_id", "nth").alias("last_line_id")).select("conversation_id", "turn_no", "speaker", "first_line_id", "last_line_id")
+    return rows.groupBy("conversation_id", "turn_no").agg(F.first("speaker").alias("speaker"), F.min_by("line_id", "place").alias("first_line_id"), F.max_by("line_id", "place").alias("last_line_id")).select("conversation_id", "turn_no", "speaker", "first_line_id", "last_line_id")
 
 
 @registry.query("p2_turns")
 def p2_turns(spark, sf_dir):
     """Each turn's clean text, dialogue acts and first time."""
     rows = turn_lines(table(spark, sf_dir, "transcript_lines"))
-    parts = F.array_sort(F.collect_list(F.struct("nth", "words", "da")))
+    parts = F.array_sort(F.collect_list(F.struct("place", "words", "da")))
     return (
         rows.groupBy("conversation_id", "turn_no")
         .agg(F.first("speaker").alias("speaker"), F.min("sec").alias("start_sec"), parts.alias("_parts"))
