@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +16,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) a local folder is made.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset on
+    a local master (tests, a laptop) a local folder is made; on a cluster a folder
+    of one machine would lose rows, so an unset folder is an error there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -27,10 +28,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if not current.isDefined():
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="turnloom-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def few(df: DataFrame, most: int, what: str) -> list[Row]:
+    """The rows of a table that is small by nature; an error, not a cut, if it holds more than ``most``."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} {what}")
+    return rows
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder, without its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
