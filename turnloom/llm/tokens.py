@@ -1,9 +1,11 @@
 """Problem 8: the corpus as ids of a public byte-level BPE tokenizer.
 
-Texts are cut into words by the tokenizer's pattern; every distinct word is
-encoded once, by a higher-order fold that merges the pair of least rank over the
-word's bytes, with the ranks as a literal map in the plan; the words' ids are
-then joined back.  Decoding concatenates the binary pieces of the ids.
+Texts are cut into words by the tokenizer's pattern and every document is encoded
+in its own row.  A word is a token, or one of the corpus' most frequent other
+words, whose ids stand in a literal map, or it is folded: a higher-order fold
+merges the pair of least rank over the word's bytes, with the ranks as a literal
+map in the plan.  Only distinct words with their counts are ever shuffled.
+Decoding concatenates the binary pieces of the ids.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import base64
 import json
 import os
+import zlib
 from functools import cache
 
 from pyspark.sql import Column, DataFrame
@@ -27,10 +30,12 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 # Fixed value: the tokenizer's word pattern; blanks are those of Unicode.
 _WS = r"\t-\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = rf"'(?:[sdmt]|ll|ve|re)| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
-#: The literal map is cut into so many parts, as Spark searches a map entry by entry.
-PARTS = 8192
-#: The words whose ids are broadcast: so many of the most frequent, each of so many bytes at most.
+#: The literal maps are cut into so many parts, as Spark searches a map entry by entry.
+PARTS = 8191
+#: The words whose ids stand in the plan: so many of the most frequent that are no token themselves, each of so many bytes at most.
 HOT_WORDS, HOT_BYTES = 60_000, 48
+#: The rank of a pair that is no token.
+_NONE = 2**31 - 1
 
 
 @cache
@@ -40,23 +45,45 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def _part(key: str) -> int:
-    """The part of the rank map that a hex string stands in; the same as ``_part_column``."""
-    import zlib
-
-    return zlib.crc32(key.encode()) % PARTS
+@cache
+def merges(path: str) -> dict[tuple[int, int], int]:
+    """The two ids that each token of several bytes is merged from, to its own id: ranks are in the order of the merges."""
+    rank = ranks(path)
+    out = {}
+    for token, own in rank.items():
+        parts = [token[i : i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            low, at = min((rank.get(parts[i] + parts[i + 1], _NONE), i) for i in range(len(parts) - 1))
+            if low >= own:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        if len(parts) == 2:
+            out[rank[parts[0]], rank[parts[1]]] = own
+    return out
 
 
-def _part_column(key: Column) -> Column:
-    return (F.crc32(key) % PARTS).cast("int") + 1
+@cache
+def _merges_json(path: str) -> str:
+    parts: list[dict[str, list[int]]] = [{"k": [], "v": []} for _ in range(PARTS)]
+    for (a, b), own in merges(path).items():
+        key = a << 20 | b
+        parts[key % PARTS]["k"].append(key)
+        parts[key % PARTS]["v"].append(own)
+    return json.dumps(parts, separators=(",", ":"))
 
 
 @cache
-def _rank_json(path: str) -> str:
-    parts: list[dict[str, int]] = [{} for _ in range(PARTS)]
-    for token, rank in ranks(path).items():
-        parts[_part(key := token.hex().upper())][key] = rank
-    return json.dumps(parts, separators=(",", ":"))
+def _bytes_json(path: str) -> str:
+    rank = ranks(path)
+    return json.dumps([rank[bytes([b])] for b in range(256)])
+
+
+def _by_word(ids_of: dict[str, list[int]]) -> Column:
+    """A literal map of words to ids, in parts."""
+    parts: list[dict[str, list[int]]] = [{} for _ in range(PARTS)]
+    for word, ids in ids_of.items():
+        parts[zlib.crc32(word.encode()) % PARTS][word] = ids
+    return F.from_json(F.lit(json.dumps(parts, separators=(",", ":"))), "array<map<string,array<int>>>")
 
 
 def _let(value: Column, body) -> Column:
@@ -65,49 +92,39 @@ def _let(value: Column, body) -> Column:
 
 
 def bpe_ids(word: Column, path: str) -> Column:
-    """The ids of one word, given as binary or string, by ranked merges.
+    """The ids of one word, given as a string, by ranked merges; null for null."""
+    # the maps stand in the plan once
+    pairs = F.from_json(F.lit(_merges_json(path)), "array<struct<k:array<bigint>,v:array<int>>>")
+    return _let(pairs, lambda pairs: _let(F.from_json(F.lit(_bytes_json(path)), "array<int>"), lambda single: _folded(word, pairs, single)))
 
-    The fold's state is an array of (piece in hex, rank of the piece merged with
-    the next one); every step merges the leftmost pair of least rank and looks up
-    the two ranks that change.
-    """
-    # the map stands in the plan once
-    return _let(F.from_json(F.lit(_rank_json(path)), "array<map<string,int>>"), lambda table_of: _folded(word, table_of))
 
+def _folded(word: Column, pairs: Column, single: Column) -> Column:
+    """The fold's state is the ids so far and the rank of each merged with the next; a step merges the leftmost of least rank."""
 
-def _folded(word: Column, table_of: Column) -> Column:
-    none = F.lit(2**31 - 1)
+    def rank(a: Column, b: Column) -> Column:
+        key = F.shiftleft(a.cast("bigint"), 20) + b
+        return _let(key, lambda k: _let(F.element_at(pairs, (k % PARTS).cast("int") + 1), lambda part: F.coalesce(F.get(part["v"], F.array_position(part["k"], k).cast("int") - 1), F.lit(_NONE))))
 
-    def rank(key: Column) -> Column:
-        return F.coalesce(F.element_at(F.element_at(table_of, _part_column(key)), key), none)
+    # one character for each byte
+    flat = F.decode(F.encode(word, "utf-8"), "iso-8859-1")
+    ids = F.transform(F.filter(F.split(flat, ""), lambda c: c != ""), lambda c: F.element_at(single, F.ascii(c) + 1))
 
-    def state(piece: Column, r: Column) -> Column:
-        return F.struct(piece.alias("p"), r.alias("r"))
+    def start(x: Column) -> Column:
+        return F.struct(x.alias("p"), F.transform(F.slice(x, F.lit(1), F.size(x) - 1), lambda a, i: rank(a, F.get(x, i + 1))).alias("r"))
 
-    hexed = F.hex(word)
-    n = (F.length(hexed) / 2).cast("int")
-    spots = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    start = F.transform(spots, lambda i: _let(F.substring(hexed, i * 2 - 1, F.lit(2)), lambda p: state(p, F.when(i < n, rank(F.substring(hexed, i * 2 - 1, F.lit(4)))).otherwise(none))))
-
-    def merged(acc: Column, at: Column) -> Column:
-        """``acc`` with pieces at and at+1 (from 1) merged."""
-        both = F.concat(F.element_at(acc, at)["p"], F.element_at(acc, at + 1)["p"])
-
-        def build(p: Column) -> Column:
-            size = F.size(acc)
-            after = F.when(at + 2 <= size, rank(F.concat(p, F.get(acc, at + 1)["p"]))).otherwise(none)
-            here = F.array(state(p, after))
-            before = F.when(at > 1, F.array(_let(F.get(acc, at - 2)["p"], lambda q: state(q, rank(F.concat(q, p)))))).otherwise(F.slice(acc, 1, 0))
-            return F.concat(F.slice(acc, F.lit(1), F.greatest(at - 2, F.lit(0))), before, here, F.slice(acc, at + 2, F.greatest(size - at - 1, F.lit(0))))
-
-        return _let(both, build)
+    def merged(acc: Column, m: Column, at: Column) -> Column:
+        """``acc`` with the ids at and at+1 (from 1) merged into ``m``."""
+        p, r = acc["p"], acc["r"]
+        n = F.size(p)
+        before = F.when(at > 1, F.concat(F.slice(r, F.lit(1), at - 2), F.array(rank(F.get(p, at - 2), m)))).otherwise(F.slice(r, 1, 0))
+        after = F.when(at + 1 < n, F.concat(F.array(rank(m, F.get(p, at + 1))), F.slice(r, at + 2, n))).otherwise(F.slice(r, 1, 0))
+        return F.struct(F.concat(F.slice(p, F.lit(1), at - 1), F.array(m), F.slice(p, at + 2, n)).alias("p"), F.concat(before, after).alias("r"))
 
     def step(acc: Column, _: Column) -> Column:
-        lowest = F.array_min(F.transform(acc, lambda x: x["r"]))
-        return _let(lowest, lambda m: F.when(m == none, acc).otherwise(merged(acc, F.array_position(F.transform(acc, lambda x: x["r"]), m).cast("int"))))
+        low = F.coalesce(F.array_min(acc["r"]), F.lit(_NONE))
+        return _let(low, lambda m: F.when(m == _NONE, acc).otherwise(_let(F.array_position(acc["r"], m).cast("int"), lambda at: merged(acc, m, at))))
 
-    folded = F.aggregate(spots, start, step)
-    return F.transform(folded, lambda x: rank(x["p"]))
+    return _let(ids, lambda x: F.when(F.size(x) < 2, x).otherwise(F.aggregate(F.slice(x, F.lit(1), F.size(x) - 1), start(x), step, lambda acc: acc["p"])))
 
 
 def words_of(text: Column) -> Column:
@@ -118,31 +135,42 @@ def words_of(text: Column) -> Column:
 def token_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id, ids) of every row of ``docs``; null and empty texts have the empty list.
 
-    ``doc_id`` must be unique; other columns don't matter.  The distinct words are
-    gathered with their counts, which combine before the shuffle, and encoded
-    once.  The ids of the HOT_WORDS most frequent short words are broadcast (a
-    bounded size), so that a word that holds a third of all places is never
-    shuffled; the rest meet their places by a shuffled join.
+    Rows are neither added nor lost, so repeated ids stay, and a null id is an id;
+    other columns don't matter.  The distinct words are gathered with their
+    counts, which combine before the shuffle; the HOT_WORDS most frequent short
+    ones that are no token (a fixed bound) are encoded once and their ids put into
+    the plan.  All other words are folded where they stand.
     """
     path = path or os.path.join(TOKENIZERS, VOCABULARY)
     spark = docs.sparkSession
-    places = docs.where(F.length(text) > 0).select(F.col(doc_id).alias("_d"), F.posexplode(words_of(F.col(text))).alias("_at", "_w"))
-    counted = cut(places.groupBy("_w").agg(F.count("*").alias("_n")))
-    # the encoding is spread evenly, whatever the shuffle left together
+    words = docs.where(F.length(text) > 0).select(F.explode(words_of(F.col(text))).alias("_w"))
+    whole = {}
+    for token, own in ranks(path).items():
+        try:
+            whole[token.decode()] = [own]
+        except UnicodeDecodeError:
+            pass  # no whole characters, so never a word
+    is_token = _known(_by_word(whole), F.col("_w")).isNotNull()
+    counted = words.groupBy("_w").agg(F.count("*").alias("_n")).where(~is_token & (F.length(F.encode("_w", "utf-8")) <= HOT_BYTES))
+    hot = cut(counted.orderBy(F.desc("_n"), "_w").limit(HOT_WORDS).select("_w"))
+    # the encoding is spread evenly, whatever the sort left together
     spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    coded = cut(counted.repartition(spread).select("_w", "_n", bpe_ids(F.col("_w"), path).alias("_ids")))
-    short = F.length(F.encode("_w", "utf-8")) <= HOT_BYTES
-    hot = coded.where(short).orderBy(F.desc("_n"), "_w").limit(HOT_WORDS).select("_w", F.col("_ids").alias("_hot"))
-    hot = cut(hot)
-    near = places.join(F.broadcast(hot), "_w", "left")
-    some = F.array_sort(F.collect_list(F.struct("_at", "_hot"))).alias("_s")
-    if coded.count() <= hot.count():
-        flat = near.groupBy("_d").agg(some)
-    else:
-        far = near.where("_hot IS NULL").select("_d", "_at", "_w").join(coded.select("_w", "_ids").join(hot.select("_w"), "_w", "left_anti"), "_w").select("_d", "_at", F.col("_ids").alias("_hot"))
-        flat = near.where("_hot IS NOT NULL").select("_d", "_at", "_hot").unionByName(far).groupBy("_d").agg(some)
-    ids = flat.select("_d", F.flatten(F.transform("_s", lambda x: x["_hot"])).alias("ids"))
-    return docs.select(F.col(doc_id)).join(ids, F.col(doc_id) == F.col("_d"), "left").select(doc_id, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    known = whole | {r["_w"]: r["_ids"] for r in hot.repartition(spread).select("_w", bpe_ids(F.col("_w"), path).alias("_ids")).collect()}
+    pairs = F.from_json(F.lit(_merges_json(path)), "array<struct<k:array<bigint>,v:array<int>>>")
+    single = F.from_json(F.lit(_bytes_json(path)), "array<int>")
+
+    def encoded(maps: Column) -> Column:
+        own = maps["words"]
+        return F.flatten(F.transform(words_of(F.col(text)), lambda w: F.coalesce(_known(own, w), _folded(w, maps["pairs"], maps["single"]))))
+
+    # the maps stand in the plan once
+    maps = F.struct(_by_word(known).alias("words"), pairs.alias("pairs"), single.alias("single"))
+    return docs.select(doc_id, F.when(F.length(text) > 0, _let(maps, encoded)).otherwise(F.array().cast("array<int>")).alias("ids"))
+
+
+def _known(words: Column, word: Column) -> Column:
+    """The ids of a word that stands in the map, else null."""
+    return F.try_element_at(F.element_at(words, (F.crc32(word) % PARTS).cast("int") + 1), word)
 
 
 def decoded(ids: Column, path: str | None = None) -> Column:
