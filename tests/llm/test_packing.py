@@ -46,3 +46,19 @@ def test_packed(spark):
         assert all((g["start"].to_numpy()[1:] == g["length"].cumsum().to_numpy()[:-1]).all() for _, g in cut)
         assert sorted(own["container_id"].unique()) == list(range(own["container_id"].nunique()))
     assert packed(df.limit(0), {"s": 10}).count() == 0
+
+
+def test_ranks_in_many_blocks(spark, monkeypatch):
+    from turnloom.llm import packing
+
+    monkeypatch.setattr(packing, "RANK_ROWS", 40)
+    test_packed(spark)
+
+
+def test_bisection(spark):
+    from turnloom.llm.packing import _last_upto
+
+    rows = [(starts, v) for starts in ([0], [0, 3], [0, 1, 2, 5, 9, 30, 31]) for v in range(40)]
+    df = spark.createDataFrame(rows, "s array<bigint>, v bigint")
+    got = [r[0] for r in df.select(_last_upto(F.col("s"), F.col("v"))).collect()]
+    assert got == [max(i for i, x in enumerate(s) if x <= v) for s, v in rows]

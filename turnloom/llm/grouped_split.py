@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from turnloom.llm.words import split_column
 from turnloom.operators.components import components
 from turnloom.registry import Registry
-from turnloom.session import cut, table
+from turnloom.session import cut, few, table
 
 registry = Registry()
 
@@ -140,6 +140,6 @@ def p7_splits(spark, sf_dir):
     """Every dialogue's new split, stratified by dataset."""
     rows = table(spark, sf_dir, "dialogues").select("record_id", "author_id", "source_file", "example_id", "dataset")
     groups = related(rows, "record_id", _keys())
-    targets = {r["split"]: r["proportion"] for r in table(spark, sf_dir, "split_targets").groupBy("split").agg(F.max("proportion").alias("proportion")).limit(100).collect()}
+    targets = {r["split"]: r["proportion"] for r in few(table(spark, sf_dir, "split_targets").groupBy("split").agg(F.max("proportion").alias("proportion")), 1000, "splits")}
     labelled = rows.select("record_id", "dataset").dropDuplicates(["record_id"]).join(groups, "record_id")
     return grouped_split(labelled, "record_id", "group_id", F.col("dataset"), targets)
