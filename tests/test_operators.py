@@ -58,6 +58,9 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 300), (300, 200), (7, 7), (None, 3), (400, 400)] + [(1000, x) for x in range(1001, 1100)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
     assert {got[x] for x in range(1, 41)} == {1} and got[300] == 100 and got[1099] == 1000 and 400 not in got
+    hubs = [(0, i) for i in range(1, 900)] + [(5000, i) for i in range(1000, 1900)] + [(i, i + 1) for i in range(2000, 2040)] + [(7, 7), (None, 3)]
+    got = dict(map(tuple, components(spark.createDataFrame(hubs, "a bigint, b bigint")).collect()))
+    assert got == {i: 0 for i in range(900)} | {i: 1000 for i in [*range(1000, 1900), 5000]} | {i: 2000 for i in range(2000, 2041)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
