@@ -45,3 +45,23 @@ def test_split(spark):
     share = got["split"].value_counts(normalize=True)
     assert abs(share["train"] - 0.8) < 0.02 and abs(share["test"] - 0.1) < 0.02
     assert P.grouped_split(df.limit(0), "record_id", "group_id", F.col("label"), {"a": 1.0}).count() == 0
+    own = df.drop("split").join(P.grouped_split(df, "record_id", "group_id", F.col("label"), {"train": 8, "validation": 1, "test": 1}).select("record_id", "split"), "record_id")
+    for r in P.shares(own, "label", {"train": 8, "validation": 1, "test": 1}).collect():
+        assert abs(r["share"] - r["target"]) < 0.02, r
+
+
+def test_outstanding_labels_come_first():
+    """'b' is rare in all, but once the group (0) that holds most of 'a' is placed, 'a' is the rarest outstanding."""
+    import pandas as pd
+
+    frame = pd.DataFrame({"group_id": [0, 1, 2, 3], "n": [13, 2, 2, 8], "a": [10, 0, 1, 0], "b": [3, 1, 0, 1], "c": [0, 1, 1, 7]})
+    got, need = P.place(frame, ["a", "b", "c"], {"x": 0.5, "y": 0.5})
+    assert set(got) == {0, 1, 2, 3} and list(got)[0] == 0 and got[2] != got[0]
+    assert sum(x[""] for x in need.values()) == 0
+
+
+def test_corpus_shares(spark, sf_dir):
+    from turnloom.llm import catalog
+
+    for r in catalog.queries()["p7_shares"](spark, sf_dir).collect():
+        assert r["label"] != "(all)" or abs(r["share"] - r["target"]) < 0.05, r
