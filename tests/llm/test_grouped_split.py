@@ -63,5 +63,6 @@ def test_outstanding_labels_come_first():
 def test_corpus_shares(spark, sf_dir):
     from turnloom.llm import catalog
 
-    for r in catalog.queries()["p7_shares"](spark, sf_dir).collect():
+    # one author holds a tenth of the rows, so the smallest tables can't come near the targets
+    for r in catalog.queries()["p7_shares"](spark, sf_dir.replace("sf0.001", "sf0.01")).collect():
         assert r["label"] != "(all)" or abs(r["share"] - r["target"]) < 0.05, r
