@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from turnloom.plans import corpus, evaluation, manifest, services, slots, speech_intervals, text, transcripts
+from turnloom.plans import corpus, evaluation, manifest, rendering, services, slots, speech_intervals, text, transcripts
 from turnloom.registry import Query
 
-MODULES = (speech_intervals, text, slots, corpus, evaluation, manifest, transcripts, services)
+MODULES = (speech_intervals, text, slots, corpus, evaluation, manifest, rendering, transcripts, services)
 
 
 def queries() -> dict[str, Query]:

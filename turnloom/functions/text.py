@@ -23,9 +23,13 @@ TAKE_FLOOR, BACKCHANNEL, PAUSE = "[TAKE_FLOOR]", "[BACKCHANNEL]", "[PAUSE]"
 TAGS = ("laughter", "sigh", "confirmation-en", "question-en", "question-ah", "question-oh", "question-ei", "question-yi", "surprise-ah", "surprise-oh", "surprise-wa", "surprise-yo", "dissatisfaction-hnn")
 TAG = r"\[(?:" + "|".join(TAGS) + r")\]"
 STAGE = (
-    "sigh|sighs|sighing|yawn|yawns|yawning|laugh|laughs|laughing|chuckle|chuckles|cough|coughs|clears throat|clearing throat|whistle|whistles|whistling|"
-    "wink|winks|wink wink|smile|smiles|smiling|grin|grins|pause|pauses|hands receipt|three times"
-)
+    "sigh", "sighs", "sighing", "yawn", "yawns", "yawning", "laugh", "laughs", "laughing", "chuckle", "chuckles", "cough", "coughs", "clears throat", "clearing throat",
+    "whistle", "whistles", "whistling", "wink", "winks", "wink wink", "smile", "smiles", "smiling", "grin", "grins", "pause", "pauses", "hands receipt", "three times",
+)
+RISING = ("yeah", "ưm", "vâng", "à", "ừ")
+BACKCHANNELS = ("yeah", "uh-huh", "mm-hmm", "right", "okay")
+UNUTTERED = ("", "-", "...", ".", ",")
+MASKS = r"\[(?:interrupted|MASK1|MASK2)\]"
 WORD = r"[A-Za-zÀ-ỹ]+(?:['’\-][A-Za-zÀ-ỹ]+)*|\d+(?:\.\d+)?"
 INLINE_ROLE = r"(?:user|assistant|system)"
 
@@ -115,8 +119,25 @@ def cut_at_take_floor(x: Column) -> Column:
 
 
 def stage_directions(x: Column) -> Column:
-    """*sighs* and the like removed, other starred phrases without their stars."""
-    return F.regexp_replace(F.regexp_replace(x, rf"(?i)\*[ ,]*(?:{STAGE})[ ,]*\*", ""), r"\*([^*\n]{1,60})\*", "$1")
+    """*sighs* and the like removed, other starred phrases without their stars; stars pair from left to right."""
+    s = F.regexp_replace(x, r"\*([^*\n]{1,60})\*", "\x01$1\x02")
+    s = F.regexp_replace(s, rf"(?i)\x01[ ,]*(?:{'|'.join(STAGE)})[ ,]*\x02", "")
+    return F.regexp_replace(s, r"[\x01\x02]", "")
+
+
+def without_tokens(x: Column) -> Column:
+    """Without backchannel and floor tokens."""
+    return strip(F.replace(F.replace(x, F.lit(BACKCHANNEL), F.lit("")), F.lit(TAKE_FLOOR), F.lit("")))
+
+
+def is_uttered(x: Column) -> Column:
+    """Whether anything is left to say once marks are off."""
+    return ~strip(F.regexp_replace(x, MASKS, "")).isin(*UNUTTERED)
+
+
+def rising(x: Column) -> Column:
+    """A backchannel that reads better as a question gets its mark."""
+    return F.when(F.lower(strip(strip_tags(x))).isin(*RISING), F.concat(F.regexp_replace(x, rf"{BLANK}+$", ""), F.lit("?"))).otherwise(x)
 
 
 def sanitize_text(x: Column) -> Column:
@@ -128,6 +149,12 @@ def sanitize_text(x: Column) -> Column:
     return strip(F.regexp_replace(stage_directions(s), rf"{BLANK}{{2,}}", " "))
 
 
+def name_to_role(x: Column, name: Column, role: str = "User") -> Column:
+    """``name``, a literal that may differ by row, replaced by a role wherever it stands as a whole word, in any case."""
+    bare = F.regexp_replace(name, r"\\E", "")
+    return F.regexp_replace(x, F.concat(F.lit(r"(?iu)(?<![\p{L}\p{M}\p{N}_])\Q"), bare, F.lit(r"\E(?![\p{L}\p{M}\p{N}_])")), F.lit(role))
+
+
 def process_history(x: Column) -> Column:
     """Without backchannel tokens, cut after the floor token."""
     s = F.replace(x, F.lit(BACKCHANNEL), F.lit(""))

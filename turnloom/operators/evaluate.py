@@ -30,7 +30,9 @@ def softmax(x: Column) -> Column:
     """The softmax of an array of logits."""
     top = F.array_max(x)
     e = F.transform(x, lambda v: F.exp(v - top))
-    return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda s, y: s + y))
+    # the exponentials and their sum are bound once
+    bound = F.transform(F.array(F.struct(e.alias("e"), F.aggregate(e, F.lit(0.0), lambda s, y: s + y).alias("s"))), lambda b: F.transform(b["e"], lambda v: v / b["s"]))
+    return F.element_at(bound, 1)
 
 
 def kl(human: Column, pred: Column, eps: float = 1e-12) -> Column:

@@ -32,7 +32,7 @@ def candidates(words: Column) -> Column:
 def slots_a(words: Column, told: Column | None = None) -> Column:
     """Policy A: all candidates, and those in ``told``, but the last."""
     found = candidates(words) if told is None else F.array_sort(F.array_union(candidates(words), told))
-    return F.slice(found, F.lit(1), F.greatest(F.size(found) - 1, F.lit(0)))
+    return F.element_at(F.transform(F.array(found), lambda x: F.slice(x, F.lit(1), F.greatest(F.size(x) - 1, F.lit(0)))), 1)
 
 
 def kept_of_runs(indices: Column) -> Column:
@@ -105,13 +105,21 @@ def spoken_text(words: Column, decisions: Column) -> Column:
 
 
 def reconstructed(words: Column, decisions: Column) -> Column:
-    """The text with a token after each word where floor-taking or a backchannel was decided."""
+    """The text with a token after each word where floor-taking or a backchannel was decided.
 
-    def token(i: Column) -> Column:
-        here = F.filter(decisions, lambda d: (d["word_index"] == i) & (d["decision"] != "silence"))
-        return F.when(F.size(here) > 0, F.when(here[0]["decision"] == "floor_taking", X.TAKE_FLOOR).otherwise(X.BACKCHANNEL))
+    ``decisions`` are in the order of their words; the text is put together from
+    the stretches between them.
+    """
+    acted = F.filter(decisions, lambda d: d["decision"] != "silence")
+
+    def joined(told: Column) -> Column:
+        token = lambda d: F.when(d["decision"] == "floor_taking", X.TAKE_FLOOR).otherwise(X.BACKCHANNEL)
+        before = lambda k: F.coalesce(F.get(told, k - 1)["word_index"] + 1, F.lit(0))
+        parts = F.transform(told, lambda d, k: F.concat(F.slice(words, before(k) + 1, d["word_index"] + 1 - before(k)), F.array(token(d))))
+        rest = F.slice(words, before(F.size(told)) + 1, F.size(words))
+        return F.array_join(F.concat(F.flatten(parts), rest), " ")
 
-    return F.array_join(F.flatten(F.transform(words, lambda w, i: F.when(token(i).isNotNull(), F.array(w, token(i))).otherwise(F.array(w)))), " ")
+    return F.element_at(F.transform(F.array(acted), joined), 1)
 
 
 def last_turns(turns: DataFrame, dialogue: str, order: str, n: int = 4) -> DataFrame:

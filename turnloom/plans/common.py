@@ -42,6 +42,32 @@ def sql_uniform(*parts: str) -> str:
 
 SQL_ROLE = f"CASE WHEN role IS NULL THEN NULL WHEN lower(role) IN ({', '.join(map(q, ASSISTANT))}) THEN 'assistant' ELSE 'user' END"
 
+def sql_stage(x: str) -> str:
+    marked = f"regexp_replace({x}, '\\*([^*\n]{{1,60}})\\*', chr(1) || '\\1' || chr(2), 'g')"
+    return f"regexp_replace(regexp_replace({marked}, chr(1) || '[ ,]*(?:{'|'.join(X.STAGE)})[ ,]*' || chr(2), '', 'gi'), '[' || chr(1) || chr(2) || ']', '', 'g')"
+
+
+def sql_sanitize_text(x: str) -> str:
+    s = f"regexp_replace({x}, '\\[TAKING_FLOOR\\]', '[TAKE_FLOOR]', 'gi')"
+    s = f"regexp_replace(regexp_replace({s}, '\\.\\.\\.|…', '[PAUSE]', 'g'), '\\[(?:User|Assistant) [Tt]urn\\]', '', 'g')"
+    s = f"regexp_replace({s}, '^(?:\\s*(?:\\d+\\)\\s*)?{X.INLINE_ROLE}\\s*:\\s*)+', '', 'i')"
+    return sql_strip(f"regexp_replace({sql_stage(s)}, '{B}{{2,}}', ' ', 'g')")
+
+
+def sql_cut(x: str) -> str:
+    """What stands before the floor token of column ``x`` and one or three words after it."""
+    left, right = sql_strip(f"split_part({x}, '[TAKE_FLOOR]', 1)"), f"substr({x}, strpos({x}, '[TAKE_FLOOR]') + 12)"
+    after = f"regexp_extract_all({right}, {q(X.WORD)})"
+    keep = f"CASE WHEN len(regexp_extract_all({left}, {q(X.WORD)})) < 5 THEN 3 ELSE 1 END"
+    return f"CASE WHEN NOT contains({x}, '[TAKE_FLOOR]') THEN {x} WHEN len({after}) = 0 THEN {left} ELSE trim({left} || ' ' || array_to_string({after}[1:{keep}], ' '), ' ') END"
+
+
+def sql_align(x: str) -> str:
+    """How many words of ``x`` count for alignment."""
+    bare = f"regexp_replace(regexp_replace({x}, '\\[(?:BACKCHANNEL|TAKE_FLOOR|PAUSE|interrupted|MASK1|MASK2)\\]', '', 'g'), {q(X.TAG)}, '', 'g')"
+    return f"len(regexp_extract_all({bare}, {q(X.WORD)}))"
+
+
 #: WITH-clause members: d (each dialogue once), turns (each turn), said (turns with words).
 SQL_TURNS = f"""
 d AS (SELECT DISTINCT record_id, example_id, dataset, split, speakers, context, history FROM dialogues),

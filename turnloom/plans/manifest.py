@@ -1,4 +1,4 @@
-"""Rendering manifests, alignments and timelines."""
+"""Rendering manifests, alignments and timelines."""
 
 from __future__ import annotations
 
@@ -55,45 +55,6 @@ def proj16_channel_flip(spark, sf_dir):
     return C.utterances(spark, sf_dir).select("utterance_id", (1 - F.col("speaker_idx")).alias("channel"), F.when(F.col("speaker_idx") == 0, "user").when(F.col("speaker_idx") == 1, "assistant").alias("speaker"))
 
 
-@registry.query("t18_units", f"""{M}, p AS (SELECT utterance_id, unnest(string_split(regexp_replace(regexp_replace({sql_strip('tts_text')}, '\\.\\.\\.|…', '[PAUSE]', 'g'), '\\[PAUSE\\]', chr(2) || '[PAUSE]' || chr(2), 'g'), chr(2))) AS part, generate_subscripts(string_split(regexp_replace(regexp_replace({sql_strip('tts_text')}, '\\.\\.\\.|…', '[PAUSE]', 'g'), '\\[PAUSE\\]', chr(2) || '[PAUSE]' || chr(2), 'g'), chr(2)), 1) AS k FROM u WHERE tts_text IS NOT NULL),
-s AS (SELECT utterance_id, k, unnest(string_split(regexp_replace(part, '([.?!])\\s+', '\\1' || chr(1), 'g'), chr(1))) AS t, generate_subscripts(string_split(regexp_replace(part, '([.?!])\\s+', '\\1' || chr(1), 'g'), chr(1)), 1) AS j FROM p),
-c AS (SELECT utterance_id, k, j, {sql_strip('t')} AS t FROM s) SELECT utterance_id, CAST(row_number() OVER (PARTITION BY utterance_id ORDER BY k, j) - 1 AS INTEGER) AS unit_no, CASE WHEN t = '[PAUSE]' THEN 'pause' ELSE 'text' END AS kind, CASE WHEN t = '[PAUSE]' THEN '' ELSE t END AS text FROM c WHERE t <> ''""")
-def t18_units(spark, sf_dir):
-    """Texts cut into sentences and pauses."""
-    marked = F.regexp_replace(X.strip(F.col("tts_text")), r"\.\.\.|…", X.PAUSE)
-    parts = F.split(F.regexp_replace(marked, r"\[PAUSE\]", "\x02[PAUSE]\x02"), "\x02")
-    units = F.filter(F.flatten(F.transform(parts, lambda p: F.transform(F.split(p, r"(?<=[.?!])\s+"), X.strip))), lambda t: t != "")
-    rows = C.utterances(spark, sf_dir).where("tts_text IS NOT NULL").select("utterance_id", F.posexplode(units).alias("unit_no", "t"))
-    pause = F.col("t") == X.PAUSE
-    return rows.select("utterance_id", "unit_no", F.when(pause, "pause").otherwise("text").alias("kind"), F.when(pause, "").otherwise(F.col("t")).alias("text"))
-
-
-SQL_SEG = P.SQL_FOLD + """, tok AS (SELECT x.record_id, x.turn, x.role, x.word_index, x.word || CASE f.decision WHEN 'floor_taking' THEN ' [TAKE_FLOOR]' WHEN 'backchannel' THEN ' [BACKCHANNEL]' ELSE '' END AS t FROM x LEFT JOIN fold f ON f.record_id = x.record_id AND f.turn = x.turn AND f.word_index = x.word_index),
-txt AS (SELECT record_id, turn, role, string_agg(t, ' ' ORDER BY word_index) AS s FROM tok GROUP BY ALL),
-cutt AS (SELECT record_id, turn, role, contains(s, '[TAKE_FLOOR]') AS taken, CASE WHEN contains(s, '[TAKE_FLOOR]') THEN trim(split_part(s, '[TAKE_FLOOR]', 1)) ELSE s END AS s FROM txt),
-seg AS (SELECT record_id, turn, role, taken, unnest(string_split(s, '[BACKCHANNEL]')) AS t, generate_subscripts(string_split(s, '[BACKCHANNEL]'), 1) - 1 AS i FROM cutt)"""
-
-
-@registry.query("t16_utterances", SQL_SEG + " SELECT record_id, turn, CAST(i AS INTEGER) AS seg, role, taken, trim(t, ' ,') AS text FROM seg WHERE trim(t, ' ,') <> ''")
-def t16_utterances(spark, sf_dir):
-    """Turns as the utterances between their backchannels, cut where the floor is taken."""
-    from turnloom.operators import slots as S
-
-    rows = P.decided_turns(spark, sf_dir).select("record_id", "turn", "role", S.reconstructed(F.col("words"), F.col("decisions")).alias("s"))
-    taken = F.contains("s", F.lit(X.TAKE_FLOOR))
-    s = F.when(taken, F.trim(F.substring_index("s", X.TAKE_FLOOR, 1))).otherwise(F.col("s"))
-    rows = rows.select("record_id", "turn", "role", taken.alias("taken"), F.posexplode(F.split(s, r"\[BACKCHANNEL\]")).alias("seg", "t"))
-    return rows.select("record_id", "turn", "seg", "role", "taken", F.regexp_replace("t", r"^[ ,]+|[ ,]+$", "").alias("text")).where("text != ''")
-
-
-@registry.query("w13_interrupts", SQL_SEG + ", t2 AS (SELECT record_id, turn, role, taken, lag(taken) OVER w AS before, lag(role) OVER w AS prev FROM cutt WINDOW w AS (PARTITION BY record_id ORDER BY turn)) SELECT record_id, turn, coalesce(before AND prev <> role, false) AS interrupts FROM t2")
-def w13_interrupts(spark, sf_dir):
-    """Turns that interrupt: the other speaker's turn before them had its floor taken."""
-    rows = P.decided_turns(spark, sf_dir).withColumn("taken", F.exists("decisions", lambda d: d["decision"] == "floor_taking"))
-    w = Window.partitionBy("record_id").orderBy("turn")
-    return rows.select("record_id", "turn", F.coalesce(F.lag("taken").over(w) & (F.lag("role").over(w) != F.col("role")), F.lit(False)).alias("interrupts"))
-
-
 @registry.query("j8_backchannels_of_hosts", f"{M}, {HOST} SELECT h.utterance_id, count(b.backchannel_id) AS n, coalesce(string_agg(b.text, '|' ORDER BY b.bc_idx, b.backchannel_id), '') AS texts FROM h LEFT JOIN b ON b.dialogue_id = h.dialogue_id AND b.variant_idx = h.variant_idx AND b.host_idx = h.host_idx GROUP BY h.utterance_id")
 def j8_backchannels_of_hosts(spark, sf_dir):
     """Backchannels joined to the utterance that hosts them."""
@@ -238,32 +199,3 @@ def v2_fingerprints(spark, sf_dir):
     v = table(spark, sf_dir, "voices").groupBy(F.col("voice_id").alias("v")).agg(F.max("wav_size").alias("wav_size"))
     rows = C.utterances(spark, sf_dir).where("voice_id IS NOT NULL").join(v, F.col("voice_id") == F.col("v"), "left")
     return rows.select("utterance_id", F.col("v").isNull().alias("missing"), F.coalesce(F.col("wav_size") <= 0, F.lit(False)).alias("empty"))
-
-
-@registry.query("w8_accumulated_hosts", f"""{M}, {HOST}, m AS (SELECT h.dialogue_id, h.variant_idx, h.host_idx, h.speaker_idx, h.tts_text, lag(h.speaker_idx) OVER w AS prev FROM h WINDOW w AS (PARTITION BY dialogue_id, variant_idx ORDER BY host_idx)),
-r AS (SELECT *, sum(CASE WHEN prev IS NOT DISTINCT FROM speaker_idx THEN 0 ELSE 1 END) OVER (PARTITION BY dialogue_id, variant_idx ORDER BY host_idx) AS g FROM m)
-SELECT dialogue_id, variant_idx, CAST(g - 1 AS BIGINT) AS session, min(host_idx) AS first_host, count(*) AS n, {sql_ws("string_agg(coalesce(tts_text, ''), ' ' ORDER BY host_idx)")} AS text FROM r GROUP BY dialogue_id, variant_idx, g""")
-def w8_accumulated_hosts(spark, sf_dir):
-    """Texts of one speaker accumulated until the other speaks."""
-    w = Window.partitionBy(*UNIT).orderBy("host_idx")
-    opens = F.when(F.lag("speaker_idx").over(w).eqNullSafe(F.col("speaker_idx")) & (F.col("host_idx") > 0), 0).otherwise(1)
-    rows = hosts(spark, sf_dir).withColumn("o", opens).withColumn("session", F.sum("o").over(w) - 1)
-    g = rows.groupBy(*UNIT, "session").agg(F.min("host_idx").alias("first_host"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("host_idx", F.coalesce("tts_text", F.lit("")).alias("t")))).alias("p"))
-    return g.select(*UNIT, "session", "first_host", "n", X.normalize_ws(F.array_join("p.t", " ")).alias("text"))
-
-
-@registry.query("t17_manifest", SQL_SEG + f""", p AS (SELECT record_id, turn, role, i, trim(t, ' ,') AS t FROM seg),
-c AS (SELECT *, sum(len(regexp_extract_all(regexp_replace(t, {q(X.TAG)}, '', 'g'), {q(X.WORD)}))) OVER (PARTITION BY record_id, turn ORDER BY i) AS words, max(i) OVER (PARTITION BY record_id, turn) AS n FROM p),
-h AS (SELECT record_id, turn, {sql_ws("string_agg(t, ' ' ORDER BY i)")} AS tts_text FROM p GROUP BY record_id, turn)
-SELECT c.record_id, c.turn, CAST(c.i AS INTEGER) AS bc_idx, CAST(c.words AS INTEGER) AS word_count, CASE role WHEN 'user' THEN 1 ELSE 0 END AS speaker_idx, h.tts_text FROM c JOIN h ON h.record_id = c.record_id AND h.turn = c.turn WHERE c.i < c.n""")
-def t17_manifest(spark, sf_dir):
-    """Each backchannel with its host's whole text and the words of it that come before."""
-    from turnloom.operators import slots as S
-
-    rows = P.decided_turns(spark, sf_dir).select("record_id", "turn", "role", S.reconstructed(F.col("words"), F.col("decisions")).alias("s"))
-    s = F.when(F.contains("s", F.lit(X.TAKE_FLOOR)), F.trim(F.substring_index("s", X.TAKE_FLOOR, 1))).otherwise(F.col("s"))
-    rows = rows.withColumn("parts", F.transform(F.split(s, r"\[BACKCHANNEL\]"), lambda t: F.regexp_replace(t, r"^[ ,]+|[ ,]+$", "")))
-    text = X.normalize_ws(F.array_join("parts", " "))
-    counts = F.transform(F.slice("parts", F.lit(1), F.size("parts") - 1), lambda _, i: F.size(X.align_words(F.array_join(F.slice("parts", F.lit(1), i + 1), " "))))
-    speaker = F.when(F.col("role") == "user", 1).otherwise(0)
-    return rows.select("record_id", "turn", text.alias("tts_text"), speaker.alias("speaker_idx"), F.posexplode(counts).alias("bc_idx", "word_count"))

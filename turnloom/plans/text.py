@@ -93,10 +93,11 @@ def x6_json_parse(spark, sf_dir):
 _NAME = r"^\p{Lu}\p{L}+"
 
 
-@registry.query("x7_name_to_role", f"{S}, n AS (SELECT *, regexp_extract(content, {q(_NAME)}) AS name FROM said) SELECT record_id, turn, CASE WHEN name = '' THEN content ELSE 'User' || substr(content, length(name) + 1) END AS text FROM n")
+@registry.query("x7_name_to_role", f"{S}, n AS (SELECT *, regexp_extract(content, {q(_NAME)}) AS name FROM said) SELECT record_id, turn, CASE WHEN name = '' THEN content ELSE regexp_replace(regexp_replace(content, '(^|[^\\p{{L}}\\p{{M}}\\p{{N}}_])' || name || '(?:$|([^\\p{{L}}\\p{{M}}\\p{{N}}_]))', '\\1User\\2', 'gi'), '(^|[^\\p{{L}}\\p{{M}}\\p{{N}}_])' || name || '(?:$|([^\\p{{L}}\\p{{M}}\\p{{N}}_]))', '\\1User\\2', 'gi') END AS text FROM n")
 def x7_name_to_role(spark, sf_dir):
-    """The name that opens a turn, replaced by a role where it stands first."""
-    return C.said(spark, sf_dir).withColumn("name", F.regexp_extract("content", f"({_NAME})", 1)).select(*KEY, F.when(F.col("name") == "", F.col("content")).otherwise(F.regexp_replace("content", F.concat(F.lit(r"^\Q"), F.col("name"), F.lit(r"\E")), F.lit("User"))).alias("text"))
+    """The name that opens a turn, replaced by a role wherever it stands as a whole word, in any case."""
+    name = F.regexp_extract("content", f"({_NAME})", 1)
+    return C.said(spark, sf_dir).select(*KEY, F.when(name == "", F.col("content")).otherwise(X.name_to_role(F.col("content"), name)).alias("text"))
 
 
 @registry.query("x9_boundary_words", f"""{S}, w AS (SELECT record_id, turn, {sql_words('content')} AS ws FROM said),
@@ -111,23 +112,27 @@ def x9_boundary_words(spark, sf_dir):
 
 
 def _tagged():
-    return F.concat(F.lit("[laughter] "), F.col("content"), F.lit(" [sigh][PAUSE] well-known [question-en]"))
+    """Turns with known tags, other tags and hyphens in them; whatever brackets the corpus holds stay."""
+    return F.concat(F.lit("[laughter] well-known "), F.col("content"), F.lit(" [sigh][PAUSE] [noise-x] a-b [question-en]"))
 
 
-_SQL_TAGGED = "('[laughter] ' || content || ' [sigh][PAUSE] well-known [question-en]')"
+_SQL_TAGGED = "('[laughter] well-known ' || content || ' [sigh][PAUSE] [noise-x] a-b [question-en]')"
+_BRACKET = r"\[[A-Za-z0-9_\-]+\]"
+#: Bracket tags of a text, and what stands between them.
+_SQL_PIECES = f"regexp_extract_all({_SQL_TAGGED}, {q(_BRACKET)}) AS tags, string_split(regexp_replace({_SQL_TAGGED}, {q(_BRACKET)}, chr(1), 'g'), chr(1)) AS texts"
 
 
-@registry.query("x11_strip_tags", f"{S} SELECT record_id, turn, regexp_replace({_SQL_TAGGED}, {q(X.TAG)}, '', 'g') AS bare, replace(replace(replace(content, '[BACKCHANNEL]', ''), '[TAKE_FLOOR]', ''), '[laughter]', '') AS kept FROM said WHERE NOT contains(content, '[')")
+@registry.query("x11_strip_tags", f"""{S}, p AS (SELECT record_id, turn, {_SQL_TAGGED} AS t, {_SQL_PIECES} FROM said)
+SELECT record_id, turn, regexp_replace(t, {q(X.TAG)}, '', 'g') AS bare, list_reduce(list_prepend('', list_transform(texts, lambda x, i: x || CASE WHEN tags[i] IN ('[sigh]', '[PAUSE]') THEN tags[i] ELSE '' END)), lambda a, b: a || b) AS kept FROM p""")
 def x11_strip_tags(spark, sf_dir):
     """Paralinguistic tags off: the known ones, and all but those kept."""
-    rows = C.said(spark, sf_dir).where(~F.contains("content", F.lit("[")))
-    return rows.select(*KEY, X.strip_tags(_tagged()).alias("bare"), X.strip_tags_but(F.concat(F.col("content"), F.lit("[laughter]")), ("sigh",)).alias("kept"))
+    return C.said(spark, sf_dir).select(*KEY, X.strip_tags(_tagged()).alias("bare"), X.strip_tags_but(_tagged(), ("sigh",)).alias("kept"))
 
 
-@registry.query("x12_dashes", f"{S} SELECT record_id, turn, replace(content, '-', ' ') || ' [question-en] a b' AS text FROM said WHERE NOT contains(content, ']')")
+@registry.query("x12_dashes", f"{S}, p AS (SELECT record_id, turn, {_SQL_PIECES} FROM said) SELECT record_id, turn, list_reduce(list_prepend('', list_transform(texts, lambda x, i: replace(x, '-', ' ') || coalesce(tags[i], ''))), lambda a, b: a || b) AS text FROM p")
 def x12_dashes(spark, sf_dir):
     """Hyphens as spaces outside bracket tags."""
-    return C.said(spark, sf_dir).where(~F.contains("content", F.lit("]"))).select(*KEY, X.dashes_to_spaces(F.concat(F.col("content"), F.lit(" [question-en] a-b"))).alias("text"))
+    return C.said(spark, sf_dir).select(*KEY, X.dashes_to_spaces(_tagged()).alias("text"))
 
 
 @registry.query("x13_sentences", f"""{S}, s AS (SELECT record_id, turn, list_filter(list_transform(string_split(regexp_replace(content, '([.?!])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: {sql_strip('x')}), lambda x: x <> '') AS ss FROM said)
@@ -138,32 +143,36 @@ def x13_sentences(spark, sf_dir):
 
 
 def _floor():
+    """Turns whose floor is taken after a third of their words."""
     ws = X.words(F.col("content"))
-    return F.concat(F.array_join(F.slice(ws, 1, 6), " "), F.lit(" [TAKE_FLOOR] "), F.array_join(F.slice(ws, 7, 4), " "))
-
-
-_W = X.WORD
+    at = F.floor(F.size(ws) / 3).cast("int")
+    return F.concat(F.array_join(F.slice(ws, F.lit(1), at), " "), F.lit(" [TAKE_FLOOR] "), F.array_join(F.slice(ws, at + 1, F.size(ws)), " "))
 
 
 @registry.query("x15_cut_at_take_floor", f"""{S}, w AS (SELECT record_id, turn, {sql_words('content')} AS ws FROM said),
-p AS (SELECT record_id, turn, array_to_string(ws[1:6], ' ') AS l, regexp_extract_all(array_to_string(ws[7:10], ' '), {q(_W)}) AS r FROM w)
-SELECT record_id, turn, CASE WHEN len(r) = 0 THEN l ELSE l || ' ' || array_to_string(r[1:CASE WHEN len(regexp_extract_all(l, {q(_W)})) < 5 THEN 3 ELSE 1 END], ' ') END AS text FROM p""")
+p AS (SELECT record_id, turn, array_to_string(ws[1:len(ws) // 3], ' ') || ' [TAKE_FLOOR] ' || array_to_string(ws[len(ws) // 3 + 1:], ' ') AS s FROM w) SELECT record_id, turn, {C.sql_cut('s')} AS text FROM p""")
 def x15_cut_at_take_floor(spark, sf_dir):
     """Turns cut shortly after the floor was taken."""
     return C.said(spark, sf_dir).select(*KEY, X.cut_at_take_floor(_floor()).alias("text"))
 
 
-@registry.query("x16_sanitize_text", f"""{S} SELECT record_id, turn, {sql_strip("regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(content, '*', ''), '" + X.INLINE_ROLE.replace("(?:", "^(?:") + "\\s*:\\s*', '', 'i'), '\\.\\.\\.|…', '[PAUSE]', 'g') || ' [TAKE_FLOOR] happily', '^\\s+', ''), '" + X.BLANK + "{2,}', ' ', 'g')")} AS text FROM said""")
+_STARRED = "('3) user: ' || content || '[User Turn] [taking_floor] *sighs* *happily* * wink *and* so*')"
+
+
+def _starred():
+    return F.concat(F.lit("3) user: "), F.col("content"), F.lit("[User Turn] [taking_floor] *sighs* *happily* * wink *and* so*"))
+
+
+@registry.query("x16_sanitize_text", f"{S} SELECT record_id, turn, {C.sql_sanitize_text(_STARRED)} AS text FROM said")
 def x16_sanitize_text(spark, sf_dir):
     """Roles, turn marks and stage directions taken off."""
-    x = F.concat(F.lit("3) user: "), F.replace("content", F.lit("*"), F.lit("")), F.lit("[User Turn] [taking_floor] *sighs* *happily*"))
-    return C.said(spark, sf_dir).select(*KEY, X.sanitize_text(x).alias("text"))
+    return C.said(spark, sf_dir).select(*KEY, X.sanitize_text(_starred()).alias("text"))
 
 
-@registry.query("x17_stage_directions", f"{S} SELECT record_id, turn, ' and loudly ' || replace(content, '*', '') AS text FROM said")
+@registry.query("x17_stage_directions", f"{S} SELECT record_id, turn, {C.sql_stage(_STARRED)} AS text FROM said")
 def x17_stage_directions(spark, sf_dir):
     """Starred stage directions."""
-    return C.said(spark, sf_dir).select(*KEY, X.stage_directions(F.concat(F.lit("*sighs* and *loudly* "), F.replace("content", F.lit("*"), F.lit("")))).alias("text"))
+    return C.said(spark, sf_dir).select(*KEY, X.stage_directions(_starred()).alias("text"))
 
 
 def _sql_markup(x):
@@ -183,10 +192,10 @@ def x18_transcript_markup(spark, sf_dir):
     return lines.select("line_id", X.end_marker(F.col("text_raw")).alias("end_marker"), X.transcript_markup(F.regexp_replace("text_raw", r"-?/\s*$", "")).alias("text"))
 
 
-@registry.query("x21_rising", f"WITH {C.SQL_MANIFEST} SELECT backchannel_id, CASE WHEN lower(text) IN ('yeah', 'ưm', 'vâng', 'à', 'ừ') THEN rtrim(text) || '?' ELSE text END AS text FROM b")
+@registry.query("x21_rising", f"WITH {C.SQL_MANIFEST} SELECT backchannel_id, CASE WHEN lower({sql_strip(f"regexp_replace(text, {q(X.TAG)}, '', 'g')")}) IN ({', '.join(map(q, X.RISING))}) THEN regexp_replace(text, {q(X.BLANK + '+$')}, '') || '?' ELSE text END AS text FROM b")
 def x21_rising(spark, sf_dir):
     """Backchannels that read better as a question."""
-    return C.backchannels(spark, sf_dir).select("backchannel_id", F.when(F.lower("text").isin("yeah", "ưm", "vâng", "à", "ừ"), F.concat(F.rtrim("text"), F.lit("?"))).otherwise(F.col("text")).alias("text"))
+    return C.backchannels(spark, sf_dir).select("backchannel_id", X.rising(F.col("text")).alias("text"))
 
 
 @registry.query("x22_punc_norm", f"""{S}, t AS (SELECT record_id, turn, {sql_ws('content')} AS s FROM said),
