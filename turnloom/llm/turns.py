@@ -98,12 +98,8 @@ def assigned_speakers(labels: DataFrame, conversation: str = "conversation_id",
     return used.join(known, F.col(conversation).eqNullSafe(F.col("_c")) & (F.col("block") == F.col("_b"))).select(conversation, core, "speaker")
 
 
-def ordered_lines(lines: DataFrame) -> DataFrame:
-    """Lines once each, with ``sec`` (time in the text), ``at`` (place in the conversation), ``core``, ``words``.
-
-    ``at`` orders by ``utt``; a line without ``utt`` follows the lines whose time
-    is not after its own, and one without either comes last.
-    """
+def cleaned_lines(lines: DataFrame) -> DataFrame:
+    """Lines once each, with ``sec`` (time in the text), ``core`` (of the speaker's label) and ``words``."""
     once = lines.repartition("conversation_id").dropDuplicates(["conversation_id", "line_id"])
     raw = F.regexp_replace(F.coalesce("text_raw", F.lit("")), r"[\x{A0}\x{200B}\x{FEFF}]", " ")
     clock = F.coalesce(F.nullif(F.regexp_extract(raw, TIME, 1), F.lit("")), F.nullif(F.regexp_extract(raw, TIME, 2), F.lit("")))
@@ -112,7 +108,15 @@ def ordered_lines(lines: DataFrame) -> DataFrame:
     in_text = F.coalesce(F.nullif(F.regexp_extract(rest, LABEL, 1), F.lit("")), F.nullif(F.regexp_extract(rest, LABEL, 2), F.lit("")))
     rows = once.select("conversation_id", "line_id", "utt", "da", told.alias("told"), rest.alias("rest"), seconds_of(clock).alias("sec"), in_text.alias("in_text"))
     body = F.when(F.col("told").isNull() & F.col("in_text").isNotNull(), F.regexp_replace("rest", LABEL, "")).otherwise(F.col("rest"))
-    rows = rows.select("conversation_id", "line_id", "utt", "da", "sec", label_core(F.coalesce("told", "in_text")).alias("core"), spoken_words(body).alias("words"))
+    return rows.select("conversation_id", "line_id", "utt", "da", "sec", label_core(F.coalesce("told", "in_text")).alias("core"), spoken_words(body).alias("words"))
+
+
+def placed_lines(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``at``, their place in the conversation.
+
+    ``at`` orders by ``utt``; a line without ``utt`` follows the lines whose time
+    is not after its own, and one without either comes last.
+    """
     # minutes first, then their summary, so that a long conversation is no one task's
     rows = rows.withColumn("_minute", F.floor(F.col("sec") / 60))
     asks = rows.where(F.col("sec").isNotNull())
@@ -146,9 +150,9 @@ def turn_lines(lines: DataFrame) -> DataFrame:
     empty out.
     """
     # cleaned once, read for the roster, the labels and the turns
-    rows = cut(ordered_lines(lines))
+    rows = cut(cleaned_lines(lines))
     speakers = assigned_speakers(rows.select("conversation_id", "core"))
-    spoken = rows.where(~F.coalesce(F.lower(F.substring(F.trim("da"), 1, 1)) == "b", F.lit(False)) & F.col("words").rlike(r"[\p{L}\p{N}]") & F.col("core").isNotNull())
+    spoken = placed_lines(rows).where(~F.coalesce(F.lower(F.substring(F.trim("da"), 1, 1)) == "b", F.lit(False)) & F.col("words").rlike(r"[\p{L}\p{N}]") & F.col("core").isNotNull())
     speakers = speakers.toDF("_c", "_k", "speaker")
     spoken = spoken.join(speakers, F.col("conversation_id").eqNullSafe(F.col("_c")) & (F.col("core") == F.col("_k"))).drop("_c", "_k")
     # stretches of a conversation are folded apart; what opens at their seams comes from a row for each stretch
