@@ -1,10 +1,9 @@
 """Problem 8: the corpus as ids of a public byte-level BPE tokenizer.
 
 Texts are cut into words by the tokenizer's pattern and every document is encoded
-in its own row.  A word is a token, or one of the corpus' most frequent other
-words, whose ids stand in a literal map, or it is folded: a higher-order fold
-merges the pair of least rank over the word's bytes, with the ranks as a literal
-map in the plan.  Only distinct words with their counts are ever shuffled.
+in its own row.  The ids of the corpus' most frequent words stand in a literal map;
+all other words, and these once, are folded: a higher-order fold merges the pair
+of least rank over the word's bytes, with the ranks as a literal map.  Only distinct words with their counts are ever shuffled.
 Decoding concatenates the binary pieces of the ids.
 """
 
@@ -16,7 +15,7 @@ import os
 import zlib
 from functools import cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.registry import Registry
@@ -32,8 +31,8 @@ _WS = r"\t-\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\
 WORD = rf"'(?:[sdmt]|ll|ve|re)| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 #: The literal maps are cut into so many parts, as Spark searches a map entry by entry.
 PARTS = 8191
-#: The words whose ids stand in the plan: so many of the most frequent that are no token themselves, each of so many bytes at most.
-HOT_WORDS, HOT_BYTES = 60_000, 48
+#: The words whose ids stand in the plan: so many of the most frequent, each of so many bytes at most.
+HOT_WORDS, HOT_BYTES = 30_000, 48
 #: The rank of a pair that is no token.
 _NONE = 2**31 - 1
 
@@ -78,12 +77,18 @@ def _bytes_json(path: str) -> str:
     return json.dumps([rank[bytes([b])] for b in range(256)])
 
 
-def _by_word(ids_of: dict[str, list[int]]) -> Column:
-    """A literal map of words to ids, in parts."""
+def _maps(spark: SparkSession, path: str, ids_of: dict[str, list[int]]) -> Column:
+    """The literal maps of a plan: ids by word in parts, merges in parts, ids of single bytes.
+
+    They are a scalar subquery, which is a literal once it runs; a map of this size
+    spelled out in the plan would stand in every description of it.
+    """
     parts: list[dict[str, list[int]]] = [{} for _ in range(PARTS)]
     for word, ids in ids_of.items():
         parts[zlib.crc32(word.encode()) % PARTS][word] = ids
-    return F.from_json(F.lit(json.dumps(parts, separators=(",", ":"))), "array<map<string,array<int>>>")
+    one = spark.createDataFrame([(json.dumps(parts, ensure_ascii=False, separators=(",", ":")), _merges_json(path), _bytes_json(path))], "w string, m string, b string")
+    read = F.struct(F.from_json("w", "array<map<string,array<int>>>").alias("words"), F.from_json("m", "array<struct<k:array<bigint>,v:array<int>>>").alias("pairs"), F.from_json("b", "array<int>").alias("single"))
+    return one.select(read.alias("maps")).scalar()
 
 
 def _let(value: Column, body) -> Column:
@@ -91,15 +96,11 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def bpe_ids(word: Column, path: str) -> Column:
-    """The ids of one word, given as a string, by ranked merges; null for null."""
-    # the maps stand in the plan once
-    pairs = F.from_json(F.lit(_merges_json(path)), "array<struct<k:array<bigint>,v:array<int>>>")
-    return _let(pairs, lambda pairs: _let(F.from_json(F.lit(_bytes_json(path)), "array<int>"), lambda single: _folded(word, pairs, single)))
-
-
 def _folded(word: Column, pairs: Column, single: Column) -> Column:
-    """The fold's state is the ids so far and the rank of each merged with the next; a step merges the leftmost of least rank."""
+    """The ids of one word, given as a string, by ranked merges; null for null.
+
+    The fold's state is the ids so far and the rank of each merged with the next; a step merges the leftmost of least rank.
+    """
 
     def rank(a: Column, b: Column) -> Column:
         key = F.shiftleft(a.cast("bigint"), 20) + b
@@ -138,34 +139,23 @@ def token_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
     Rows are neither added nor lost, so repeated ids stay, and a null id is an id;
     other columns don't matter.  The distinct words are gathered with their
     counts, which combine before the shuffle; the HOT_WORDS most frequent short
-    ones that are no token (a fixed bound) are encoded once and their ids put into
-    the plan.  All other words are folded where they stand.
+    ones (a fixed bound) are encoded once and their ids put into the plan.  All other words are folded where they stand.
     """
     path = path or os.path.join(TOKENIZERS, VOCABULARY)
     spark = docs.sparkSession
     words = docs.where(F.length(text) > 0).select(F.explode(words_of(F.col(text))).alias("_w"))
-    whole = {}
-    for token, own in ranks(path).items():
-        try:
-            whole[token.decode()] = [own]
-        except UnicodeDecodeError:
-            pass  # no whole characters, so never a word
-    is_token = _known(_by_word(whole), F.col("_w")).isNotNull()
-    counted = words.groupBy("_w").agg(F.count("*").alias("_n")).where(~is_token & (F.length(F.encode("_w", "utf-8")) <= HOT_BYTES))
+    counted = words.groupBy("_w").agg(F.count("*").alias("_n")).where(F.length(F.encode("_w", "utf-8")) <= HOT_BYTES)
     hot = cut(counted.orderBy(F.desc("_n"), "_w").limit(HOT_WORDS).select("_w"))
     # the encoding is spread evenly, whatever the sort left together
     spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    known = whole | {r["_w"]: r["_ids"] for r in hot.repartition(spread).select("_w", bpe_ids(F.col("_w"), path).alias("_ids")).collect()}
-    pairs = F.from_json(F.lit(_merges_json(path)), "array<struct<k:array<bigint>,v:array<int>>>")
-    single = F.from_json(F.lit(_bytes_json(path)), "array<int>")
+    folded = _let(F.col("_maps"), lambda maps: _folded(F.col("_w"), maps["pairs"], maps["single"]))
+    known = {r["_w"]: r["_ids"] for r in hot.repartition(spread).select("_w", _maps(spark, path, {}).alias("_maps")).select("_w", folded.alias("_ids")).collect()}
 
     def encoded(maps: Column) -> Column:
-        own = maps["words"]
-        return F.flatten(F.transform(words_of(F.col(text)), lambda w: F.coalesce(_known(own, w), _folded(w, maps["pairs"], maps["single"]))))
+        return F.flatten(F.transform(words_of(F.col("_text")), lambda w: F.coalesce(_known(maps["words"], w), _folded(w, maps["pairs"], maps["single"]))))
 
-    # the maps stand in the plan once
-    maps = F.struct(_by_word(known).alias("words"), pairs.alias("pairs"), single.alias("single"))
-    return docs.select(doc_id, F.when(F.length(text) > 0, _let(maps, encoded)).otherwise(F.array().cast("array<int>")).alias("ids"))
+    ids = F.when(F.length("_text") > 0, _let(F.col("_maps"), encoded)).otherwise(F.array().cast("array<int>"))
+    return docs.select(doc_id, F.col(text).alias("_text"), _maps(spark, path, known).alias("_maps")).select(doc_id, ids.alias("ids"))
 
 
 def _known(words: Column, word: Column) -> Column:
