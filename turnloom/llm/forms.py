@@ -159,28 +159,55 @@ class Forms:
         for p in [*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000), *range(0x304B, 0x30FF)]:
             for seq in spelled_out(chr(p)):
                 classes.union(chr(p), seq)
-        self.across: dict[str, dict[str, str]] = {}
+        # letters of different scripts that look alike, and letters of one script
+        of_script: dict[str, str] = {}
         for line in LOOKALIKES.split("\n"):
-            row = {s: x for s, x in zip(SCRIPTS, line.split()) if x != "-"}
-            for x in row.values():
-                self.across[x] = row
+            row = [x for x in line.split() if x != "-"]
+            for x in row[1:]:
+                classes.union(row[0], x)
         for twins in TWINS:
             usual = max(twins, key=lambda x: (counts[ord(x)], -twins.index(x)))
             for x in twins:
                 if counts[ord(usual)] or seen is None:
                     classes.union(usual, x)
-        letters = Counter()
-        for ch in self.across:
-            letters[script_of(ch)] += counts[ord(ch)]
-        #: Look-alikes in use in their script: a word wholly of another script is only read as such letters.
-        self.usual = {ch for ch in self.across if seen is None or counts[ord(ch)] * 1000 > letters[script_of(ch)]} | {ch for ch in self.across if ch.isascii()}
+                    of_script[x] = script_of(twins[0])
+
+        def script(x: str) -> str | None:
+            return of_script.get(x) or (script_of(x[0]) if x else None)
+
         self.rewrite: dict[str, str] = {}
+        #: A letter's representatives in the scripts in which its class has one.
+        self.across: dict[str, dict[str, str]] = {}
         for members in classes.members().values():
             plain = [x for x in members if x in ("", " ") or (len(x) == 1 and plain_of(x) is None)] or [x for x in members if all(plain_of(c) is None for c in x)]
             if not plain:
                 continue
-            best = max(plain, key=lambda x: (counts[ord(x)] if len(x) == 1 else 0, x == classes.find(x)))
-            self.rewrite |= {x: best for x in members if x != best and x not in ("", " ")}
+            # the most frequent plain member of each script, and of all for what belongs to none
+            best = lambda own: max(own, key=lambda x: (counts[ord(x)] if len(x) == 1 else 0, x == classes.find(x), x.isascii()))
+            reps = {k: best([x for x in plain if script(x) == k]) for k in {script(x) for x in plain}}
+            any_rep = best(plain)
+            for x in members:
+                rep = reps.get(script(x), any_rep)
+                if x != rep and x not in ("", " "):
+                    self.rewrite[x] = rep
+            told = {k: x for k, x in reps.items() if k}
+            if len(told) > 1:
+                for x in plain:
+                    self.across[x] = told
+        letters = Counter()
+        for ch in self.across:
+            letters[script_of(ch)] += counts[ord(ch)]
+        #: Look-alikes in use in their script: a word wholly of another script is only read as such letters.
+        self.usual = {ch for ch in self.across if seen is None or counts[ord(ch)] * 1000 > letters[script_of(ch)]} | {ch for ch in self.across if ch.isascii()}
+        #: For each script, the automaton that writes a word in it.
+        self.into = {}
+        for s in SCRIPTS:
+            self.into[s] = ahocorasick.Automaton()
+            for ch, told in self.across.items():
+                if s in told and script_of(ch) != s:
+                    self.into[s].add_word(ch, ch)
+            self.into[s].make_automaton()
+        self._known: dict[str, tuple[Counter, set[str]]] = {}
         self.automaton = ahocorasick.Automaton()
         for x in self.rewrite:
             self.automaton.add_word(x, x)
@@ -190,34 +217,59 @@ class Forms:
         self.suspects = "[\\p{M}" + "".join(f"\\x{{{ord(x):X}}}" for x in singles if not unicodedata.category(x).startswith("M")) + "]"
         self._suspect = MARKS.union(singles)
 
+    def _told(self, word: str) -> tuple[Counter, set[str]]:
+        """How many letters of each script a word has, and the scripts it can be written in."""
+        got = self._known.get(word)
+        if got is None:
+            own, can = Counter(), set(SCRIPTS)
+            for ch in word:
+                if s := script_of(ch):
+                    own[s] += 1
+                    can &= {s, *self.across.get(ch, ())}
+            if len(self._known) > 200_000:
+                self._known.clear()
+            got = self._known[word] = (own, can)
+        return got
+
+    def _written(self, word: str, script: str) -> str:
+        """A word rewritten greedily in a script."""
+        out, at = [], 0
+        for end, ch in self.into[script].iter_long(word):
+            out += [word[at : end + 1 - len(ch)], self.across[ch][script]]
+            at = end + 1
+        return "".join([*out, word[at:]])
+
     def _settle(self, text: str) -> str:
         """Letters of another script that look like their word's own."""
         words = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(text)]
-        own = [Counter(s for s in map(script_of, w) if s) for _, _, w in words]
-        if len({s for c in own for s in c}) < 2:
+        told = [self._told(w) for _, _, w in words]
+        if len({s for own, _ in told for s in own}) < 2:
             return text
-        able = []
-        for _, _, w in words:
-            can = set(SCRIPTS)
-            for ch in w:
-                if s := script_of(ch):
-                    can &= {s, *self.across.get(ch, {})}
-            able.append(can)
-        whole = sum((c for c, can in zip(own, able) if len(c) == 1 and len(can) == 1), Counter())
+        # letters of the words that can only be of one script
+        whole = Counter()
+        for own, can in told:
+            if len(own) == 1 and len(can) == 1:
+                for s, n in own.items():
+                    whole[s] += n
+        # the script of the words that can only be of one, place by place
+        sure = [next(iter(can)) if len(can) == 1 else None for _, can in told]
         out, at = [], 0
         for k, (a, b, w) in enumerate(words):
+            own, can = told[k]
+            if len(own) == 1 and len(can) == 1:
+                continue
             to = None
-            if len(own[k]) > 1:
-                if able[k]:
-                    to = max(able[k], key=lambda s: (own[k][s], whole[s], s))
-            elif len(able[k]) > 1:
-                near = Counter(next(iter(able[j])) for j in range(max(0, k - 3), min(len(words), k + 4)) if j != k and len(able[j]) == 1)
-                mine = next(iter(own[k]))
-                other = max(able[k] - {mine}, key=lambda s: (near[s], s))
-                if near[other] > near[mine] and whole[other] > whole[mine] and all(self.across[ch][other] in self.usual for ch in w if ch in self.across):
+            if len(own) > 1:
+                if can:
+                    to = max(can, key=lambda s: (own[s], whole[s], s))
+            elif len(can) > 1:
+                near = sure[max(0, k - 3) : k + 4]
+                mine = next(iter(own))
+                other = max(can - {mine}, key=lambda s: (near.count(s), s))
+                if near.count(other) > near.count(mine) and whole[other] > whole[mine] and all(self.across[ch][other] in self.usual for ch in w if ch in self.across):
                     to = other
             if to:
-                out += [text[at:a], "".join(self.across[ch][to] if ch in self.across and script_of(ch) != to else ch for ch in w)]
+                out += [text[at:a], self._written(w, to)]
                 at = b
         return "".join([*out, text[at:]]) if out else text
 
