@@ -44,7 +44,7 @@ def test_segments():
 
 def test_nothing_to_tell():
     f = fitted()
-    for text in ("", "Um, hmm. Uh.", "12 345.", "Quinbrak 12, Zarvormund 87, Tursolbel 375", "[PAUSE] [laughter]"):
+    for text in ("", "Um, hmm. Uh.", "12 345.", "Quinbrak 12, Zarvormund 87, Tursolbel 375", "34a6c3ahahf40e05203na6d33079fc6a8 ohoha16cd3aa", "[PAUSE] [laughter]"):
         assert f.segments([text]) == []
 
 

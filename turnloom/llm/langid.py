@@ -40,8 +40,8 @@ SOUNDS = set("um umm uhm uh uhh hm hmm hmmm mm mmm er erm äh ähm öh euh heu e
 SAMPLE = 2500
 #: Bloom slots, hashes of an n-gram, votes of one n-gram, and the cost of a change of language in n-grams.
 SLOTS, HASHES, VOTE, SWITCH = 1 << 20, 3, 60, 0.9
-#: Votes for each n-gram that a sentence of more than two must have: lists of names have few.
-DENSE = 0.15
+#: Votes for each n-gram that a sentence of more than two must have: lists of names have hardly any, speech has more than 0.45.
+DENSE = 0.3
 #: A word that stands less often in the sample, and mostly with a capital, is taken for a name.
 NAME = 12
 _FIELD = 24
@@ -49,7 +49,8 @@ _MASK = (1 << _FIELD) - 1
 
 _TAG = re.compile(r"\[[A-Za-z_ ]+\]|<[^<>]{1,40}>|\{F[^{}]*\}|\*[^*]{1,40}\*|https?://\S+")
 _SENTENCE = re.compile(r"[^.!?。！？…\n]*(?:[.!?…]+(?=[\s\"'”’)\]]|$)[\"'”’)\]]*|[。！？]+|\n|[.!?…]+|$)")
-_WORD = re.compile(r"[぀-ヿ㐀-鿿ー]+|[^\W\d_぀-ヿ㐀-鿿ー]+")
+# letters beside digits are codes, no words
+_WORD = re.compile(r"[぀-ヿ㐀-鿿ー]+|(?<!\d)[^\W\d_぀-ヿ㐀-鿿ー]++(?!\d)")
 _JA = re.compile(r"[぀-ヿ㐀-鿿ー]")
 
 
@@ -281,6 +282,7 @@ def corpus(spark, sf_dir: str) -> DataFrame:
 
 
 def _segments(spark, sf_dir: str) -> DataFrame:
+    """Every text with its segments.  The few repeated deliveries are told twice, which costs less than shuffling all texts to find them."""
     texts = corpus(spark, sf_dir)
     said = table(spark, sf_dir, "utterances").select(F.col("utterance_id").alias("row_id"), label_language(F.col("language_id")).alias("label"), F.col("tts_text").alias("text")).where("length(text) > 0")
     return language_segments(texts, fit(sample(said)))
