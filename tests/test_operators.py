@@ -168,7 +168,7 @@ def test_manifest_entries(spark):
 def test_models(spark):
     df = spark.createDataFrame([(1, "ab"), (2, ""), (3, None)], "i int, t string").coalesce(1).withColumn("v", F.lit("x"))
     got = {r.i: (r.samples, r.status) for r in M.rendered(df, "t", "v", M.SilentSynthesizer()).collect()}
-    assert got == {1: (2880, "retried"), 2: (0, "fallback"), 3: (0, "fallback")}
+    assert got == {1: (2880, "ok"), 2: (0, "fallback"), 3: (0, "fallback")}
     talk = spark.createDataFrame([("d", [("user", "hi"), ("assistant", None)]), ("e", None)], "k string, h array<struct<role:string,content:string>>")
     rows = M.rewritten(talk, "k", "h", M.EchoGenerator(), lambda s: "user:" not in s, str.strip).collect()
     assert [(r.k, r.turn) for r in rows] == [("d", 0), ("d", 1)]

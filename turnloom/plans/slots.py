@@ -175,7 +175,11 @@ def proj12_dialogue_block(spark, sf_dir):
     return C.dialogues(spark, sf_dir).where("size(history) > 0").select("record_id", F.array_join(line, "\n").alias("block"))
 
 
-@registry.query("proj13_prompts", f"WITH {SQL_W}, {SQL_CONTEXT} SELECT s.record_id, s.turn, s.word_index, 'History:' || chr(10) || array_to_string(list_transform(c, lambda t: coalesce(t.role, '?') || ': ' || t.content), chr(10)) || chr(10) || 'Now: ' || array_to_string(ws[1:word_index + 1], ' ') AS prompt FROM sa s JOIN ctx4 ON s.record_id = ctx4.record_id AND s.turn = ctx4.turn")
+SQL_SAID_WORDS = f"WITH {SQL_W}"
+SQL_PROMPTS = f"WITH {SQL_W}, {SQL_CONTEXT} SELECT s.record_id, s.turn, s.word_index, 'History:' || chr(10) || array_to_string(list_transform(c, lambda t: coalesce(t.role, '?') || ': ' || t.content), chr(10)) || chr(10) || 'Now: ' || array_to_string(ws[1:word_index + 1], ' ') AS prompt FROM sa s JOIN ctx4 ON s.record_id = ctx4.record_id AND s.turn = ctx4.turn"
+
+
+@registry.query("proj13_prompts", SQL_PROMPTS)
 def proj13_prompts(spark, sf_dir):
     """The prompt for each slot: the context and the turn so far."""
     rows = S.last_turns(C.turns(spark, sf_dir), "record_id", "turn").where(X.strip(F.col("content")) != "").withColumn("words", X.words(F.col("content")))
