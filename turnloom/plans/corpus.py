@@ -159,12 +159,19 @@ def a2_summary(spark, sf_dir):
     return rows.rollup("dataset").agg(*counts, F.count("*").alias("total")).withColumn("dataset", F.coalesce("dataset", F.lit("(all)")))
 
 
-@registry.query("a6_quota", f"{T}, o AS (SELECT record_id, dataset, {_SPLIT} AS s, row_number() OVER (PARTITION BY dataset, {_SPLIT} ORDER BY record_id) AS rn FROM d) SELECT record_id, dataset, CASE WHEN s = 'test' AND rn <= 5 THEN 'test' WHEN s = 'test' THEN 'train' ELSE s END AS split FROM o WHERE s IN ('train', 'test') AND (s = 'test' OR rn <= 40)")
+_REFS = f"refs AS (SELECT DISTINCT lower(example_id) AS ref FROM d WHERE {_SPLIT} = 'test')"
+
+
+@registry.query("a6_quota", f"{T}, {_REFS}, o AS (SELECT record_id, dataset, CASE WHEN ref IS NOT NULL THEN 'test' ELSE {_SPLIT} END AS s FROM d LEFT JOIN refs ON lower(example_id) = ref), r AS (SELECT *, row_number() OVER (PARTITION BY dataset, s ORDER BY record_id) AS rn FROM o) SELECT record_id, dataset, CASE WHEN s = 'test' AND rn <= 5 THEN 'test' WHEN s = 'test' THEN 'train' ELSE s END AS split FROM r WHERE s IN ('train', 'test') AND (s = 'test' OR rn <= 40)")
 def a6_quota(spark, sf_dir):
-    """Caps per dataset: five test dialogues, the rest overflow into train, forty train ones."""
-    rows = C.dialogues(spark, sf_dir).select("record_id", "dataset", split_of(F.col("split")).alias("s"))
-    rows = rows.withColumn("rn", F.row_number().over(Window.partitionBy("dataset", "s").orderBy("record_id"))).where("s IN ('train', 'test') AND (s = 'test' OR rn <= 40)")
-    return rows.select("record_id", "dataset", F.when((F.col("s") == "test") & (F.col("rn") > 5), "train").otherwise(F.col("s")).alias("split"))
+    """Caps per dataset: dialogues that a reference list names are tests, five of them; the rest overflow into train, with forty others."""
+    d = C.dialogues(spark, sf_dir).select("record_id", "example_id", "dataset", split_of(F.col("split")).alias("s"))
+    refs = d.where("s = 'test'").select(F.lower("example_id").alias("ref")).distinct()
+    rows = d.join(refs, F.lower("example_id") == F.col("ref"), "left").select("record_id", "dataset", F.when(F.col("ref").isNotNull(), "test").otherwise(F.col("s")).alias("s"))
+    capped = O.first(rows.where("s IN ('train', 'test')"), ["dataset", "s"], ["record_id"], 40).where("s = 'train' OR rn < 5")
+    kept = capped.select("record_id", "dataset", F.col("s").alias("split"))
+    rest = rows.where("s = 'test'").join(capped.select("record_id"), "record_id", "left_anti").select("record_id", "dataset", F.lit("train").alias("split"))
+    return kept.unionByName(rest)
 
 
 @registry.query("a8_distinct_files", "WITH r AS (SELECT DISTINCT record_id, source_file FROM dialogues WHERE source_file IS NOT NULL), k AS (SELECT *, row_number() OVER (PARTITION BY lower(source_file) ORDER BY record_id) AS rn FROM r) SELECT record_id, source_file FROM k WHERE rn = 1")
@@ -199,18 +206,36 @@ def o1_even_sample(spark, sf_dir):
     return O.evenly_spaced(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], ["doc_id"], 7)
 
 
-@registry.query("o2_split_by_file", f"{T}, f AS (SELECT DISTINCT record_id, source_file FROM dialogues), s AS (SELECT record_id, coalesce(regexp_extract(source_file, '\\.([a-z]+)$', 1), '') AS kind FROM f), n AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY record_id) - 1 AS rn, count(*) OVER (PARTITION BY kind) AS n FROM s), i AS (SELECT unnest(range(9)) AS i) SELECT DISTINCT record_id, kind FROM n, i WHERE n <= 9 OR rn = CAST(floor(i * (n / 9.0)) AS BIGINT)")
+_OF_PATH = "CASE WHEN regexp_matches(lower(source_file), '(^|[/_.-])train([/_.-]|$)') THEN 'train' WHEN regexp_matches(lower(source_file), '(^|[/_.-])test([/_.-]|$)') THEN 'test' WHEN regexp_matches(lower(source_file), '(^|[/_.-])(valid(ation)?|dev)([/_.-]|$)') THEN 'validation' ELSE 'unknown' END"
+
+
+@registry.query("o2_split_by_file", f"WITH f AS (SELECT DISTINCT record_id, source_file FROM dialogues), s AS (SELECT record_id, {_OF_PATH} AS part FROM f), n AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY record_id) - 1 AS rn, count(*) OVER (PARTITION BY part) AS n FROM s), i AS (SELECT unnest(range(9)) AS i) SELECT DISTINCT record_id, part FROM n, i WHERE n <= 9 OR rn = CAST(floor(i * (n / 9.0)) AS BIGINT)")
 def o2_split_by_file(spark, sf_dir):
-    """An even sample for each kind of file."""
-    rows = table(spark, sf_dir, "dialogues").select("record_id", F.coalesce(F.regexp_extract("source_file", r"\.([a-z]+)$", 1), F.lit("")).alias("kind")).dropDuplicates(["record_id"])
-    return O.evenly_spaced(rows, ["kind"], ["record_id"], 9)
+    """An even sample for each split that the path of a dialogue's file tells."""
+    low = F.lower("source_file")
+    ends = r"(^|[/_.-])(?:%s)([/_.-]|$)"
+    part = F.when(low.rlike(ends % "train"), "train").when(low.rlike(ends % "test"), "test").when(low.rlike(ends % "valid(?:ation)?|dev"), "validation").otherwise("unknown")
+    rows = table(spark, sf_dir, "dialogues").select("record_id", part.alias("part")).dropDuplicates(["record_id"])
+    return O.evenly_spaced(rows, ["part"], ["record_id"], 9)
+
+
+@registry.query("o3_by_label", f"{T}, n AS (SELECT record_id, {_SPLIT} AS label, row_number() OVER (PARTITION BY {_SPLIT} ORDER BY record_id) - 1 AS rn, count(*) OVER (PARTITION BY {_SPLIT}) AS n FROM d), i AS (SELECT unnest(range(11)) AS i) SELECT DISTINCT record_id, label FROM n, i WHERE label <> 'unknown' AND (n <= 11 OR rn = CAST(floor(i * (n / 11.0)) AS BIGINT))")
+def o3_by_label(spark, sf_dir):
+    """An even sample for each split's label; dialogues without one are in no part."""
+    rows = C.dialogues(spark, sf_dir).select("record_id", split_of(F.col("split")).alias("label")).where("label != 'unknown'")
+    return O.evenly_spaced(rows, ["label"], ["record_id"], 11)
 
 
 @registry.query("o4_halves", f"WITH {_DOCS}, i AS (SELECT unnest(range(12)) AS i), k AS (SELECT DISTINCT doc_id, source, rn FROM n, i WHERE n <= 12 OR rn = CAST(floor(i * (n / 12.0)) AS BIGINT)), m AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM k) SELECT doc_id, source, CASE WHEN r <= 8 THEN 'train' ELSE 'test' END AS split FROM m")
 def o4_halves(spark, sf_dir):
     """Twelve evenly spaced documents of each source, of which the first eight train."""
-    rows = O.evenly_spaced(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], ["doc_id"], 12)
-    return O.numbered(rows, ["source"], ["doc_id"]).select("doc_id", "source", F.when(F.col("rn") < 8, "train").otherwise("test").alias("split"))
+    return O.halves(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], ["doc_id"], 8, 4)
+
+
+@registry.query("o4_halves_all", f"WITH {_DOCS} SELECT doc_id, source, CASE WHEN rn < n // 2 THEN 'train' ELSE 'test' END AS split FROM n")
+def o4_halves_all(spark, sf_dir):
+    """All documents of each source, of which the first half trains, as there is no limit."""
+    return O.halves(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], ["doc_id"], None, 4)
 
 
 @registry.query("o6_ratio_resplit", f"{T}, r AS (SELECT record_id, dataset, row_number() OVER (PARTITION BY dataset ORDER BY CASE {_SPLIT} WHEN 'train' THEN 0 WHEN 'validation' THEN 1 WHEN 'test' THEN 2 ELSE 3 END, record_id) AS rn, count(*) OVER (PARTITION BY dataset) AS n FROM d) SELECT record_id, dataset, CASE WHEN rn <= CAST(floor(n * 0.9) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM r")
@@ -254,15 +279,14 @@ def o9_variants(spark, sf_dir):
 def o10_capped(spark, sf_dir):
     """The first 25 pending dialogues of each dataset; pending is decided before the cap (K9)."""
     rows = C.dialogues(spark, sf_dir).where("size(history) > 0").select("record_id", "dataset")
-    return O.numbered(rows, ["dataset"], ["record_id"]).where("rn < 25").select("record_id", "dataset")
+    return O.first(rows, ["dataset"], ["record_id"], 25).select("record_id", "dataset")
 
 
 @registry.query("o12_batches", f"WITH {C.SQL_MANIFEST}, x AS (SELECT utterance_id, length(tts_text) > 200 AS oversize, u.voice_id FROM u WHERE tts_text IS NOT NULL AND voice_id IS NOT NULL), r AS (SELECT *, row_number() OVER (PARTITION BY voice_id, oversize ORDER BY utterance_id) - 1 AS rn FROM x) SELECT utterance_id, voice_id, oversize, CAST(CASE WHEN oversize THEN rn ELSE rn // 8 END AS BIGINT) AS batch FROM r")
 def o12_batches(spark, sf_dir):
     """Texts of a voice in batches of eight; oversized ones alone."""
-    rows = C.utterances(spark, sf_dir).where("tts_text IS NOT NULL AND voice_id IS NOT NULL").select("utterance_id", "voice_id", (F.length("tts_text") > 200).alias("oversize"))
-    rn = F.row_number().over(Window.partitionBy("voice_id", "oversize").orderBy("utterance_id")) - 1
-    return rows.withColumn("batch", F.when(F.col("oversize"), rn).otherwise(F.floor(rn / 8)).cast("bigint"))
+    rows = C.utterances(spark, sf_dir).where("tts_text IS NOT NULL AND voice_id IS NOT NULL").select("utterance_id", "voice_id", F.length("tts_text").alias("length"))
+    return O.batches(rows, ["voice_id"], ["utterance_id"], F.col("length"), 8, 200).select("utterance_id", "voice_id", "oversize", "batch")
 
 
 @registry.query("j3_resume", f"{T} SELECT record_id FROM d WHERE record_id NOT IN (SELECT record_id FROM dialogues WHERE style = 'spoken')")
