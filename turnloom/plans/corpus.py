@@ -57,26 +57,10 @@ def proj4_scenario(spark, sf_dir):
     return C.dialogues(spark, sf_dir).select("record_id", s.alias("scenario"))
 
 
-@registry.query("proj5_packed", f"{T}, {SQL_DIM} SELECT record_id, coalesce(code, 'OTH') AS code, license, len(history) AS n_segments, to_json(list_transform(history, lambda h: struct_pack(role := h.role, segments := h.content))) AS segments FROM d LEFT JOIN dim USING (dataset) WHERE history IS NOT NULL")
-def proj5_packed(spark, sf_dir):
-    """Dialogues in release form: segments instead of contents, code and licence stamped."""
-    rows = C.dialogues(spark, sf_dir).where("history IS NOT NULL").join(dim(spark), "dataset", "left")
-    seg = F.to_json(F.transform("history", lambda h: F.struct(h["role"].alias("role"), h["content"].alias("segments"))), {"ignoreNullFields": "false"})
-    return rows.select("record_id", F.coalesce("code", F.lit("OTH")).alias("code"), "license", F.size("history").cast("bigint").alias("n_segments"), seg.alias("segments"))
-
-
-@registry.query("proj6_unpacked", f"{T} SELECT record_id, turn, history[i].role AS role, content FROM (SELECT e.record_id, CAST(i - 1 AS INTEGER) AS turn, history, i, history[i].content AS content FROM e)")
-def proj6_unpacked(spark, sf_dir):
-    """The release form read back: the same turns (P5 and P6 undo each other)."""
-    packed = proj5_packed(spark, sf_dir)
-    turns = F.from_json("segments", "array<struct<role:string,segments:string>>")
-    return packed.select("record_id", F.posexplode(turns).alias("turn", "t")).select("record_id", "turn", F.col("t.role").alias("role"), F.col("t.segments").alias("content"))
-
-
-@registry.query("proj7_adapted", "WITH d AS (SELECT DISTINCT doc_id, source, split, text FROM documents) SELECT doc_id, coalesce(source, 'doc') || '_' || CAST(doc_id AS VARCHAR) AS example_id, coalesce(lower(split), 'unknown') AS split FROM d WHERE text IS NOT NULL")
+@registry.query("proj7_adapted", "WITH d AS (SELECT DISTINCT doc_id, source, split, text FROM documents) SELECT doc_id, coalesce(source, 'doc') || '_' || CAST(doc_id AS VARCHAR) AS example_id, coalesce(lower(split), 'unknown') AS split FROM d")
 def proj7_adapted(spark, sf_dir):
     """Rows of another schema in ours: ids by coalesce, the split overwritten."""
-    d = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", F.concat_ws("_", F.coalesce("source", F.lit("doc")), F.col("doc_id").cast("string")).alias("example_id"), F.coalesce(F.lower("split"), F.lit("unknown")).alias("split"))
 
 
@@ -87,35 +71,79 @@ def proj17_concise(spark, sf_dir):
     return C.dialogues(spark, sf_dir).where("history IS NOT NULL").select("record_id", F.size(half).cast("bigint").alias("n_turns"))
 
 
+# What a dialogue is dropped for, in the order of the rules, with the pattern of each; brackets and roles are classified below.
 _DROP = [
     ("multi-turn concat", r"(?is)\d+\)\s*(?:user|assistant|system)\s*:.*\d+\)\s*(?:user|assistant|system)\s*:"),
     ("think-block leak", r"(?i)</?think\b"),
     ("very-long", None),
     ("markdown bold leak", r"\*\*[^*\n]{1,200}\*\*"),
     ("asterisk turn marker", r"(?i)\*[^*\n]*?(?:next\s+turn|user\s*:|assistant\s*:|user\s*'?s?\s+next|assistant\s*'?s?\s+next)[^*\n]*\*"),
-    ("template placeholder", r"\[(?i:email[ -]protected|(?:your|some|city|state|country|old|new|insert|enter|placeholder)\b[^\[\]\n]{0,60})\]|\[[A-Z][a-z]+(?: [A-Z][a-z]+){0,3}\]"),
 ]
+# Bracketed texts that are meant, and those that are left from a template.
+_BRACKET = r"\[[^\[\]\n]{1,60}\]"
+_MEANT = ("[BACKCHANNEL]", "[TAKE_FLOOR]", "[PAUSE]", "[MASK1]", "[MASK2]", "[interrupted]", "[sigh]")
+_TURN_MARK = r"(?i)^\[(?:taking_floor|(?:user|assistant)(?:'s)? turn)\]$"
+_LEFT = r"(?i)^\[(?:email[ -]protected\]|(?:your|some|city|state|country|old|new|insert|enter|placeholder)\b)"
+_TITLE = r"^\[[A-Z][a-z]+(?:\s+[A-Z][a-z]+){0,3}\]$"
+_INLINE = r"(?i)^\s*(?:\d+\)\s*)?(user|assistant|system)\s*:\s*"
+
+
+def is_placeholder(token):
+    """Whether a bracketed text is left from a template."""
+    meant = token.isin(*_MEANT) | token.rlike(_TURN_MARK)
+    return ~meant & (token.rlike(_LEFT) | token.rlike(_TITLE))
+
+
+def drop_reason(role, content):
+    """The first rule that a turn breaks, null if it breaks none; ``role`` is the turn's own, unmapped."""
+    inline = F.lower(F.regexp_extract(content, _INLINE, 1))
+    hits = [(name, content.rlike(pattern) if pattern else F.length(content) > 1500) for name, pattern in _DROP]
+    hits.append(("template placeholder", F.exists(F.regexp_extract_all(content, F.lit(f"({_BRACKET})"), F.lit(1)), is_placeholder)))
+    hits.append(("role mismatch", (inline != "") & (F.coalesce(role, F.lit("")) != "") & (inline != F.lower(role))))
+    reason = None
+    for name, hit in hits:
+        reason = F.when(hit, name) if reason is None else reason.when(hit, name)
+    return reason
+
+
+_SQL_PLACE = f"list_filter(regexp_extract_all(content, {q(_BRACKET)}), lambda t: t NOT IN ({', '.join(map(q, _MEANT))}) AND NOT regexp_matches(t, {q(_TURN_MARK)}) AND (regexp_matches(t, {q(_LEFT)}) OR regexp_matches(t, {q(_TITLE)})))"
+_SQL_INLINE = f"lower(regexp_extract(content, {q(_INLINE)}, 1))"
+_SQL_REASON = f"""rsn AS (SELECT record_id, turn, CASE {' '.join(f"WHEN regexp_matches(content, {q(p)}) THEN {q(n)}" if p else f"WHEN length(content) > 1500 THEN {q(n)}" for n, p in _DROP)}
+  WHEN len({_SQL_PLACE}) > 0 THEN 'template placeholder' WHEN {_SQL_INLINE} <> '' AND coalesce(role, '') <> '' AND {_SQL_INLINE} <> lower(role) THEN 'role mismatch' END AS reason
+  FROM (SELECT record_id, CAST(i - 1 AS INTEGER) AS turn, history[i].role AS role, history[i].content AS content FROM e))"""
 
 
-@registry.query("f2_dropped", f"""{T}, r AS (SELECT record_id, turn, CASE {' '.join(f"WHEN regexp_matches(content, {q(p)}) THEN {q(n)}" if p else f"WHEN length(content) > 1500 THEN {q(n)}" for n, p in _DROP)} END AS reason FROM turns)
-SELECT record_id, arg_min(reason, turn) AS reason, min(turn) AS turn FROM r WHERE reason IS NOT NULL GROUP BY record_id""")
+def own_turns(spark, sf_dir):
+    """Each turn with its own role, as it stands."""
+    return C.dialogues(spark, sf_dir).select("record_id", F.posexplode("history").alias("turn", "h")).select("record_id", "turn", F.col("h.role").alias("role"), F.col("h.content").alias("content"))
+
+
+@registry.query("f2_dropped", f"{T}, {_SQL_REASON} SELECT record_id, arg_min(reason, turn) AS reason, min(turn) AS turn FROM rsn WHERE reason IS NOT NULL GROUP BY record_id")
 def f2_dropped(spark, sf_dir):
-    """Dialogues to drop and the first reason, in turn and rule order."""
-    c, reason = F.col("content"), None
-    for name, pattern in _DROP:
-        hit = c.rlike(pattern) if pattern else F.length(c) > 1500
-        reason = F.when(hit, name) if reason is None else reason.when(hit, name)
-    bad = C.turns(spark, sf_dir).select("record_id", "turn", reason.alias("reason")).where("reason IS NOT NULL")
+    """Dialogues to drop and the first reason, in turn and rule order."""
+    bad = own_turns(spark, sf_dir).select("record_id", "turn", drop_reason(F.col("role"), F.col("content")).alias("reason")).where("reason IS NOT NULL")
     return bad.groupBy("record_id").agg(F.min_by("reason", "turn").alias("reason"), F.min("turn").alias("turn"))
 
 
-@registry.query("f2_kept", f"{T} SELECT dataset, count(*) AS n FROM d WHERE record_id NOT IN (SELECT record_id FROM turns WHERE length(content) > 1500 OR contains(content, '**')) GROUP BY dataset")
+@registry.query("f2_kept", f"{T}, {_SQL_REASON} SELECT dataset, count(*) AS n FROM d WHERE record_id NOT IN (SELECT record_id FROM rsn WHERE reason IS NOT NULL) GROUP BY dataset")
 def f2_kept(spark, sf_dir):
     """Dialogues that stay, by dataset: an anti join against those dropped."""
-    bad = C.turns(spark, sf_dir).where("length(content) > 1500 OR contains(content, '**')").select("record_id").distinct()
+    bad = f2_dropped(spark, sf_dir).select("record_id")
     return C.dialogues(spark, sf_dir).join(bad, "record_id", "left_anti").groupBy("dataset").agg(F.count("*").alias("n"))
 
 
+_PLANTED = "content || CASE record_id % 7 WHEN 1 THEN ' [Your Name]' WHEN 2 THEN ' [User''s turn] [sigh]' WHEN 3 THEN ' [Los Angeles]' WHEN 4 THEN ' [email protected]' ELSE '' END"
+
+
+@registry.query("f3_placeholders", f"{T}, p AS (SELECT record_id, turn, {_PLANTED} AS content FROM said) SELECT record_id, turn, array_to_string({_SQL_PLACE}, '|') AS found FROM p WHERE len({_SQL_PLACE}) > 0")
+def f3_placeholders(spark, sf_dir):
+    """The placeholders in turns, of which some were put in."""
+    extra = F.col("record_id") % 7
+    planted = F.when(extra == 1, " [Your Name]").when(extra == 2, " [User's turn] [sigh]").when(extra == 3, " [Los Angeles]").when(extra == 4, " [email protected]").otherwise("")
+    found = F.filter(F.regexp_extract_all(F.concat("content", planted), F.lit(f"({_BRACKET})"), F.lit(1)), is_placeholder)
+    return C.said(spark, sf_dir).select("record_id", "turn", F.array_join(found, "|").alias("found")).where("found != ''")
+
+
 @registry.query("f10_uttered", f"WITH {C.SQL_MANIFEST} SELECT utterance_id, coalesce({sql_strip('tts_text')} NOT IN ('', '-', '...', '.', ','), false) AS uttered FROM u")
 def f10_uttered(spark, sf_dir):
     """Whether an utterance has anything to utter."""
