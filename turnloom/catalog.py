@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from turnloom.plans import corpus, evaluation, manifest, release, rendering, services, slots, speech_intervals, text, transcripts
+from turnloom.plans import corpus, evaluation, examples, manifest, release, rendering, services, slots, speech_intervals, text, transcripts
 from turnloom.registry import Query
 
-MODULES = (speech_intervals, text, slots, corpus, evaluation, manifest, rendering, release, transcripts, services)
+MODULES = (speech_intervals, text, slots, corpus, evaluation, examples, manifest, rendering, release, transcripts, services)
 
 
 def queries() -> dict[str, Query]:

@@ -203,3 +203,26 @@ def first_json(x: Column, schema: str) -> Column:
         return F.when(F.try_parse_json(s).isNotNull(), F.from_json(s, schema))
 
     return F.coalesce(read(x), read(F.nullif(F.regexp_extract(x, r"(?s)(\{.*\})", 1), F.lit(""))))
+
+
+def flat_json(x: Column, schema: str) -> Column:
+    """The first {...} without braces in it, as JSON; null if there is none or it doesn't parse."""
+    found = F.nullif(F.regexp_extract(x, r"(?s)(\{[^{}]*\})", 1), F.lit(""))
+    return F.when(F.try_parse_json(found).isNotNull(), F.from_json(found, schema))
+
+
+def without_fences(x: Column) -> Column:
+    """Without a code fence around the text."""
+    return strip(F.regexp_replace(F.regexp_replace(strip(x), r"^```[a-zA-Z0-9_+-]*\s*", ""), r"\s*```$", ""))
+
+
+def told_distribution(x: Column, names: tuple[str, ...], fallback: Column) -> Column:
+    """The numbers that an answer's first flat JSON gives for ``names``, as shares of their sum; ``fallback`` where it can't be read or they sum to nothing.
+
+    A missing or null number is 0.
+    """
+    read = flat_json(x, ", ".join(f"`{n}` double" for n in names))
+    values = F.array(*[F.coalesce(read[n], F.lit(0.0)) for n in names])
+    told = F.struct(values.alias("v"), F.aggregate(values, F.lit(0.0), lambda a, b: a + b).alias("s"))
+    bound = F.transform(F.array(told), lambda t: F.when(read.isNotNull() & (t["s"] > 0), F.transform(t["v"], lambda v: v / t["s"])).otherwise(fallback))
+    return F.element_at(bound, 1)

@@ -42,6 +42,13 @@ def sql_uniform(*parts: str) -> str:
 
 SQL_ROLE = f"CASE WHEN role IS NULL THEN NULL WHEN lower(role) IN ({', '.join(map(q, ASSISTANT))}) THEN 'assistant' ELSE 'user' END"
 
+def sql_fold(name):
+    out = "CAST(0 AS UBIGINT)"
+    for k in range(4):
+        out = f"(({out} * 7296 + CAST(('0x' || substr(md5({name}), {8 * k + 1}, 8)) AS UBIGINT)) % 10000)"
+    return out
+
+
 def sql_stage(x: str) -> str:
     marked = f"regexp_replace({x}, '\\*([^*\n]{{1,60}})\\*', chr(1) || '\\1' || chr(2), 'g')"
     return f"regexp_replace(regexp_replace({marked}, chr(1) || '[ ,]*(?:{'|'.join(X.STAGE)})[ ,]*' || chr(2), '', 'gi'), '[' || chr(1) || chr(2) || ']', '', 'g')"

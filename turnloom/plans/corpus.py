@@ -275,16 +275,7 @@ def o6_ratio_resplit(spark, sf_dir):
     return rows.select("record_id", "dataset", F.when(F.col("rn") < F.floor(F.col("n") * 0.9), "train").otherwise("test").alias("split"))
 
 
-
-
-def _sql_fold(name):
-    out = "CAST(0 AS UBIGINT)"
-    for k in range(4):
-        out = f"(({out} * 7296 + CAST(('0x' || substr(md5({name}), {8 * k + 1}, 8)) AS UBIGINT)) % 10000)"
-    return out
-
-
-@registry.query("o7_hash_split", f"{T} SELECT record_id, CASE WHEN {_sql_fold('example_id')} / 10000 < 0.8 THEN 'train' ELSE 'test' END AS split FROM d")
+@registry.query("o7_hash_split", f"{T} SELECT record_id, CASE WHEN {C.sql_fold('example_id')} / 10000 < 0.8 THEN 'train' ELSE 'test' END AS split FROM d")
 def o7_hash_split(spark, sf_dir):
     """Train or test by the md5 of the name."""
     return C.dialogues(spark, sf_dir).select("record_id", O.hash_split(F.col("example_id"), 0.8).alias("split"))

@@ -35,23 +35,39 @@ lab AS (SELECT *, CASE WHEN h1 >= h2 AND h1 >= h3 THEN 'backchannel' WHEN h2 >=
   CASE WHEN h1 > 0 THEN h1 * ln(h1 / greatest(q1, 1e-12)) ELSE 0 END + CASE WHEN h2 > 0 THEN h2 * ln(h2 / greatest(q2, 1e-12)) ELSE 0 END + CASE WHEN h3 > 0 THEN h3 * ln(h3 / greatest(q3, 1e-12)) ELSE 0 END AS kl FROM ev)"""
 
 
-def humans(spark, sf_dir):
+def human():
     off = F.col("word_index") % 7 == 0
-    a, b, c = (F.when(off, 0.0).otherwise(x) for x in (_u("hb"), _u("hf") * 0.5, _u("hs")))
-    return P.t1_slots(spark, sf_dir).select(*KEY, E.renormed(a, b, c).alias("human"))
+    return E.renormed(*[F.when(off, 0.0).otherwise(x) for x in (_u("hb"), _u("hf") * 0.5, _u("hs"))])
+
+
+def predicted():
+    return E.softmax(F.array(4 * _u("lb") - 2, 4 * _u("lf") - 2, 4 * _u("ls") - 1))
+
+
+def humans(spark, sf_dir):
+    return P.t1_slots(spark, sf_dir).select(*KEY, human().alias("human"))
 
 
 def predictions(spark, sf_dir):
-    return P.t1_slots(spark, sf_dir).select(*KEY, E.softmax(F.array(4 * _u("lb") - 2, 4 * _u("lf") - 2, 4 * _u("ls") - 1)).alias("pred"))
+    return P.t1_slots(spark, sf_dir).select(*KEY, predicted().alias("pred"))
 
 
 def evaluated(spark, sf_dir):
-    """Human and predicted distributions of each slot joined, with labels and divergence."""
-    rows = humans(spark, sf_dir).join(predictions(spark, sf_dir), KEY)
+    """Each slot's human distribution and that of the scorer, which is asked in its row, with labels and divergence."""
+    rows = P.t1_slots(spark, sf_dir).select(*KEY, human().alias("human"), predicted().alias("pred"))
     name = lambda x: F.element_at(F.array(*map(F.lit, E.HEAD)), E.argmax(F.col(x)) + 1)
     return rows.select(*KEY, name("human").alias("label"), name("pred").alias("predicted"), E.kl(F.col("human"), F.col("pred")).alias("kl"), "human", "pred")
 
 
+@registry.query("j12_joined_predictions", f"WITH {SQL_EVAL}, j AS (SELECT h.record_id, h.turn, h.word_index, h.h1, h.h2, h.h3, p.q1 IS NULL AS missing, coalesce(p.q1, 1 / 3.0) AS q1, coalesce(p.q2, 1 / 3.0) AS q2, coalesce(p.q3, 1 / 3.0) AS q3 FROM ev h LEFT JOIN (SELECT * FROM ev WHERE word_index % 5 <> 0) p ON p.record_id = h.record_id AND p.turn = h.turn AND p.word_index = h.word_index) SELECT record_id, turn, word_index, missing, round(CASE WHEN h1 > 0 THEN h1 * ln(h1 / greatest(q1, 1e-12)) ELSE 0 END + CASE WHEN h2 > 0 THEN h2 * ln(h2 / greatest(q2, 1e-12)) ELSE 0 END + CASE WHEN h3 > 0 THEN h3 * ln(h3 / greatest(q3, 1e-12)) ELSE 0 END, 9) AS kl FROM j")
+def j12_joined_predictions(spark, sf_dir):
+    """Slots joined to predictions that came from elsewhere and lack some of them; a slot without one has the uniform distribution."""
+    given = predictions(spark, sf_dir).where("word_index % 5 != 0")
+    rows = humans(spark, sf_dir).join(given, KEY, "left")
+    pred = F.coalesce("pred", F.array(*[F.lit(1 / 3)] * 3))
+    return rows.select(*KEY, F.col("pred").isNull().alias("missing"), F.round(E.kl(F.col("human"), pred), 9).alias("kl"))
+
+
 @registry.query("t15_evaluated_slots", f"WITH {SQL_EVAL} SELECT record_id, turn, word_index, label, pred AS predicted, round(kl, 9) AS kl FROM lab")
 def t15_evaluated_slots(spark, sf_dir):
     """Every slot with its label, prediction and divergence."""

@@ -210,24 +210,6 @@ def t10_backchannel_contexts(spark, sf_dir):
     return rows.select(*KEY, "word_index", text.alias("context"), F.element_at(pool, (h % 5 + 1).cast("int")).alias("fallback"))
 
 
-@registry.query("t12_training_examples", f"""WITH {SQL_W}, {SQL_CONTEXT}, p AS (SELECT record_id, turn, word_index, {sql_uniform('record_id', 'turn', 'word_index', "'b'")} AS b, {sql_uniform('record_id', 'turn', 'word_index', "'f'")} AS f FROM sa WHERE role = 'user')
-SELECT p.record_id, p.turn, p.word_index, len(c) AS n_context, round(b / (b + f + 1.0), 9) AS p_backchannel, round(f / (b + f + 1.0), 9) AS p_interruption, round(1.0 / (b + f + 1.0), 9) AS p_none FROM p JOIN ctx4 USING (record_id, turn)""")
-def t12_training_examples(spark, sf_dir):
-    """The slots of user turns with normalised distributions and their context's size."""
-    rows = S.last_turns(C.turns(spark, sf_dir), "record_id", "turn").where((F.col("role") == "user") & (X.strip(F.col("content")) != "")).withColumn("words", X.words(F.col("content")))
-    rows = rows.select(*KEY, F.size("context").cast("bigint").alias("n_context"), F.explode(S.slots_a(F.col("words"))).alias("word_index"))
-    b, f = (X.uniform(F.col("record_id"), F.col("turn"), F.col("word_index"), F.lit(x)) for x in "bf")
-    s = b + f + 1.0
-    return rows.select(*KEY, "word_index", "n_context", F.round(b / s, 9).alias("p_backchannel"), F.round(f / s, 9).alias("p_interruption"), F.round(1.0 / s, 9).alias("p_none"))
-
-
-@registry.query("t13_one_hot_examples", SQL_FOLD + " SELECT record_id, turn, word_index, CASE decision WHEN 'backchannel' THEN 1 ELSE 0 END AS is_backchannel, CASE decision WHEN 'floor_taking' THEN 1 ELSE 0 END AS is_interruption, CASE decision WHEN 'silence' THEN 1 ELSE 0 END AS is_none FROM fold")
-def t13_one_hot_examples(spark, sf_dir):
-    """Typed slots as one-hot targets."""
-    d = t6_decisions(spark, sf_dir)
-    return d.select(*KEY, "word_index", *[(F.col("decision") == x).cast("int").alias(y) for x, y in (("backchannel", "is_backchannel"), ("floor_taking", "is_interruption"), ("silence", "is_none"))])
-
-
 @registry.query("x19_typed_boundaries", SQL_FOLD + ", t AS (SELECT record_id, turn, word_index AS idx, CASE decision WHEN 'backchannel' THEN 'BACKCHANNEL' WHEN 'floor_taking' THEN 'TAKE_FLOOR' END AS type FROM fold WHERE decision <> 'silence') SELECT record_id, turn, idx, type, CASE WHEN type = 'BACKCHANNEL' THEN row_number() OVER (PARTITION BY record_id, turn, type ORDER BY idx) END AS nth_backchannel FROM t")
 def x19_typed_boundaries(spark, sf_dir):
     """Typed boundaries read back from the text with its tokens."""
@@ -240,10 +222,3 @@ def x19_typed_boundaries(spark, sf_dir):
     seen = seen.withColumn("type", F.when(F.col("tok") == X.BACKCHANNEL, "BACKCHANNEL").otherwise("TAKE_FLOOR"))
     nth = F.row_number().over(Window.partitionBy(*KEY, "type").orderBy("idx"))
     return seen.select(*KEY, "idx", "type", F.when(F.col("type") == "BACKCHANNEL", nth).cast("bigint").alias("nth_backchannel"))
-
-
-@registry.query("j7_typed_join", SQL_FOLD + " SELECT record_id, turn, word_index AS idx, CASE decision WHEN 'backchannel' THEN 'BACKCHANNEL' WHEN 'floor_taking' THEN 'TAKE_FLOOR' END AS type FROM fold")
-def j7_typed_join(spark, sf_dir):
-    """Candidate slots joined with typed boundaries; the type wins."""
-    slots = t1_slots(spark, sf_dir).select(*KEY, F.col("word_index").alias("idx"))
-    return slots.join(x19_typed_boundaries(spark, sf_dir).drop("nth_backchannel"), [*KEY, "idx"], "full_outer").select(*KEY, "idx", "type")
