@@ -151,7 +151,10 @@ def test_timeline(spark):
     got = [(r.timing, r.start_sample) for r in L.placed(df, ["d"], ["i"], "s", "k", "n").orderBy("i").collect()]
     assert got == [("none", 0), ("gap", 27840), ("overlap", 35040), ("pause", 39840)]
     one = spark.createDataFrame([([5, 6, 100], [10, 10, 10])], "p array<bigint>, n array<bigint>")
-    assert one.select(L.backchannel_starts(F.col("p"), F.col("n"))).first()[0] == [5, 15, 100]
+    r = one.select(L.backchannels_placed(F.col("p"), F.col("n"), F.lit(90).cast("bigint"), F.lit(False)).alias("r")).first().r
+    assert r.starts == [5, 15, 100] and r.length >= 100
+    r = one.select(L.backchannels_placed(F.col("p"), F.col("n"), F.lit(90).cast("bigint"), F.lit(True)).alias("r")).first().r
+    assert r.starts == [5, 15, None] and r.length == 90
 
 
 def test_transcripts():

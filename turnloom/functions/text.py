@@ -1,11 +1,12 @@
 """Text functions over columns: cleaning, peeling, splitting and counting.
 
-All are built-in expressions.  A blank is a blank of Unicode, and letters are
+All but ``nfkd_lower`` are built-in expressions.  A blank is a blank of Unicode, and letters are
 letters of any script.  Null in, null out, unless a function says otherwise.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -200,7 +201,8 @@ def uniform(*parts: Column) -> Column:
 def first_json(x: Column, schema: str) -> Column:
     """The text as JSON, or else its outermost {...}; null if neither parses."""
     def read(s: Column) -> Column:
-        return F.when(F.try_parse_json(s).isNotNull(), F.from_json(s, schema))
+        # within an array nothing may follow the value
+        return F.when(F.try_parse_json(F.concat(F.lit("["), s, F.lit("]"))).isNotNull(), F.from_json(s, schema))
 
     return F.coalesce(read(x), read(F.nullif(F.regexp_extract(x, r"(?s)(\{.*\})", 1), F.lit(""))))
 
@@ -226,3 +228,69 @@ def told_distribution(x: Column, names: tuple[str, ...], fallback: Column) -> Co
     told = F.struct(values.alias("v"), F.aggregate(values, F.lit(0.0), lambda a, b: a + b).alias("s"))
     bound = F.transform(F.array(told), lambda t: F.when(read.isNotNull() & (t["s"] > 0), F.transform(t["v"], lambda v: v / t["s"])).otherwise(fallback))
     return F.element_at(bound, 1)
+
+
+# What a synthesizer's text is rewritten by, in this order, and the signs it may end in, for each of its kinds.
+PUNCTUATION = {
+    "standard": (("...", ", "), ("…", ", "), (":", ","), (" - ", ", "), (";", ", "), ("—", "-"), ("–", "-"), (" ,", ","), ("“", '"'), ("”", '"'), ("‘", "'"), ("’", "'")),
+    "turbo": (("…", ", "), (":", ","), ("—", "-"), ("–", "-"), (" ,", ","), ("“", '"'), ("”", '"'), ("‘", "'"), ("’", "'")),
+}
+PUNCTUATION["multilingual"] = PUNCTUATION["standard"]
+ENDS = {"standard": r"[.!?\-,]$", "turbo": r"[.!?\-,]$", "multilingual": r"[.!?\-,、，。？！]$"}
+NO_TEXT = "You need to add some text for me to talk."
+
+
+def punc_norm(x: Column, kind: str = "standard") -> Column:
+    """A text as a synthesizer wants it: a capital first, single blanks, plain signs, a stop at the end; a sentence of its own for the empty text."""
+    s = normalize_ws(F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, F.lit(2), F.length(x))))
+    for old, new in PUNCTUATION[kind]:
+        s = F.replace(s, F.lit(old), F.lit(new))
+    s = F.regexp_replace(s, " +$", "")
+    return F.when(x == "", NO_TEXT).otherwise(F.when(s.rlike(ENDS[kind]), s).otherwise(F.concat(s, F.lit("."))))
+
+
+def nfkd_lower(x: Column) -> Column:
+    """A text decomposed (NFKD) and in lower case; ASCII texts stay in the JVM."""
+    @F.pandas_udf("string")
+    def decomposed(s: pd.Series) -> pd.Series:
+        return s.str.normalize("NFKD").str.lower()
+
+    plain = ~x.rlike(r"[^\x00-\x7F]")
+    return F.when(plain, F.lower(x)).otherwise(decomposed(F.when(~plain, x)))
+
+
+# The labels that each kind of collection gives the role that answers, or that asks.
+ROLE_RULES = {
+    "interviewer": ("assistant", ("assistant", "claude", "ai")), "multiwoz": ("user", ("user",)), "negotiator": ("user", ("0",)),
+    "persuader": ("assistant", ("persuader",)), "socraticlm": ("assistant", ("system",)), "switchboard": ("assistant", ("a",)),
+}
+
+
+def role_by(rule: str, label: Column, index: Column) -> Column:
+    """user or assistant by a collection's rule: from the label, or, for lines of two speakers in turn, from the line's index."""
+    if rule == "soda":
+        return F.when(index % 2 == 0, "user").otherwise("assistant")
+    role, labels = ROLE_RULES[rule]
+    return F.when(F.coalesce(F.lower(label).isin(*labels), F.lit(False)), role).otherwise("assistant" if role == "user" else "user")
+
+
+def floor_positions(x: Column) -> Column:
+    """The place of the word before each floor token of a text, 0 at least; tokens count as words."""
+    ws = words(x)
+    return F.transform(F.filter(F.transform(ws, lambda w, i: F.when(w == TAKE_FLOOR, i)), lambda i: i.isNotNull()), lambda i: F.greatest(i - 1, F.lit(0)))
+
+
+def moved_decisions(decisions: Column, translated: Column) -> Column:
+    """Decisions of a turn after its translation: the k-th floor-taking stands where the translation's k-th floor token does; others stay, as do those without a token."""
+    places = floor_positions(translated)
+    is_floor = lambda d: d["decision"] == "floor_taking"
+
+    def moved(bound: Column) -> Column:
+        def one(d: Column, i: Column) -> Column:
+            k = F.size(F.filter(F.slice(bound["d"], F.lit(1), i), is_floor))
+            at = F.when(is_floor(d), F.coalesce(F.get(bound["p"], k), d["word_index"])).otherwise(d["word_index"])
+            return F.struct(at.alias("word_index"), d["decision"].alias("decision"))
+
+        return F.transform(bound["d"], one)
+
+    return F.element_at(F.transform(F.array(F.struct(decisions.alias("d"), places.alias("p"))), moved), 1)

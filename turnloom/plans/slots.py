@@ -222,3 +222,17 @@ def x19_typed_boundaries(spark, sf_dir):
     seen = seen.withColumn("type", F.when(F.col("tok") == X.BACKCHANNEL, "BACKCHANNEL").otherwise("TAKE_FLOOR"))
     nth = F.row_number().over(Window.partitionBy(*KEY, "type").orderBy("idx"))
     return seen.select(*KEY, "idx", "type", F.when(F.col("type") == "BACKCHANNEL", nth).cast("bigint").alias("nth_backchannel"))
+
+
+@registry.query("proj19_moved_decisions", SQL_FOLD + """, tok AS (SELECT x.record_id, x.turn, x.word_index, CASE WHEN x.word_index % 3 = 2 THEN x.word || ' ' || x.word ELSE x.word END || CASE WHEN f.decision = 'floor_taking' THEN ' [TAKE_FLOOR]' ELSE '' END AS t FROM x LEFT JOIN fold f ON f.record_id = x.record_id AND f.turn = x.turn AND f.word_index = x.word_index),
+tr AS (SELECT record_id, turn, string_split(string_agg(t, ' ' ORDER BY word_index), ' ') AS ts FROM tok GROUP BY record_id, turn), ps AS (SELECT record_id, turn, list_filter(range(1, len(ts) + 1), lambda z: ts[z] = '[TAKE_FLOOR]') AS ps FROM tr),
+dk AS (SELECT *, row_number() OVER (PARTITION BY record_id, turn, decision = 'floor_taking' ORDER BY word_index) AS n FROM fold)
+SELECT d.record_id, d.turn, d.word_index AS old_index, CAST(CASE WHEN decision = 'floor_taking' THEN coalesce(greatest(ps[n] - 2, 0), d.word_index) ELSE d.word_index END AS INTEGER) AS word_index, decision FROM dk d JOIN ps ON ps.record_id = d.record_id AND ps.turn = d.turn""")
+def proj19_moved_decisions(spark, sf_dir):
+    """Decisions moved to where a translation, here one that says every third word twice, has its floor tokens."""
+    rows = decided_turns(spark, sf_dir)
+    floors = F.filter("decisions", lambda d: d["decision"] == "floor_taking")
+    doubled = F.transform("words", lambda w, i: F.concat(F.when(i % 3 == 2, F.concat(w, F.lit(" "), w)).otherwise(w), F.when(F.exists(floors, lambda d: d["word_index"] == i), f" {X.TAKE_FLOOR}").otherwise("")))
+    moved = X.moved_decisions(F.col("decisions"), F.array_join(doubled, " "))
+    z = F.arrays_zip(F.col("decisions.word_index").alias("old_index"), moved.alias("m"))
+    return rows.select(*KEY, F.explode(z).alias("z")).select(*KEY, "z.old_index", "z.m.word_index", "z.m.decision")

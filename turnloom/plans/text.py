@@ -82,12 +82,33 @@ def x5_think(spark, sf_dir):
     return C.said(spark, sf_dir).select(*KEY, X.without_think(x).alias("without_think"), X.after_think(x).alias("after_think"))
 
 
-@registry.query("x6_json_parse", f"{S} SELECT record_id, turn, CASE WHEN turn % 3 = 2 THEN NULL ELSE CAST(turn * 1.5 AS DOUBLE) END AS score FROM said")
+_BODY = "'{\"score\": ' || CAST(turn * 3 AS VARCHAR) || ', \"note\": ' || to_json(content) || '}'"
+
+
+@registry.query("x6_json_parse", f"""{S}, a AS (SELECT record_id, turn, CASE turn % 4 WHEN 0 THEN {_BODY} WHEN 1 THEN 'Sure:' || chr(10) || '```json' || chr(10) || {_BODY} || chr(10) || '``` done' WHEN 2 THEN 'so {{"score": ' || CAST(turn AS VARCHAR) || '}} or {{"score": 7}}' ELSE left({_BODY}, 9) END AS x FROM said),
+p AS (SELECT *, regexp_extract(x, '\\{{.*\\}}', 0, 's') AS wide, regexp_extract(x, '\\{{[^{{}}]*\\}}', 0, 's') AS flat FROM a)
+SELECT record_id, turn, CASE WHEN json_valid(x) THEN json_extract(x, '$.score')::DOUBLE WHEN json_valid(wide) THEN json_extract(wide, '$.score')::DOUBLE END AS score, CASE WHEN json_valid(flat) THEN json_extract(flat, '$.score')::DOUBLE END AS flat_score, {sql_strip("regexp_replace(regexp_replace(" + sql_strip('x') + ", '^```[a-zA-Z0-9_+-]*\\s*', ''), '\\s*```$', '')")} AS bare FROM p""")
 def x6_json_parse(spark, sf_dir):
-    """A number out of an answer that is JSON, holds JSON, or is broken."""
-    body = F.format_string('{"score": %s, "note": "a"}', (F.col("turn") * 1.5).cast("string"))
-    answer = F.when(F.pmod(F.col("turn"), F.lit(3)) == 0, body).when(F.pmod(F.col("turn"), F.lit(3)) == 1, F.concat(F.lit("Sure:\n```json\n"), body, F.lit("\n``` done"))).otherwise(F.substring(body, 1, 9))
-    return C.said(spark, sf_dir).select(*KEY, X.first_json(answer, "score double, note string")["score"].alias("score"))
+    """A number out of an answer that is JSON, holds JSON, holds two objects, or is broken; and the answer without a fence."""
+    body = F.concat(F.lit('{"score": '), (F.col("turn") * 3).cast("string"), F.lit(', "note": '), F.substring(F.to_json(F.array("content")), F.lit(2), F.length(F.to_json(F.array("content"))) - 2), F.lit("}"))
+    kind = F.col("turn") % 4
+    fenced = F.concat(F.lit("Sure:\n```json\n"), body, F.lit("\n``` done"))
+    two = F.concat(F.lit('so {"score": '), F.col("turn").cast("string"), F.lit('} or {"score": 7}'))
+    x = F.when(kind == 0, body).when(kind == 1, fenced).when(kind == 2, two).otherwise(F.substring(body, 1, 9))
+    rows = C.said(spark, sf_dir).select(*KEY, x.alias("x"))
+    return rows.select(*KEY, X.first_json(F.col("x"), "score double, note string")["score"].alias("score"), X.flat_json(F.col("x"), "score double")["score"].alias("flat_score"), X.without_fences(F.col("x")).alias("bare"))
+
+
+@registry.query("proj1_rules", f"""WITH d AS (SELECT DISTINCT record_id, dataset, history FROM dialogues), e AS (SELECT record_id, dataset, unnest(history) AS h, generate_subscripts(history, 1) - 1 AS i FROM d)
+SELECT record_id, CAST(i AS INTEGER) AS turn, CASE dataset WHEN 'soda' THEN CASE WHEN i % 2 = 0 THEN 'user' ELSE 'assistant' END {' '.join(f"WHEN {q(k)} THEN CASE WHEN lower(h.role) IN ({', '.join(map(q, v))}) THEN {q(r)} ELSE {q('assistant' if r == 'user' else 'user')} END" for k, (r, v) in X.ROLE_RULES.items())} END AS role FROM e WHERE dataset IN ('soda', {', '.join(map(q, X.ROLE_RULES))})""")
+def proj1_rules(spark, sf_dir):
+    """Roles by the rule of each collection."""
+    rows = C.dialogues(spark, sf_dir).where(F.col("dataset").isin("soda", *X.ROLE_RULES)).select("record_id", "dataset", F.posexplode("history").alias("turn", "h"))
+    role = None
+    for rule in ("soda", *X.ROLE_RULES):
+        own = X.role_by(rule, F.col("h.role"), F.col("turn"))
+        role = F.when(F.col("dataset") == rule, own) if role is None else role.when(F.col("dataset") == rule, own)
+    return rows.select("record_id", "turn", role.alias("role"))
 
 
 _NAME = r"^\p{Lu}\p{L}+"
@@ -198,25 +219,47 @@ def x21_rising(spark, sf_dir):
     return C.backchannels(spark, sf_dir).select("backchannel_id", X.rising(F.col("text")).alias("text"))
 
 
-@registry.query("x22_punc_norm", f"""{S}, t AS (SELECT record_id, turn, {sql_ws('content')} AS s FROM said),
-c AS (SELECT record_id, turn, rtrim(translate(upper(substr(s, 1, 1)) || substr(s, 2), '“”‘’:;—–', '""' || chr(39) || chr(39) || ',,--'), ' ') AS s FROM t)
-SELECT record_id, turn, CASE WHEN regexp_matches(s, '[.!?,\\-、，。？！]$') THEN s ELSE s || '.' END AS text FROM c""")
+def _sql_punc(kind):
+    x = sql_ws("upper(substr(content, 1, 1)) || substr(content, 2)")
+    for old, new in X.PUNCTUATION[kind]:
+        x = f"replace({x}, {q(old)}, {q(new)})"
+    x = f"rtrim({x}, ' ')"
+    return f"CASE WHEN regexp_matches({x}, {q(X.ENDS[kind])}) THEN {x} ELSE {x} || '.' END AS {kind}"
+
+
+@registry.query("x22_punc_norm", f"{S} SELECT record_id, turn, {', '.join(map(_sql_punc, X.ENDS))} FROM said")
 def x22_punc_norm(spark, sf_dir):
-    """Turns as a synthesizer wants them: a capital first, plain quotes and dashes, a stop at the end."""
-    s = X.normalize_ws(F.col("content"))
-    s = F.rtrim(F.translate(F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, F.lit(2), F.length(s))), "“”‘’:;—–", "\"\"'',,--"))
-    return C.said(spark, sf_dir).select(*KEY, F.when(s.rlike(r"[.!?,\-、，。？！]$"), s).otherwise(F.concat(s, F.lit("."))).alias("text"))
+    """Turns as each kind of synthesizer wants them."""
+    return C.said(spark, sf_dir).select(*KEY, *[X.punc_norm(F.col("content"), kind).alias(kind) for kind in X.ENDS])
+
+
+@registry.query("x22_decomposed")
+def x22_decomposed(spark, sf_dir):
+    """Turns decomposed and in lower case, as a tokenizer wants them."""
+    return C.said(spark, sf_dir).select(*KEY, X.nfkd_lower(F.col("content")).alias("text"))
+
+
+_U1, _U2 = (C.sql_uniform("record_id", "turn", f"'{t}'") for t in ("o1", "o2"))
 
 
-@registry.query("x23_gap_math", f"""{S}, t AS (SELECT record_id, turn, {C.sql_uniform('record_id', 'turn')} AS u FROM said)
-SELECT record_id, turn, round(least(greatest(-0.16 * ln(1 - u), 0.02), 1.0), 4) AS gap_sec, round(pow(10, (-23.0 - (-30 + 10 * u)) / 20), 4) AS gain FROM t""")
+@registry.query("x23_gap_math", f"""{S}, t AS (SELECT record_id, turn, {C.sql_uniform('record_id', 'turn')} AS u, {_U1} AS u1, {_U2} AS u2 FROM said)
+SELECT record_id, turn, round(least(greatest(-0.16 * ln(1 - u), 0.02), 1.0), 4) AS gap_sec, round(least(greatest(0.45 + 0.05 * sqrt(-2 * ln(1 - u1)) * cos(2 * pi() * u2), 0), 1), 4) AS overlap_sec, round(pow(10, (-23.0 - (-30 + 10 * u)) / 20), 4) AS gain FROM t""")
 def x23_gap_math(spark, sf_dir):
-    """An exponential gap, clipped, and a loudness gain, from a uniform number of the turn's key."""
-    u = X.uniform(F.col("record_id"), F.col("turn"))
-    return C.said(spark, sf_dir).select(*KEY, F.round(F.least(F.greatest(-0.16 * F.log(1 - u), F.lit(0.02)), F.lit(1.0)), 4).alias("gap_sec"), F.round(F.pow(F.lit(10.0), (F.lit(-23.0) - (-30 + 10 * u)) / 20), 4).alias("gain"))
+    """An exponential gap, a normal overlap and a loudness gain, from uniform numbers of the turn's key."""
+    from turnloom.operators import timeline as L
 
+    u, u1, u2 = (X.uniform(F.col("record_id"), F.col("turn"), *x) for x in ((), (F.lit("o1"),), (F.lit("o2"),)))
+    gain = F.round(F.pow(F.lit(10.0), (F.lit(-23.0) - (-30 + 10 * u)) / 20), 4)
+    return C.said(spark, sf_dir).select(*KEY, L.sampled_gap(u).alias("gap_sec"), L.sampled_overlap(u1, u2).alias("overlap_sec"), gain.alias("gain"))
 
-@registry.query("x26_seed")
+
+def _sql_crc(x):
+    """crc32 bit by bit, as SQL has no function for it."""
+    step = "CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS BIGINT)) ELSE c // 2 END"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ord({x}[z]) AS BIGINT) FOR z IN range(1, length({x}) + 1)]), lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT) FOR z IN range(8)]), lambda c, d: {step})), CAST(4294967295 AS BIGINT))"
+
+
+@registry.query("x26_seed", f"WITH d AS (SELECT DISTINCT record_id, example_id FROM dialogues) SELECT record_id, CASE WHEN example_id IS NOT NULL THEN {_sql_crc('example_id')} END AS seed FROM d WHERE NOT regexp_matches(coalesce(example_id, ''), '[^\\x00-\\x7F]')")
 def x26_seed(spark, sf_dir):
     """A dialogue's seed: crc32 of its id."""
     return C.dialogues(spark, sf_dir).select("record_id", F.crc32(F.encode("example_id", "utf-8")).alias("seed"))
@@ -238,7 +281,15 @@ def x30_retry_delay(spark, sf_dir):
 
 
 over_turns("f4_prefix", lambda x: X.has_prefix(x), f"regexp_matches({sql_strip('content')}, {q('(?i)' + X.BAD_START)})", "contaminated")
-over_turns("proj9_prefix", lambda x: F.array_join(F.slice(X.words(x), 1, 5), " "), f"array_to_string(({sql_words('content')})[1:5], ' ')", "prefix")
+
+
+@registry.query("proj9_prefix", f"{S}, w AS (SELECT record_id, turn, {sql_words('content')} AS ws FROM said), k AS (SELECT *, unnest(generate_series(1, len(ws))) AS n FROM w) SELECT record_id, turn, CAST(n AS INTEGER) AS n, array_to_string(ws[1:n], ' ') AS prefix FROM k")
+def proj9_prefix(spark, sf_dir):
+    """Every prefix of every turn, by words."""
+    w = C.said(spark, sf_dir).select(*KEY, X.words(F.col("content")).alias("ws")).select(*KEY, "ws", F.explode(F.sequence(F.lit(1), F.size("ws"))).alias("n"))
+    return w.select(*KEY, "n", F.array_join(F.slice("ws", F.lit(1), F.col("n")), " ").alias("prefix"))
+
+
 over_turns("proj10_process_history", lambda x: X.process_history(F.concat(F.lit("[BACKCHANNEL] "), x, F.lit(" [TAKE_FLOOR] over"))), f"{sql_ws(chr(39) + ' ' + chr(39) + ' || content')} || ' [TAKE_FLOOR]'", "text")
 
 
