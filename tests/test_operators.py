@@ -220,7 +220,9 @@ def test_readers(spark, tmp_path):
 def test_voice_pool(spark, tmp_path):
     for n in ("a.wav", "a.txt", "b.wav"):
         (tmp_path / n).write_text("x")
-    assert D.voice_pool(spark, str(tmp_path)).count() == 1
+    assert D.voice_pool(spark, str(tmp_path), least=1).count() == 1
+    with pytest.raises(ValueError):
+        D.voice_pool(spark, str(tmp_path))
 
 
 def test_sinks(spark, tmp_path):

@@ -35,3 +35,39 @@ def test_sessions_and_repeats(spark, tmp_path):
     df.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
     assert len(drained(ST.once(stream, "value", "ts"), tmp_path)) == 3
+
+
+def test_contexts_in_any_batches(spark, tmp_path):
+    """Many files and batches of one row: a dialogue's turns are put in order before any is told."""
+    rows = [(d, t, "user", f"{d}-{t}") for t in (5, 0, 3, 1, 4, 2) for d in (1, 2)]
+    df = spark.createDataFrame(rows, "record_id bigint, turn int, role string, content string")
+    df.repartition(6).write.parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        got = drained(ST.contexts(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))), tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {(d, t): "\n".join(f"user: {d}-{k}" for k in range(max(0, t - 4), t)) for d in (1, 2) for t in range(6)}
+    assert {(a, b): c for a, b, c in got} == want and len(got) == 12
+
+
+def test_late_turns_and_idle_dialogues(spark, tmp_path):
+    schema = "record_id bigint, turn int, role string, content string, ts timestamp"
+    at = lambda m: f"2024-01-01 10:{m:02d}:00"
+    parts = [[(1, 0, "user", "a", at(0)), (1, 2, "user", "c", at(1))], [(1, 1, "user", "late", at(2)), (1, 3, "user", "d", at(3))], [(2, 0, "user", "x", at(59))], [(2, 1, "user", "y", at(59))]]
+    for i, p in enumerate(parts):
+        rows = [(*r[:4], r[4]) for r in p]
+        spark.createDataFrame(rows, "record_id bigint, turn int, role string, content string, t string").selectExpr("record_id", "turn", "role", "content", "CAST(t AS timestamp) AS ts").coalesce(1).write.mode("append").parquet(str(tmp_path / f"in{i}"))
+    import shutil
+
+    (tmp_path / "in").mkdir()
+    out = []
+    for i in range(4):
+        for f in (tmp_path / f"in{i}").glob("*.parquet"):
+            shutil.copy(f, tmp_path / "in" / f"{i}-{f.name}")
+        stream = ST.contexts(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), idle="5 minutes")
+        q = stream.writeStream.format("parquet").outputMode("append").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        assert q.exception() is None
+    out = {(r.record_id, r.turn): r.context for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert out == {(1, 0): "", (1, 2): "user: a", (1, 1): "user: a", (1, 3): "user: a\nuser: c", (2, 0): "", (2, 1): "user: x"}

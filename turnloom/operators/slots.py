@@ -65,12 +65,12 @@ def filled_gaps(indices: Column, n_words: Column, max_gap: int = MAX_GAP, fill:
     return F.filter(F.array_sort(F.array_distinct(F.concat(indices, extra))), lambda i: (i >= 0) & (i < n_words - 1))
 
 
-def slots_b(words: Column) -> Column:
+def slots_b(words: Column, max_gap: int = MAX_GAP, fill: int = FILL) -> Column:
     """Policy B: candidates but the last word, thinned in runs, with long gaps filled."""
     n = F.size(words)
     inner = F.filter(candidates(words), lambda i: i < n - 1)
     # the thinned indices are bound once, as filling reads them several times
-    full = F.element_at(F.transform(F.array(kept_of_runs(inner)), lambda kept: filled_gaps(kept, n)), 1)
+    full = F.element_at(F.transform(F.array(kept_of_runs(inner)), lambda kept: filled_gaps(kept, n, max_gap, fill)), 1)
     return F.when(n > 0, full).otherwise(F.array().cast("array<int>"))
 
 

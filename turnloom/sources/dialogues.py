@@ -7,6 +7,9 @@ error.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,27 +97,71 @@ def persuader_sessions(spark: SparkSession, path: str, split: str, max_variants:
     return shaped(rows, F.concat_ws("__", F.get_json_object("doc", "$.id"), "name"), "persuader", F.lit(split), F.get_json_object("doc", "$.scenario.background"), turns)
 
 
-def soda(spark: SparkSession, path: str, split: str, kind: str = "parquet") -> DataFrame:
-    """Lines of two speakers in turn, the first the user; the speakers' names in the narrative become roles."""
+def soda(spark: SparkSession, path: str, split: str, kind: str = "parquet", start_index: int = 0, max_accepted: int | None = None, gate: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Lines of two speakers in turn, the first the user; the speakers' names in the narrative become roles.
+
+    Rows from ``start_index`` on; a ``gate`` takes rows with ``prompt`` (the lines,
+    one speaker a line) and returns those it lets through, of which the first
+    ``max_accepted`` stay.
+    """
     schema = "original_index bigint, dialogue array<string>, narrative string, speakers array<string>"
-    rows = spark.read.schema(schema).format(kind).load(path)
+    rows = spark.read.schema(schema).format(kind).load(path).where(F.col("original_index") >= start_index)
+    if gate is not None:
+        lines = F.transform("dialogue", lambda x, i: F.concat(F.lit("Speaker "), (i % 2 + 1).cast("string"), F.lit(": "), F.coalesce(x, F.lit(""))))
+        rows = gate(rows.withColumn("prompt", F.array_join(lines, "\n"))).drop("prompt")
+    if max_accepted is not None:
+        rows = rows.orderBy("original_index").limit(max_accepted)
     turns = F.transform("dialogue", lambda x, i: F.struct(F.when(i % 2 == 0, "user").otherwise("assistant").alias("role"), x.alias("content")))
     story = F.col("narrative")
     for i, role in enumerate(("User", "Assistant")):
         name = F.get("speakers", F.lit(i))
-        story = F.when(F.coalesce(name, F.lit("")) != "", F.regexp_replace(story, F.concat(F.lit(r"(?iU)\b\Q"), name, F.lit(r"\E\b")), F.lit(role))).otherwise(story)
+        story = F.when(F.coalesce(name, F.lit("")) != "", X.name_to_role(story, name, role)).otherwise(story)
     return shaped(rows, F.concat(F.lit(f"{split}_"), F.col("original_index").cast("string")), "soda", F.lit(split), story, turns)
 
 
-def parsed(spark: SparkSession, root: str) -> DataFrame:
-    """``<root>/<dataset>/<split>/*.json`` of one dialogue each; turns are pairs or objects, the id falls back on the file's name."""
-    rows = spark.read.text(f"{root}/*/*/*.json", wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+def listed(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
+    """(path, dataset, split, stem) of every file below ``root``, at any depth; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path")
+    part = lambda k: F.try_element_at(F.split("path", "/"), F.lit(k))
+    return files.select("path", part(-3).alias("dataset"), part(-2).alias("split"), F.regexp_replace(part(-1), r"\.[^.]*$", "").alias("stem"))
+
+
+def sampled(files: DataFrame, k: int | None) -> DataFrame:
+    """``k`` files of each dataset and split at even distances of their paths, before any is read."""
+    from turnloom.operators.sampling import evenly_spaced
+
+    return evenly_spaced(files, ["dataset", "split"], ["path"], k)
+
+
+def parsed(spark: SparkSession, root: str, datasets: list[str] | None = None, splits: list[str] | None = None, per_split: int | None = None) -> DataFrame:
+    """``<root>/.../<dataset>/<split>/*.json`` of one dialogue each; turns are pairs or objects, the id falls back on the file's name.
+
+    Files of other datasets and splits are left out by their path, and with
+    ``per_split`` all but an even sample, before any is read.  A file that is no
+    JSON, and a dialogue without turns, gives no row.
+    """
+    files = listed(spark, root)
+    if datasets is not None:
+        files = files.where(F.col("dataset").isin(*datasets))
+    if splits is not None:
+        files = files.where(F.col("split").isin(*splits))
+    if per_split is not None:
+        files = sampled(files, per_split)
+    texts = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").select("value", F.col("_metadata.file_path").alias("_path"))
+    # one of the two paths is written for URLs
+    plain = F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))
+    rows = texts.join(files.withColumnRenamed("path", "_of"), F.regexp_replace(plain, "^file:/+", "/") == F.regexp_replace("_of", "^file:/+", "/"))
     doc = lambda k: F.get_json_object("value", f"$.{k}")
     turns = F.transform(F.from_json(doc("history"), "array<string>"), as_turn)
-    part = lambda k: F.element_at(F.split("path", "/"), k)
-    stem = F.url_decode(F.regexp_replace(part(-1), r"\.json$", ""))
     turns = F.filter(turns, lambda t: t["role"].isNotNull() & t["content"].isNotNull())
-    return rows.select(F.coalesce(doc("example_id"), stem).alias("example_id"), part(-3).alias("dataset"), part(-2).alias("split"), doc("context").alias("context"), spoken(turns).alias("turns")).where("size(turns) > 0")
+    return rows.select(F.coalesce(doc("example_id"), "stem").alias("example_id"), "dataset", "split", doc("context").alias("context"), spoken(turns).alias("turns")).where("size(turns) > 0")
+
+
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines with a schema; blank lines are skipped, a line that is no JSON is a row of nulls with the line in ``_broken``."""
+    lines = spark.read.text(path).where(X.strip(F.col("value")) != "")
+    ok = F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))).isNotNull()
+    return lines.select(F.when(ok, F.from_json("value", schema)).alias("r"), F.when(~ok, F.col("value")).alias("_broken")).select("r.*", "_broken")
 
 
 def as_turn(item: Column) -> Column:
@@ -126,7 +173,7 @@ def as_turn(item: Column) -> Column:
 
 def dump(spark: SparkSession, path: str) -> DataFrame:
     """Parquet in one of three dialects: parsed, dialogue lines, or transcript_id and turns; dataset and split from the path."""
-    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_path"))
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
     has = set(rows.columns)
     name = F.lower(F.col("_path"))
     split = F.when(F.contains(name, F.lit("train")), "train").when(F.contains(name, F.lit("valid")), "validation").when(F.contains(name, F.lit("test")), "test").otherwise("unknown")
@@ -139,29 +186,56 @@ def dump(spark: SparkSession, path: str) -> DataFrame:
         turns = F.transform("dialogue", lambda x, i: F.struct(F.when(i % 2 == 0, "user").otherwise("assistant").alias("role"), x.alias("content")))
     context = F.coalesce(*[F.col(c).cast("string") for c in ("context", "narrative") if c in has], F.lit(None).cast("string"))
     own = F.coalesce(F.col("split"), split) if "split" in has else split
-    return rows.select(F.coalesce(*ids, F.md5("_path")).alias("example_id"), F.element_at(F.split("_path", "/"), -2).alias("dataset"), own.alias("split"), context.alias("context"), spoken(turns).alias("turns"))
+    # rows without an id are told apart by their place in their file
+    place = F.concat_ws("_", own, F.md5("_path"), F.col("_row").cast("string"))
+    return rows.select(F.coalesce(*ids, place).alias("example_id"), F.element_at(F.split("_path", "/"), -2).alias("dataset"), own.alias("split"), context.alias("context"), spoken(turns).alias("turns"))
 
 
 #: Readers by the name of their collection.
 READERS = {"interviewer": interviewer, "multiwoz": multiwoz, "negotiator": negotiator, "socraticlm": socratic, "persuader": persuader_csv, "persuader_sessions": persuader_sessions, "soda": soda}
 
 
-def read(spark: SparkSession, dataset: str, path: str, *args, parsed_root: str | None = None, **kw) -> DataFrame:
-    """The collection ``dataset`` by its reader; a parsed root goes before it."""
-    if parsed_root:
-        return parsed(spark, parsed_root).where(F.col("dataset") == dataset)
+#: What each reader may be told besides path and split; ``read`` takes them all and passes on those of its reader.
+OPTIONS = {"interviewer": {"context"}, "multiwoz": set(), "negotiator": set(), "socraticlm": {"max_variants"}, "persuader": set(), "persuader_sessions": {"max_variants"}, "soda": {"kind", "start_index", "max_accepted", "gate"}}
+
+
+def resolved_path(dataset: str, input_paths: Mapping[str, str] | None = None, input_path: str | None = None, data_root: str | None = None) -> str:
+    """Where a collection is: its own path, else the one for all, else its folder below the root; an error if nothing tells."""
+    path = (input_paths or {}).get(dataset) or input_path or (f"{data_root.rstrip('/')}/{dataset}" if data_root else None)
+    if not path:
+        raise ValueError(f"no path for dataset {dataset!r}")
+    return path
+
+
+def read(spark: SparkSession, dataset: str, path: str, split: str = "train", parsed_root: str | None = None, **options) -> DataFrame:
+    """The collection ``dataset`` by its reader; a parsed root goes before it.  Every reader is called alike; an option that no reader knows is an error."""
     if dataset not in READERS:
         raise ValueError(f"unknown dataset {dataset!r}; expected one of {sorted(READERS)}")
-    return READERS[dataset](spark, path, *args, **kw)
+    if unknown := set(options) - set().union(*OPTIONS.values()):
+        raise TypeError(f"unknown options: {sorted(unknown)}")
+    if parsed_root:
+        return parsed(spark, parsed_root, datasets=[dataset])
+    own = {k: v for k, v in options.items() if k in OPTIONS[dataset]}
+    if dataset == "socraticlm":
+        return socratic(spark, path, **own)  # its keys tell the split
+    return READERS[dataset](spark, path, split, **own)
+
+
+def joined(parts: list[DataFrame]) -> DataFrame:
+    """Tables one after the other; columns that some lack are null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def voice_pool(spark: SparkSession, folder: str) -> DataFrame:
-    """(stem, wav, txt, wav_size, wav_mtime): audio files that have a transcript of the same stem beside them."""
+def voice_pool(spark: SparkSession, folder: str, least: int = 2) -> DataFrame:
+    """(stem, wav, txt, wav_size, wav_mtime): audio files that have a transcript of the same stem beside them; fewer than ``least`` are an error, 0 looks at nothing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length", "modificationTime")
     stem = F.regexp_replace("path", r"\.[^./]+$", "")
     wav = files.where(F.lower("path").endswith(".wav")).select(stem.alias("stem"), F.col("path").alias("wav"), F.col("length").alias("wav_size"), F.col("modificationTime").alias("wav_mtime"))
     txt = files.where(F.lower("path").endswith(".txt")).select(stem.alias("stem"), F.col("path").alias("txt"))
-    return wav.join(txt, "stem")
+    pool = wav.join(txt, "stem")
+    if least and len(pool.select("stem").take(least)) < least:
+        raise ValueError(f"fewer than {least} voices with a transcript in {folder}")
+    return pool
 
 
 def speakers_of(spark: SparkSession, folder: str, excluded: DataFrame | None = None) -> DataFrame:
