@@ -41,6 +41,13 @@ def kl(human: Column, pred: Column, eps: float = 1e-12) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda s, y: s + y)
 
 
+def batch_loss(rows: DataFrame, batch: str, target: Column, log_pred: Column) -> DataFrame:
+    """(batch, n, loss): the mean over a batch's rows of the divergence of log-probabilities from a target distribution."""
+    terms = F.zip_with(target, log_pred, lambda t, p: F.when(t > 0, t * (F.log(t) - p)).otherwise(0.0))
+    loss = rows.select(batch, F.aggregate(terms, F.lit(0.0), lambda s, y: s + y).alias("_l"))
+    return loss.groupBy(batch).agg(F.count("*").alias("n"), F.round(F.sum("_l") / F.count("*"), 6).alias("loss"))
+
+
 def argmax(x: Column) -> Column:
     """The position from 0 of the greatest element; of ties the first."""
     return (F.array_position(x, F.array_max(x)) - 1).cast("int")

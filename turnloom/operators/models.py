@@ -219,6 +219,28 @@ def rendered(units: DataFrame, text: str, voice: str, synthesizer: Synthesizer)
     return in_batches(units, text, lambda f: synthesizer.render(f[text].tolist(), f[voice].tolist()), "samples", "bigint", 0)
 
 
+def rendered_batches(calls: DataFrame, texts: str, voice: str, synthesizer: Synthesizer) -> DataFrame:
+    """Batches (an array of texts and a voice) with ``samples``, an array; silence for each text of a batch that fails, after each was tried alone."""
+
+    def call(f: pd.DataFrame) -> list[list[int]]:
+        out = []
+        for own, v in zip(f[texts], f[voice]):
+            own = list(own)
+            try:
+                out.append(synthesizer.render(own, [v] * len(own)))
+            except Exception:  # noqa: BLE001 - a text that fails is silent
+                alone = []
+                for t in own:
+                    try:
+                        alone += synthesizer.render([t], [v])
+                    except Exception:  # noqa: BLE001
+                        alone.append(0)
+                out.append(alone)
+        return out
+
+    return in_batches(calls, texts, call, "samples", "array<bigint>", [])
+
+
 def gated(rows: DataFrame, prompt: str, judge: Generator | None) -> DataFrame:
     """The rows for which a judge says YES; all of them without a judge.  A null or empty prompt, and a judge that fails, drop the row."""
     if judge is None:

@@ -150,6 +150,22 @@ def f10_uttered(spark, sf_dir):
     return C.utterances(spark, sf_dir).select("utterance_id", F.coalesce(~X.strip(F.col("tts_text")).isin("", "-", "...", ".", ","), F.lit(False)).alias("uttered"))
 
 
+@registry.query("f10_audio_names", "SELECT DISTINCT wav, regexp_matches(lower(wav), '\\.(wav|mp3|flac|ogg|m4a)$') AS is_audio, coalesce(regexp_matches(lower(txt), '\\.(wav|mp3|flac|ogg|m4a)$'), false) AS txt_is_audio FROM voices")
+def f10_audio_names(spark, sf_dir):
+    """Whether names are those of audio files."""
+    from turnloom.sources.manifests import AUDIO
+
+    return table(spark, sf_dir, "voices").select("wav", F.col("wav").rlike(AUDIO).alias("is_audio"), F.coalesce(F.col("txt").rlike(AUDIO), F.lit(False)).alias("txt_is_audio")).distinct()
+
+
+@registry.query("f12_capped_shard", f"{T}, n AS (SELECT record_id, row_number() OVER (ORDER BY example_id, record_id) - 1 AS i FROM d WHERE record_id NOT IN (SELECT record_id FROM turns WHERE content IS NULL)) SELECT record_id FROM (SELECT record_id, i FROM n WHERE i % 4 = 1 ORDER BY i LIMIT 50)")
+def f12_capped_shard(spark, sf_dir):
+    """The first fifty dialogues of a shard, after exclusions, in the order of their names."""
+    out = C.turns(spark, sf_dir).where("content IS NULL").select("record_id").distinct()
+    rows = C.dialogues(spark, sf_dir).select("record_id", "example_id").join(out, "record_id", "left_anti").withColumn("all", F.lit(0))
+    return O.numbered(rows, ["all"], ["example_id", "record_id"]).where("rn % 4 = 1").orderBy("rn").limit(50).select("record_id")
+
+
 @registry.query("f11_scenarios", f"{T} SELECT record_id, dataset FROM d WHERE dataset IN ('multiwoz', 'soda')")
 def f11_scenarios(spark, sf_dir):
     """Chosen scenarios."""

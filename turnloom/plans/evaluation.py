@@ -143,6 +143,44 @@ def a12_rms_peak(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.round(F.sqrt(ms), 6).alias("rms"), F.round(F.array_max(F.transform(e, F.abs)), 6).alias("peak"))
 
 
+@registry.query("a12_loudness")
+def a12_loudness(spark, sf_dir):
+    """Integrated loudness of each vector, read as samples at so low a rate that they hold whole blocks, and the gain to -23."""
+    from turnloom.operators import audio
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", audio.loudness(F.transform("embedding", lambda x: x.cast("double")), 40.0).alias("lufs"))
+    return rows.select("vec_id", F.round("lufs", 6).alias("lufs"), F.round(audio.gain_to(F.col("lufs")), 6).alias("gain"))
+
+
+@registry.query("m7_trimmed", "WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), l AS (SELECT vec_id, e, list_filter(range(1, len(e) + 1), lambda i: abs(e[i]) > 0.1) AS ks FROM e), t AS (SELECT vec_id, CASE WHEN len(ks) > 0 THEN e[list_min(ks):list_max(ks)] ELSE [] END AS t FROM l) SELECT vec_id, CAST(len(t) AS INTEGER) AS n, round(list_sum(t), 5) AS total, CAST(len(t) * 3 // 2 AS INTEGER) AS resampled, round(list_sum([t[CAST(floor(k * (2 / 3.0)) AS BIGINT) + 1] + (coalesce(t[CAST(floor(k * (2 / 3.0)) AS BIGINT) + 2], t[CAST(floor(k * (2 / 3.0)) AS BIGINT) + 1]) - t[CAST(floor(k * (2 / 3.0)) AS BIGINT) + 1]) * (k * (2 / 3.0) - floor(k * (2 / 3.0))) FOR k IN range(len(t) * 3 // 2)]), 4) AS resampled_total FROM t WHERE len(t) > 0")
+def m7_trimmed(spark, sf_dir):
+    """Arrays of samples without their quiet ends, and at one and a half times the rate."""
+    from turnloom.operators import audio
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", audio.trimmed(F.transform("embedding", lambda x: x.cast("double")), 0.1).alias("t")).where("size(t) > 0")
+    more = audio.resampled(F.col("t"), 2, 3)
+    total = lambda x: F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
+    return rows.select("vec_id", F.size("t").alias("n"), F.round(total(F.col("t")), 5).alias("total"), F.size(more).alias("resampled"), F.round(total(more), 4).alias("resampled_total"))
+
+
+@registry.query("a13_batch_loss", f"WITH {SQL_EVAL}, l AS (SELECT CAST(pmod_ AS INTEGER) AS batch, CASE WHEN h1 > 0 THEN h1 * (ln(h1) - ln(q1)) ELSE 0 END + CASE WHEN h2 > 0 THEN h2 * (ln(h2) - ln(q2)) ELSE 0 END + CASE WHEN h3 > 0 THEN h3 * (ln(h3) - ln(q3)) ELSE 0 END AS loss FROM (SELECT *, (record_id % 16) AS pmod_ FROM ev)) SELECT batch, count(*) AS n, round(sum(loss) / count(*), 6) AS loss FROM l GROUP BY batch")
+def a13_batch_loss(spark, sf_dir):
+    """The mean loss of each batch of slots, from log-probabilities."""
+    rows = P.t1_slots(spark, sf_dir).select((F.col("record_id") % 16).cast("int").alias("batch"), human().alias("h"), predicted().alias("q"))
+    return E.batch_loss(rows, "batch", F.col("h"), F.transform("q", lambda x: F.log(x)))
+
+
+@registry.query("a14_cosines", """WITH v AS (SELECT label, unnest(generate_series(1, len(embedding))) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings), m AS (SELECT label, list(m ORDER BY dim) AS m FROM (SELECT label, dim, avg(x) AS m FROM v GROUP BY ALL) GROUP BY label)
+SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], m), 6) AS cosine FROM embeddings JOIN m USING (label)""")
+def a14_cosines(spark, sf_dir):
+    """How near each vector is to the mean of its label."""
+    from turnloom.operators import audio
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    mean = E.mean_embedding(rows, "label", "embedding").groupBy("label").agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("m"))
+    return rows.join(mean, "label").select("vec_id", F.round(audio.cosine(F.col("embedding"), F.col("m.value")), 6).alias("cosine"))
+
+
 @registry.query("a14_speaker_embeddings", """WITH v AS (SELECT label, unnest(generate_series(0, len(embedding) - 1)) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings), m AS (SELECT label, dim, avg(x) AS m FROM v GROUP BY ALL)
 SELECT label, CAST(dim AS INTEGER) AS dim, round(m / sqrt(sum(m * m) OVER (PARTITION BY label)), 6) AS value FROM m""")
 def a14_speaker_embeddings(spark, sf_dir):

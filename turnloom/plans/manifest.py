@@ -280,3 +280,54 @@ def v2_fingerprints(spark, sf_dir):
     now = recorded.where(end != "9").select(F.col("voice_id").alias("v"), size.alias("size"), (F.col("wav_mtime_ns") + F.when(end == "3", 5).otherwise(0)).alias("mtime"))
     rows = C.utterances(spark, sf_dir).where("voice_id IS NOT NULL").select("utterance_id", F.col("voice_id").alias("u")).join(recorded, F.col("u") == F.col("voice_id"), "left").join(now, F.col("u") == F.col("v"), "left")
     return rows.select("utterance_id", fingerprint_state(F.col("wav_size"), F.col("wav_mtime_ns"), F.col("v").isNotNull(), F.col("size"), F.col("mtime")).alias("state"))
+
+
+_NAME = "CASE k % 4 WHEN 0 THEN wav WHEN 1 THEN upper(wav) WHEN 2 THEN regexp_replace(wav, '^.*/', '') ELSE wav || '.gone' END"
+_SQL_NAMES = f"w AS (SELECT DISTINCT wav FROM voices WHERE wav IS NOT NULL), n AS (SELECT wav, row_number() OVER (ORDER BY wav) AS k FROM w), m AS (SELECT DISTINCT {_NAME} AS file FROM n), l AS (SELECT key, min(wav) AS path FROM (SELECT lower(wav) AS key, wav FROM w UNION SELECT lower(regexp_replace(wav, '^.*/', '')), wav FROM w) GROUP BY key), j AS (SELECT m.file, coalesce(w.wav, l.path) AS path FROM m LEFT JOIN w ON w.wav = m.file LEFT JOIN l ON l.key = lower(m.file))"
+
+
+def manifest_names(spark, sf_dir):
+    """(file, wav): names as manifests have them, of another case, without a folder, or of nothing."""
+    w = table(spark, sf_dir, "voices").where("wav IS NOT NULL").select("wav").distinct().withColumn("k", F.row_number().over(Window.orderBy("wav")))
+    base = F.substring_index("wav", "/", -1)
+    return w.select(F.when(F.col("k") % 4 == 0, F.col("wav")).when(F.col("k") % 4 == 1, F.upper("wav")).when(F.col("k") % 4 == 2, base).otherwise(F.concat("wav", F.lit(".gone"))).alias("file")).distinct()
+
+
+@registry.query("j5_manifest_files", f"WITH {_SQL_NAMES} SELECT file, path FROM j")
+def j5_manifest_files(spark, sf_dir):
+    """The file of each name in a manifest: of just that path, else whatever the case and the folder."""
+    from turnloom.sources.manifests import resolved
+
+    return resolved(manifest_names(spark, sf_dir), "file", table(spark, sf_dir, "voices").where("wav IS NOT NULL").select("wav"), "wav").select("file", "path")
+
+
+@registry.query("k8_pool_plan", f"WITH {_SQL_NAMES}, done AS (SELECT lower(regexp_replace(regexp_replace(wav, '^.*/', ''), '\\.[^.]*$', '')) AS s FROM w WHERE hash_(wav)), t AS (SELECT file, path, regexp_replace(regexp_replace(regexp_replace(regexp_replace(file, '^.*/', ''), '(.)\\.[^.]*$', '\\1'), '[^A-Za-z0-9._-]+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g') AS st FROM j WHERE path IS NOT NULL), nn AS (SELECT *, row_number() OVER (PARTITION BY lower(st) ORDER BY file) AS r FROM t), s AS (SELECT file, CASE WHEN r = 1 THEN st ELSE st || '_' || r END AS stem FROM nn) SELECT file, stem, CASE WHEN lower(stem) IN (SELECT s FROM done) THEN 'skip' ELSE 'write' END AS action FROM s UNION ALL SELECT file, NULL, 'missing' FROM j WHERE path IS NULL".replace("hash_(wav)", "right(md5(wav), 1) < '8'"))
+def k8_pool_plan(spark, sf_dir):
+    """What building a voice pool would do with each name: write it under a stem of its own, skip it, or miss its file."""
+    from turnloom.sources.sinks import pool_plan
+
+    wav = table(spark, sf_dir, "voices").where("wav IS NOT NULL").select("wav").distinct()
+    done = wav.where(F.right(F.md5("wav"), F.lit(1)) < "8").select(F.regexp_replace(F.substring_index("wav", "/", -1), r"\.[^.]*$", "").alias("stem"))
+    return pool_plan(manifest_names(spark, sf_dir), wav.withColumnRenamed("wav", "path"), done).select("file", "stem", "action")
+
+
+@registry.query("o13_long_prompts", "WITH a AS (SELECT DISTINCT align_id, voice_id, start_sec, end_sec FROM alignment_turns WHERE voice_id IS NOT NULL AND end_sec - start_sec > 5), h AS (SELECT voice_id, arg_min(align_id, md5('42|' || CAST(align_id AS VARCHAR))) AS align_id FROM a GROUP BY voice_id), r AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || voice_id)) AS n FROM h) SELECT voice_id, align_id FROM r WHERE n <= 20")
+def o13_long_prompts(spark, sf_dir):
+    """Twenty voices by hash, and of each one recording of more than five seconds; voices without any are passed over."""
+    a = table(spark, sf_dir, "alignment_turns").where("voice_id IS NOT NULL AND end_sec - start_sec > 5").select("align_id", "voice_id")
+    key = lambda c: F.md5(F.concat(F.lit("42|"), F.col(c).cast("string")))
+    best = a.groupBy("voice_id").agg(F.min_by("align_id", key("align_id")).alias("align_id"))
+    return best.orderBy(key("voice_id")).limit(20)
+
+
+@registry.query("m6_batched", f"{M}, x AS (SELECT utterance_id, voice_id, unnest(units) AS x FROM u), t AS (SELECT voice_id, length(x.text) AS n FROM x WHERE x.kind = 'text' AND coalesce(x.text, '') <> '') SELECT coalesce(voice_id, '') AS voice_id, count(*) AS units, CAST(sum(n * 1440) AS BIGINT) AS samples, CAST(sum(CASE WHEN n > 120 THEN 1 ELSE 0 END) + ceil(sum(CASE WHEN n <= 120 THEN 1 ELSE 0 END) / 16.0) AS BIGINT) AS batches FROM t GROUP BY ALL")
+def m6_batched(spark, sf_dir):
+    """Text units rendered in batches of sixteen a voice, long ones alone, each batch in one call."""
+    from turnloom.operators import models, sampling
+
+    x = C.utterances(spark, sf_dir).select("utterance_id", F.coalesce("voice_id", F.lit("")).alias("voice_id"), F.posexplode("units").alias("pos", "x")).where("x.kind = 'text' AND coalesce(x.text, '') != ''")
+    x = x.select("utterance_id", "pos", "voice_id", F.col("x.text").alias("text"))
+    b = sampling.batches(x, ["voice_id"], ["utterance_id", "pos"], F.length("text"), 16, 120)
+    calls = b.groupBy("voice_id", "oversize", "batch").agg(F.collect_list("text").alias("texts"))
+    done = models.rendered_batches(calls, "texts", "voice_id", models.SilentSynthesizer())
+    return done.groupBy("voice_id").agg(F.sum(F.size("texts")).alias("units"), F.sum(F.aggregate("samples", F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("samples"), F.count("*").alias("batches"))
