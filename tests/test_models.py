@@ -104,3 +104,14 @@ def test_loop_ends(spark):
 
     assert turns() == {1: 250, 3: 2} == turns(judge=Broken(), stop_every=2) == turns(max_turns=0)
     assert turns(max_turns=7) == {1: 7, 3: 2} and turns(judge=M.HalfJudge(), stop_every=10, stop_from=4) == {1: 130, 3: 2}
+
+
+class Talker:
+    def generate(self, chats, temperature):
+        return [{"a": ' "Yeah" ', "b": "<think>x</think>\nMm-hmm", "c": "The listener says yes!"}[c[0][1]] for c in chats]
+
+
+def test_backchannels(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "p string").withColumn("f", F.lit("okay"))
+    got = {r.p: (r.backchannel, r.status) for r in M.backchannels(df, "p", Talker(), "f").collect()}
+    assert got == {"a": ("yeah", "ok"), "b": ("mm-hmm", "ok"), "c": ("okay", "fallback"), None: ("okay", "fallback")}

@@ -241,6 +241,28 @@ def rendered_batches(calls: DataFrame, texts: str, voice: str, synthesizer: Synt
     return in_batches(calls, texts, call, "samples", "array<bigint>", [])
 
 
+def valid_backchannel(text: str) -> bool:
+    """One to three words, no label, no dots, exclamation or dash."""
+    low = text.lower()
+    return 1 <= len(text.split()) <= 3 and not low.startswith(("backchannel", "listener", "speaker", "the ", "this ")) and not any(x in text for x in ("...", "!", "—"))
+
+
+def backchannels(rows: DataFrame, prompt: str, generator: Generator, fallback: str, attempts: int = 3) -> DataFrame:
+    """``rows`` with ``backchannel``, in lower case without quotes, and ``status``; one that isn't valid is asked for again and in the end is the row's ``fallback``."""
+
+    def call(f: pd.DataFrame) -> list[str]:
+        out = []
+        for answer in generator.generate([[("user", p)] for p in f[prompt]], 0.7):
+            told = " ".join(answer.rsplit("</think>", 1)[-1].strip().strip('"').strip().lower().split())
+            if not valid_backchannel(told):
+                raise ValueError(f"no backchannel: {told[:40]!r}")
+            out.append(told)
+        return out
+
+    got = in_batches(rows, prompt, call, "_told", "string", None, attempts=attempts)
+    return got.withColumn("backchannel", F.coalesce("_told", fallback)).drop("_told", "error")
+
+
 def gated(rows: DataFrame, prompt: str, judge: Generator | None) -> DataFrame:
     """The rows for which a judge says YES; all of them without a judge.  A null or empty prompt, and a judge that fails, drop the row."""
     if judge is None:

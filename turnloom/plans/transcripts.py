@@ -109,13 +109,19 @@ def s12_switchboard(spark, sf_dir):
     return parsed.select("conversation_id", F.col("utt").cast("bigint").alias("line_id"), "da", "speaker", "text")
 
 
-@registry.query("x1_transcript_turns", f"WITH {C.SQL_TURNS} SELECT record_id, turn, role, {C.sql_strip('content')} AS content FROM said s WHERE role IS NOT NULL AND NOT regexp_matches(content, '(?i)(assistant|claude|ai|user):') AND NOT EXISTS (SELECT 1 FROM turns t WHERE t.record_id = s.record_id AND (t.role IS NULL OR t.content IS NULL OR {C.sql_strip('t.content')} = '' OR regexp_matches(t.content, '(?i)(assistant|claude|ai|user):')))")
+_LAB = "(Assistant|Claude|AI|User)"
+
+
+@registry.query("x1_transcript_turns", f"""WITH {C.SQL_TURNS}, tx AS (SELECT record_id, 'Intro. ' || string_agg(CASE WHEN role = 'assistant' THEN CASE WHEN turn % 3 = 1 THEN 'claude: ' ELSE 'Assistant: ' END ELSE 'User: ' END || coalesce(content, ''), chr(10) ORDER BY turn) AS text FROM turns GROUP BY record_id),
+ps AS (SELECT record_id, string_split(regexp_replace(text, '\\n{_LAB}:\\s*', chr(1) || '\\1' || chr(2), 'gi'), chr(1)) AS ps FROM tx), pc AS (SELECT record_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM ps),
+mk AS (SELECT record_id, i, CASE WHEN i = 1 THEN regexp_replace(p, '^.*?{_LAB}:\\s*', '\\1' || chr(2), 'is') ELSE p END AS p FROM pc), kp AS (SELECT record_id, i, lower(split_part(p, chr(2), 1)) AS label, {C.sql_strip("substr(p, strpos(p, chr(2)) + 1)")} AS content FROM mk WHERE contains(p, chr(2)))
+SELECT record_id, CAST(row_number() OVER (PARTITION BY record_id ORDER BY i) - 1 AS INTEGER) AS turn, CASE label WHEN 'user' THEN 'user' ELSE 'assistant' END AS role, content FROM kp WHERE content <> ''""")
 def x1_transcript_turns(spark, sf_dir):
-    """Transcripts in one text, split at their labels (S1): dialogues written in that form and read back."""
-    bad = F.exists("history", lambda h: h["role"].isNull() | h["content"].isNull() | (X.strip(h["content"]) == "") | h["content"].rlike("(?i)(assistant|claude|ai|user):"))
-    rows = C.dialogues(spark, sf_dir).where("size(history) > 0").where(~bad)
-    text = F.array_join(F.transform("history", lambda h: F.concat(F.when(C.role_of(h["role"]) == "assistant", "Assistant: ").otherwise("User: "), h["content"])), "\n")
-    return split_transcript(rows.select("record_id", text.alias("text")), "text").select("record_id", F.posexplode("turns").alias("turn", "t")).select("record_id", "turn", F.col("t.role").alias("role"), F.col("t.content").alias("content"))
+    """All dialogues written as one text with labels, and split at these again."""
+    rows = C.dialogues(spark, sf_dir).where("size(history) > 0")
+    label = lambda h, i: F.when(C.role_of(h["role"]) == "assistant", F.when(i % 3 == 1, "claude: ").otherwise("Assistant: ")).otherwise("User: ")
+    text = F.array_join(F.transform("history", lambda h, i: F.concat(label(h, i), F.coalesce(h["content"], F.lit("")))), "\n")
+    return split_transcript(rows.select("record_id", F.concat(F.lit("Intro. "), text).alias("text")), "text").select("record_id", F.posexplode("turns").alias("turn", "t")).select("record_id", "turn", F.col("t.role").alias("role"), F.col("t.content").alias("content"))
 
 
 @registry.query("x10_aligned_marks", f"WITH {C.SQL_TURNS}, w AS (SELECT record_id, turn, {C.sql_words('content')} AS ws FROM said) SELECT record_id, turn, CAST(unnest(range(3, len(ws), 5)) AS INTEGER) AS word_index FROM w")

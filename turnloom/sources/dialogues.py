@@ -32,11 +32,20 @@ def shaped(rows: DataFrame, example_id: Column, dataset: str, split: Column, con
 
 
 def split_transcript(rows: DataFrame, text: str) -> DataFrame:
-    """``rows`` with ``turns`` from one text of labelled blocks; a text without labels has none."""
-    mark = F.regexp_replace(F.col(text), rf"(?i)(?:^|\n)({LABELS}):\s*", "\x01$1\x02")
-    blocks = F.filter(F.split(mark, "\x01"), lambda b: F.contains(b, F.lit("\x02")))
-    role = lambda b: F.when(F.lower(F.substring_index(b, "\x02", 1)) == "user", "user").otherwise("assistant")
-    return rows.withColumn("turns", spoken(F.transform(blocks, lambda b: F.struct(role(b).alias("role"), F.substring_index(b, "\x02", -1).alias("content")))))
+    """``rows`` with ``turns`` from one text of labelled blocks; a text without labels has none.
+
+    The first label may stand anywhere, what is before it is no turn; every other
+    begins a line.
+    """
+    pieces = F.split(F.regexp_replace(F.col(text), rf"(?i)\n({LABELS}):\s*", "\x01$1\x02"), "\x01")
+
+    def turn(p: Column, i: Column) -> Column:
+        marked = F.when(i == 0, F.regexp_replace(p, rf"(?is)^.*?({LABELS}):\s*", "$1\x02")).otherwise(p)
+        label = F.when(F.contains(marked, F.lit("\x02")), F.substring_index(marked, "\x02", 1))
+        role = F.when(F.lower(label) == "user", "user").when(label.isNotNull(), "assistant")
+        return F.struct(role.alias("role"), F.regexp_replace(marked, "^[^\x02]*\x02", "").alias("content"))
+
+    return rows.withColumn("turns", spoken(F.filter(F.transform(pieces, turn), lambda t: t["role"].isNotNull())))
 
 
 def interviewer(spark: SparkSession, path: str, split: str, context: str = "An interview.") -> DataFrame:
