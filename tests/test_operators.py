@@ -37,10 +37,16 @@ def test_periods_against_brute_force(spark, bits):
     rnd = random.Random(7)
     rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, *range(60)]), rnd.choice([None, *range(80)])) for _ in range(300)]
     rows += [("c", 0, 100_000), ("c", 5, 7), ("d", 4, 4), ("d", 4, 4), ("e", 0, 4), ("e", 4, 8), ("f", 0, 3), ("f", 4, 5)]
+    # a period over several shards, in one of which stand three runs
+    rows += [("g", 0, 100), ("g", 40, 40), ("g", 42, 42), ("g", 44, 44), ("g", 200, 201), ("g", 203, 204), ("g", 206, 207), ("h", 40, 40), ("h", 42, 42), ("h", 44, 44)]
     df = spark.createDataFrame(rows, "k string, s bigint, e bigint").withColumn("shard", F.lit("clash")).withColumn("first", F.lit(1))
     got = periods(df, ["k"], F.col("s"), F.col("e"), bits)
     assert sorted(map(tuple, got.collect()), key=str) == brute_periods(rows)
-    holes = {tuple(r) for r in gaps(got, ["k"]).collect()}
+    holes = {tuple(r) for r in gaps(got, ["k"], bits).collect()}
+    by = {}
+    for k, a, b, _ in brute_periods(rows):
+        by.setdefault(k, []).append((a, b))
+    assert holes == {(k, x[1], y[0]) for k, own in by.items() for x, y in zip(sorted(own), sorted(own)[1:])}
     assert ("f", 3, 4) in holes and not [h for h in holes if h[0] == "e"]
 
 

@@ -24,20 +24,31 @@ def to_units(seconds: Column, per_second: int = 1000) -> Column:
 
 
 def _runs(pieces: DataFrame, by: list[str]) -> DataFrame:
-    """Maximal runs of adjacent or overlapping [first, last] within ``by``; ``heads`` are summed."""
-    w = Window.partitionBy(*by).orderBy("first", "last")
+    """Maximal runs of adjacent or overlapping [first, last] within ``by``, with how many ``heads`` begin in each; the head of a repeated interval counts once."""
+    w = Window.partitionBy(*by).orderBy("first", "last", "whole", "heads")
     reach = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.when(reach.isNull() | (F.col("first") > reach + 1), 1).otherwise(0)
-    marked = pieces.withColumn("_opens", opens)
+    again = F.lit(True)
+    for c in ("first", "last", "whole", "heads"):
+        again = again & (F.lag(c).over(w) == F.col(c))
+    again = F.coalesce(again, F.lit(False))
+    marked = pieces.withColumn("_opens", opens).withColumn("_heads", F.when(again, 0).otherwise(F.col("heads")))
     run = F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0))
     return (
         marked.withColumn("_run", run)
         .groupBy(*by, "_run")
-        .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("heads").alias("heads"))
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("_heads").alias("heads"))
         .drop("_run")
     )
 
 
+def _same(entity: list[str], more: Column) -> Column:
+    """That ``more`` holds and each entity column equals the one named _column_, null or not."""
+    for c in entity:
+        more = more & F.col(c).eqNullSafe(F.col(f"_{c}_"))
+    return more
+
+
 def periods(df: DataFrame, entity: list[str], start: Column, end: Column, shard_bits: int = SHARD_BITS) -> DataFrame:
     """Continuous periods per entity: ``entity``, ``start_u``, ``end_u``, ``n_intervals``.
 
@@ -48,16 +59,16 @@ def periods(df: DataFrame, entity: list[str], start: Column, end: Column, shard_
     columns beyond the entity's don't matter.
 
     An interval reaches at most three pieces whatever its length: its head and
-    tail in their shards, and the full shards between as one run.  A long
-    timeline is thus united shard by shard before its few runs meet.
+    tail in their shards, and the full shards between as one run.  A long timeline
+    is united shard by shard; only the first and the last run of a shard can go on
+    in another, and only these meet, so no task holds an entity's runs.
     """
-    one = df.select(*entity, start.alias("_s"), end.alias("_e")).where("_e >= _s").distinct()
-    bits = one.select(*entity, (F.col("_s") * 2).alias("a"), (F.col("_e") * 2).alias("b"))
+    bits = df.select(*entity, (start * 2).alias("a"), (end * 2).alias("b")).where("b >= a")
     width = 1 << shard_bits
     sa, sb = F.shiftright("a", shard_bits), F.shiftright("b", shard_bits)
 
     def piece(shard: Column, first: Column, last: Column, head: int) -> Column:
-        return F.struct(shard.alias("shard"), first.alias("first"), last.alias("last"), F.lit(head).alias("heads"))
+        return F.struct(shard.alias("shard"), first.alias("first"), last.alias("last"), F.lit(head).alias("heads"), F.col("b").alias("whole"))
 
     inside = F.array(piece(sa, F.col("a"), F.col("b"), 1))
     across = F.array(
@@ -66,24 +77,43 @@ def periods(df: DataFrame, entity: list[str], start: Column, end: Column, shard_
         piece(sa + 1, (sa + 1) * width, sb * width - 1, 0),
     )
     cut = F.when(sa == sb, inside).when(sb == sa + 1, F.slice(across, 1, 2)).otherwise(across)
-    pieces = bits.select(*entity, F.inline(cut))
-    shards = _runs(pieces, [*entity, "shard"])
-    whole = _runs(shards.drop("shard"), entity)
+    shards = _runs(bits.select(*entity, F.inline(cut)), [*entity, "shard"])
+    w = Window.partitionBy(*entity, "shard").orderBy("first")
+    placed = shards.withColumn("_edge", F.lag("first").over(w).isNull() | F.lead("first").over(w).isNull())
+    # a shard that a run from an earlier one covers is within one period and counts as one run
+    ends = shards.groupBy(*entity, "shard").agg(F.max("last").alias("_last"))
+    earlier = F.max("_last").over(Window.partitionBy(*entity).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(*[F.col(c).alias(f"_{c}_") for c in entity], F.col("shard").alias("_of"), F.coalesce(earlier >= (F.col("shard") + 1) * width - 1, F.lit(False)).alias("_covered"))
+    placed = placed.join(ends, _same(entity, F.col("shard") == F.col("_of"))).select(*entity, "shard", "first", "last", "heads", "_edge", "_covered")
+    covered = placed.where("_covered").groupBy(*entity, "shard").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("heads").alias("heads"))
+    inner = placed.where("NOT _covered AND NOT _edge").select(*entity, "first", "last", "heads")
+    # the runs at the ends of shards, and runs over several, are united over the entity
+    edges = placed.where("NOT _covered AND _edge").select(*entity, "shard", "first", "last", "heads").unionByName(covered)
+    edges = _runs(edges.withColumnRenamed("shard", "whole"), entity)
+    whole = inner.unionByName(edges)
     return whole.select(*entity, (F.col("first") / 2).cast("bigint").alias("start_u"), (F.col("last") / 2).cast("bigint").alias("end_u"), F.col("heads").cast("bigint").alias("n_intervals"))
 
 
-def gaps(united: DataFrame, entity: list[str]) -> DataFrame:
+def _followed(united: DataFrame, entity: list[str], shard_bits: int = SHARD_BITS) -> DataFrame:
+    """``united`` with ``_next``, the start of the period after each: looked for among the periods that begin in the same shard, then in the shards after it."""
+    rows = united.withColumn("_shard", F.shiftright("start_u", max(shard_bits - 1, 0)))
+    near = F.lead("start_u").over(Window.partitionBy(*entity, "_shard").orderBy("start_u"))
+    first = rows.groupBy(*entity, "_shard").agg(F.min("start_u").alias("_first"))
+    first = first.withColumn("_later", F.lead("_first").over(Window.partitionBy(*entity).orderBy("_shard")))
+    first = first.select(*[F.col(c).alias(f"_{c}_") for c in entity], F.col("_shard").alias("_of"), "_later")
+    both = rows.withColumn("_near", near).join(first, _same(entity, F.col("_shard") == F.col("_of")))
+    return both.withColumn("_next", F.coalesce("_near", "_later")).drop("_shard", "_near", "_of", "_later", *[f"_{c}_" for c in entity])
+
+
+def gaps(united: DataFrame, entity: list[str], shard_bits: int = SHARD_BITS) -> DataFrame:
     """The clear runs between consecutive periods of each entity."""
-    w = Window.partitionBy(*entity).orderBy("start_u")
-    nxt = united.withColumn("_next", F.lead("start_u").over(w)).where("_next IS NOT NULL")
+    nxt = _followed(united, entity, shard_bits).where("_next IS NOT NULL")
     return nxt.select(*entity, F.col("end_u").alias("start_u"), F.col("_next").alias("end_u"))
 
 
 def periods_and_gaps(df: DataFrame, entity: list[str], start: Column, end: Column, shard_bits: int = SHARD_BITS) -> DataFrame:
     """``periods`` (kind 'period') and ``gaps`` (kind 'gap') in one pass over the runs."""
-    united = periods(df, entity, start, end, shard_bits)
-    w = Window.partitionBy(*entity).orderBy("start_u")
-    both = united.withColumn("_next", F.lead("start_u").over(w))
+    both = _followed(periods(df, entity, start, end, shard_bits), entity, shard_bits)
 
     def row(kind: str, a: str, b: str, n: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), F.col(a).alias("start_u"), F.col(b).alias("end_u"), n.alias("n_intervals"))
