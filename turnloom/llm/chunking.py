@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.registry import Registry
@@ -158,3 +158,25 @@ def p3_found(spark, sf_dir):
 def p3_pieces(spark, sf_dir):
     """The pieces of every oversized text."""
     return split_oversized(_oversized(spark, sf_dir), "text", "limit", "overlap").dropDuplicates(["field_name", "row_id", "pos", "piece_no"])
+
+
+_CHECKS = f"""
+WITH u AS (SELECT DISTINCT utterance_id, tts_text, units FROM utterances),
+t AS (SELECT 'utterance.tts_text' AS field_name, tts_text AS text FROM u UNION ALL SELECT 'unit.text', unnest(units).text FROM u)
+SELECT t.field_name, count(*) AS texts, CAST(sum(length(text)) AS BIGINT) AS characters, CAST(0 AS BIGINT) AS too_long, CAST(0 AS BIGINT) AS wrong_overlap, CAST(0 AS BIGINT) AS wrong_text
+FROM t JOIN size_limits l ON l.field_name = t.field_name WHERE length(text) > max_chars GROUP BY t.field_name
+"""
+
+
+@registry.query("p3_checks", _CHECKS)
+def p3_checks(spark, sf_dir):
+    """Oversized texts and their characters as the pieces have them, and how many pieces are too long, don't share the overlap, or aren't what stands in their text."""
+    texts = _oversized(spark, sf_dir).where(F.length("text") > F.col("limit")).dropDuplicates(["field_name", "row_id", "pos"])
+    got = split_oversized(texts.withColumn("most", F.col("limit")).withColumn("share", F.col("overlap")).withColumn("own", F.col("text")), "text", "limit", "overlap")
+    w = Window.partitionBy("field_name", "row_id", "pos").orderBy("piece_no")
+    got = got.withColumn("_before", F.lag("end").over(w))
+    fresh = F.col("end") - F.coalesce("_before", F.lit(0))
+    return got.groupBy("field_name").agg(
+        F.count_if(F.col("piece_no") == 0).alias("texts"), F.sum(fresh).cast("bigint").alias("characters"), F.count_if(F.length("piece") > F.col("most")).alias("too_long"),
+        F.count_if(F.col("start") != F.coalesce(F.col("_before") - F.col("share"), F.lit(0))).alias("wrong_overlap"), F.count_if(F.substring(F.col("own"), F.col("start") + 1, F.col("end") - F.col("start")) != F.col("piece")).alias("wrong_text"),
+    )

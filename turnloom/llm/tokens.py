@@ -30,9 +30,9 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 _WS = r"\t-\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = rf"'(?:[sdmt]|ll|ve|re)| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 #: The literal maps are cut into so many parts, as Spark searches a map entry by entry.
-PARTS = 8191
+PARTS = 16381
 #: The words whose ids stand in the plan: so many of the most frequent, each of so many bytes at most.
-HOT_WORDS, HOT_BYTES = 30_000, 48
+HOT_WORDS, HOT_BYTES = 60_000, 200
 #: The rank of a pair that is no token.
 _NONE = 2**31 - 1
 
