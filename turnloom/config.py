@@ -9,7 +9,7 @@ from dataclasses import dataclass, fields
 from pathlib import Path
 
 #: Names that older configurations use, with the setting that each stands for.
-LEGACY = {"LENGTH_GUARD_START": "length_guard_start", "LENGTH_GUARD_GAP": "length_guard_gap", "INTERRUPTION_GUARD_START": "floor_guard_start", "USE_LAST_N_HISTORY": "context_turns", "TARGET_LANGUAGE": "language", "SEED": "seed"}
+LEGACY = {"LENGTH_GUARD_START": "length_guard_start", "LENGTH_GUARD_GAP": "length_guard_gap", "INTERRUPTION_GUARD_START": "floor_guard_start", "USE_LAST_N_HISTORY": "context_turns", "TARGET_LANGUAGE": "language"}
 
 
 def merged(base: Mapping, over: Mapping) -> dict:

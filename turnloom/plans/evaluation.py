@@ -130,9 +130,18 @@ def x27_canonical_labels(spark, sf_dir):
 @registry.query("a9_duration_percentiles", """WITH a AS (SELECT DISTINCT align_id, kind, start_sec, end_sec FROM alignment_turns), s AS (SELECT kind, end_sec - start_sec AS s FROM a WHERE end_sec >= start_sec)
 SELECT kind, count(*) AS n, round(min(s), 6) AS least, round(max(s), 6) AS most, round(quantile_cont(s, 0.5), 6) AS median, round(quantile_cont(s, 0.9), 6) AS p90 FROM s GROUP BY kind""")
 def a9_duration_percentiles(spark, sf_dir):
-    """Durations of utterances and backchannels."""
+    """Durations of utterances and backchannels; percentiles are read off the ranks, so no task holds a kind's values."""
+    from turnloom.operators.sampling import numbered
+
     a = table(spark, sf_dir, "alignment_turns").dropDuplicates(["align_id"]).where("end_sec >= start_sec").select("kind", (F.col("end_sec") - F.col("start_sec")).alias("s"))
-    return a.groupBy("kind").agg(F.count("*").alias("n"), F.round(F.min("s"), 6).alias("least"), F.round(F.max("s"), 6).alias("most"), F.round(F.percentile("s", F.lit(0.5)), 6).alias("median"), F.round(F.percentile("s", F.lit(0.9)), 6).alias("p90"))
+    ranked = numbered(a, ["kind"], ["s"])
+
+    def percentile(q):
+        place = (F.col("n") - 1) * F.lit(q)
+        low, high = (F.max(F.when(F.col("rn") == f(place), F.col("s"))) for f in (F.floor, F.ceil))
+        return low + (high - low) * (F.max(place) - F.floor(F.max(place)))
+
+    return ranked.groupBy("kind").agg(F.count("*").alias("n"), F.round(F.min("s"), 6).alias("least"), F.round(F.max("s"), 6).alias("most"), F.round(percentile(0.5), 6).alias("median"), F.round(percentile(0.9), 6).alias("p90"))
 
 
 @registry.query("a12_rms_peak", "WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x FROM embeddings) SELECT vec_id, round(sqrt(avg(x * x)), 6) AS rms, round(max(abs(x)), 6) AS peak FROM v GROUP BY vec_id")
