@@ -42,13 +42,6 @@ def _runs(pieces: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def _same(entity: list[str], more: Column) -> Column:
-    """That ``more`` holds and each entity column equals the one named _column_, null or not."""
-    for c in entity:
-        more = more & F.col(c).eqNullSafe(F.col(f"_{c}_"))
-    return more
-
-
 def periods(df: DataFrame, entity: list[str], start: Column, end: Column, shard_bits: int = SHARD_BITS) -> DataFrame:
     """Continuous periods per entity: ``entity``, ``start_u``, ``end_u``, ``n_intervals``.
 
@@ -79,30 +72,31 @@ def periods(df: DataFrame, entity: list[str], start: Column, end: Column, shard_
     cut = F.when(sa == sb, inside).when(sb == sa + 1, F.slice(across, 1, 2)).otherwise(across)
     shards = _runs(bits.select(*entity, F.inline(cut)), [*entity, "shard"])
     w = Window.partitionBy(*entity, "shard").orderBy("first")
-    placed = shards.withColumn("_edge", F.lag("first").over(w).isNull() | F.lead("first").over(w).isNull())
-    # a shard that a run from an earlier one covers is within one period and counts as one run
-    ends = shards.groupBy(*entity, "shard").agg(F.max("last").alias("_last"))
-    earlier = F.max("_last").over(Window.partitionBy(*entity).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    ends = ends.select(*[F.col(c).alias(f"_{c}_") for c in entity], F.col("shard").alias("_of"), F.coalesce(earlier >= (F.col("shard") + 1) * width - 1, F.lit(False)).alias("_covered"))
-    placed = placed.join(ends, _same(entity, F.col("shard") == F.col("_of"))).select(*entity, "shard", "first", "last", "heads", "_edge", "_covered")
-    covered = placed.where("_covered").groupBy(*entity, "shard").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("heads").alias("heads"))
-    inner = placed.where("NOT _covered AND NOT _edge").select(*entity, "first", "last", "heads")
-    # the runs at the ends of shards, and runs over several, are united over the entity
-    edges = placed.where("NOT _covered AND _edge").select(*entity, "shard", "first", "last", "heads").unionByName(covered)
-    edges = _runs(edges.withColumnRenamed("shard", "whole"), entity)
-    whole = inner.unionByName(edges)
+    begins, ends = F.lag("first").over(w).isNull(), F.lead("first").over(w).isNull()
+    placed = shards.select(*entity, "shard", "first", "last", "heads", begins.alias("_begins"), (begins | ends).alias("_edge"), F.max("last").over(Window.partitionBy(*entity, "shard")).alias("_reach"))
+    # a shard that a run from an earlier one covers is within one period and counts as one run;
+    # what earlier shards reach is carried along the first runs of shards alone
+    along = Window.partitionBy(*entity, "_lane").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("_lane", F.when(~F.col("_begins"), F.col("shard"))).withColumn("_earlier", F.when(F.col("_begins"), F.max("_reach").over(along)))
+    covered = F.max("_earlier").over(Window.partitionBy(*entity, "shard")) >= (F.col("shard") + 1) * width - 1
+    placed = placed.withColumn("_covered", F.coalesce(covered, F.lit(False)))
+    alone = F.when(~F.col("_covered"), F.col("first"))
+    runs = placed.groupBy(*entity, "shard", alone.alias("_alone")).agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("heads").alias("heads"), F.max(F.col("_edge") | F.col("_covered")).alias("_edge"))
+    # the runs at the ends of shards, and runs over several, are united over the entity, all others stay in their shard
+    runs = runs.select(*entity, F.when(~F.col("_edge"), F.col("shard")).alias("_lane"), "first", "last", "heads", F.col("shard").alias("whole"))
+    whole = _runs(runs, [*entity, "_lane"])
     return whole.select(*entity, (F.col("first") / 2).cast("bigint").alias("start_u"), (F.col("last") / 2).cast("bigint").alias("end_u"), F.col("heads").cast("bigint").alias("n_intervals"))
 
 
 def _followed(united: DataFrame, entity: list[str], shard_bits: int = SHARD_BITS) -> DataFrame:
-    """``united`` with ``_next``, the start of the period after each: looked for among the periods that begin in the same shard, then in the shards after it."""
+    """``united`` with ``_next``, the start of the period after each: of those that begin in the same shard, else of those first in a shard."""
     rows = united.withColumn("_shard", F.shiftright("start_u", max(shard_bits - 1, 0)))
-    near = F.lead("start_u").over(Window.partitionBy(*entity, "_shard").orderBy("start_u"))
-    first = rows.groupBy(*entity, "_shard").agg(F.min("start_u").alias("_first"))
-    first = first.withColumn("_later", F.lead("_first").over(Window.partitionBy(*entity).orderBy("_shard")))
-    first = first.select(*[F.col(c).alias(f"_{c}_") for c in entity], F.col("_shard").alias("_of"), "_later")
-    both = rows.withColumn("_near", near).join(first, _same(entity, F.col("_shard") == F.col("_of")))
-    return both.withColumn("_next", F.coalesce("_near", "_later")).drop("_shard", "_near", "_of", "_later", *[f"_{c}_" for c in entity])
+    w = Window.partitionBy(*entity, "_shard").orderBy("start_u")
+    near = F.lead("start_u").over(w)
+    rows = rows.withColumn("_near", near).withColumn("_lane", F.when(~(F.lag("start_u").over(w).isNull() | near.isNull()), F.col("_shard")))
+    # for the last period of a shard the next one at a shard's end is the first of a later shard
+    later = F.lead("start_u").over(Window.partitionBy(*entity, "_lane").orderBy("start_u"))
+    return rows.withColumn("_next", F.coalesce("_near", later)).drop("_shard", "_near", "_lane")
 
 
 def gaps(united: DataFrame, entity: list[str], shard_bits: int = SHARD_BITS) -> DataFrame:
