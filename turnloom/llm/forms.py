@@ -213,8 +213,6 @@ class Forms:
             self.automaton.add_word(x, x)
         self.automaton.make_automaton()
         singles = sorted(x for x in self.rewrite if len(x) == 1)
-        #: A character class that every text to be rewritten meets, apart from letters of another script.
-        self.suspects = "[\\p{M}" + "".join(f"\\x{{{ord(x):X}}}" for x in singles if not unicodedata.category(x).startswith("M")) + "]"
         self._suspect = MARKS.union(singles)
 
     def _told(self, word: str) -> tuple[Counter, set[str]]:

@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from turnloom.llm.forms import SCRIPTS, Forms
+from turnloom.llm.forms import Forms
 from turnloom.registry import Registry
 from turnloom.session import table
 
@@ -44,36 +45,34 @@ def code_points(texts: DataFrame, text: str = "text") -> dict[int, int]:
     return {r["point"]: r["n"] for r in rows}
 
 
-def one_form(texts: DataFrame, text: str = "text", out: str = "canonical", forms: Forms | None = None) -> DataFrame:
+def one_form(texts: DataFrame, text: str = "text", out: str = "canonical", forms: Forms | None = None, changed_only: bool = False) -> DataFrame:
     """``texts`` with a column ``out``: the text in one consistent form, and ``changed`` (boolean).
 
     Null stays null and is unchanged, the empty text stays empty.  Nothing else of
-    a row is touched; rows are neither added nor lost.  The classes are built from
-    the code points of the whole corpus unless ``forms`` is given.  Texts that
-    hold no suspect character skip Python.  ``texts`` must not have columns named
-    ``out`` or ``changed``.
+    a row is touched; rows are neither added nor lost, but with ``changed_only``
+    the unchanged ones are left out.  The classes are built from the code points
+    of the whole corpus unless ``forms`` is given.  All texts pass through Python
+    once, in Arrow batches: whether a text holds a suspect character is a test of
+    two sets there, which costs a tenth of a pattern of some thousand ranges.
+    ``texts`` must not have columns named ``out`` or ``changed``.
     """
     forms = forms or Forms(code_points(texts, text))
-    suspect = suspects(forms, F.col(text))
     fields = list(texts.columns)
-    schema = texts.schema.add(out, "string").add("changed", "boolean")
+    # a schema of its own, as adding to one changes it
+    schema = StructType(list(texts.schema.fields)).add(out, "string").add("changed", "boolean")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             old = batch.column(fields.index(text)).to_pylist()
             new = [None if x is None else forms.canonical(x) for x in old]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string()), pa.array([a != b for a, b in zip(old, new)])], [*fields, out, "changed"])
+            changed = [a != b for a, b in zip(old, new)]
+            columns = [*batch.columns, pa.array(new, pa.string()), pa.array(changed, pa.bool_())]
+            if changed_only:
+                at = pa.array([i for i, x in enumerate(changed) if x], pa.int32())
+                columns = [c.take(at) for c in columns]
+            yield pa.RecordBatch.from_arrays(columns, [*fields, out, "changed"])
 
-    plain = texts.where(~F.coalesce(suspect, F.lit(False))).withColumn(out, F.col(text)).withColumn("changed", F.lit(False))
-    return texts.where(suspect).mapInArrow(rewrite, schema).unionByName(plain)
-
-
-def suspects(forms: Forms, text: Column) -> Column:
-    """Whether a text may have to be rewritten; true for all that are."""
-    # any two of the three scripts; most texts are Latin and end at the first test
-    latin, cyrillic, greek = (text.rlike(rf"\p{{Is{x}}}") for x in SCRIPTS)
-    mixed = text.rlike(r"[\p{IsCyrillic}\p{IsGreek}]") & (latin | (cyrillic & greek))
-    return text.rlike(forms.suspects) | text.rlike(r"[\x00-\x08\x0E-\x1F\x7F]") | mixed
+    return texts.mapInArrow(rewrite, schema)
 
 
 def corpus_texts(spark, sf_dir: str) -> DataFrame:
@@ -93,8 +92,7 @@ def p5_found(spark, sf_dir):
 
 def changed_texts(texts: DataFrame) -> DataFrame:
     """The rows of ``texts`` that ``one_form`` changes, with both forms."""
-    forms = Forms(code_points(texts))
-    return one_form(texts.where(suspects(forms, F.col("text"))), forms=forms).where("changed")
+    return one_form(texts, changed_only=True)
 
 
 @registry.query("p5_canonical")
