@@ -113,10 +113,15 @@ def align_words(x: Column) -> Column:
 def cut_at_take_floor(x: Column) -> Column:
     """What stands before the floor token and one word after it, or three if fewer than five stand before."""
     left, right = strip(F.substring_index(x, TAKE_FLOOR, 1)), strip(F.substring(x, F.locate(TAKE_FLOOR, x) + len(TAKE_FLOOR), F.length(x)))
-    after = F.regexp_extract_all(right, F.lit(f"({WORD})"), F.lit(1))
-    keep = F.when(F.size(F.regexp_extract_all(left, F.lit(f"({WORD})"), F.lit(1))) < 5, 3).otherwise(1)
-    kept = F.array_join(F.slice(after, F.lit(1), keep), " ")
-    return F.when(F.contains(x, F.lit(TAKE_FLOOR)), F.when(F.size(after) == 0, left).otherwise(F.trim(F.concat_ws(" ", left, kept)))).otherwise(x)
+
+    def told(p: Column) -> Column:
+        keep = F.when(F.size(F.regexp_extract_all(p["left"], F.lit(f"({WORD})"), F.lit(1))) < 5, 3).otherwise(1)
+        kept = F.array_join(F.slice(p["after"], F.lit(1), keep), " ")
+        return F.when(F.size(p["after"]) == 0, p["left"]).otherwise(F.trim(F.concat_ws(" ", p["left"], kept)))
+
+    # both sides are bound once
+    sides = F.struct(left.alias("left"), F.regexp_extract_all(right, F.lit(f"({WORD})"), F.lit(1)).alias("after"))
+    return F.when(F.contains(x, F.lit(TAKE_FLOOR)), F.element_at(F.transform(F.array(sides), told), 1)).otherwise(x)
 
 
 def stage_directions(x: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from turnloom.functions import text as X
 from turnloom.operators import evaluate as E
 from turnloom.operators import slots as S
+from turnloom.operators.bound import bound
 
 
 def is_annotated(boundaries: Column, content: Column, role: Column | None = None) -> Column:
@@ -51,7 +52,7 @@ def examples(turns: DataFrame, dialogue: str, turn: str, boundaries: str, index:
     rows = S.last_turns(turns, dialogue, turn, history)
     rows = rows.where(is_annotated(F.col(boundaries), F.col("content"), None if any_role else F.col("role")))
     n = F.size(X.words(F.col("content")))
-    rows = rows.withColumn("trps", with_targets(F.col(boundaries), index, n, target)).where("size(trps) > 0")
+    rows = bound(rows, trps=with_targets(F.col(boundaries), index, n, target)).where("size(trps) > 0")
     return rows.select(dialogue, turn, "context", F.col("content").alias("user_utterance"), "trps")
 
 

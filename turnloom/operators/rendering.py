@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.functions import text as X
+from turnloom.operators.bound import bound
 
 
 def segments(text: Column, contents: Column, pick: Column) -> Column:
     """A turn's text with tokens as an array of (is_bc, text): what is said between its backchannels, and these.
 
-    The text is sanitised and cut shortly after its floor token.  The n-th token
+    The text, sanitised before, is cut shortly after its floor token.  The n-th token
     takes the n-th of ``contents``, or ``pick`` where there is none.  Stretches in
     which nothing is left are dropped.
     """
@@ -31,7 +32,7 @@ def segments(text: Column, contents: Column, pick: Column) -> Column:
 
         return F.flatten(F.transform(parts, around))
 
-    cut = F.split(X.cut_at_take_floor(X.sanitize_text(text)), r"\[BACKCHANNEL\]")
+    cut = F.split(X.cut_at_take_floor(text), r"\[BACKCHANNEL\]")
     return F.element_at(F.transform(F.array(cut), parted), 1)
 
 
@@ -43,8 +44,10 @@ def utterances(turns: DataFrame, dialogue: str, turn: str, role: str, text: str,
     Turns of other roles than user and assistant, and turns with no words left,
     give none.  A dialogue's utterances are ordered by a window over its own turns.
     """
-    taken = F.contains(X.sanitize_text(F.col(text)), F.lit(X.TAKE_FLOOR))
-    rows = turns.where(F.col(role).isin("user", "assistant")).select(dialogue, turn, role, taken.alias("_taken"), segments(F.col(text), contents, pick).alias("_s"))
+    # sanitised in a projection of its own, as it is read several times
+    rows = turns.where(F.col(role).isin("user", "assistant")).select(dialogue, turn, role, X.sanitize_text(F.col(text)).alias("_clean"), contents.alias("_contents"), pick.alias("_pick"))
+    taken = F.contains("_clean", F.lit(X.TAKE_FLOOR))
+    rows = bound(rows.withColumn("_taken", taken), _s=segments(F.col("_clean"), F.col("_contents"), F.col("_pick")))
     last = F.array_max(F.transform("_s", lambda s, i: F.when(~s["is_bc"], i)))
     rows = rows.select(dialogue, turn, role, "_taken", last.alias("_last"), F.posexplode("_s").alias("seg", "_x"))
     rows = rows.select(dialogue, turn, "seg", role, F.col("_x.is_bc").alias("_bc"), F.col("_x.text").alias("text"), (F.col("_taken") & (F.col("seg") == F.col("_last"))).alias("_cuts"))

@@ -9,6 +9,7 @@ from turnloom.operators import evaluate as E
 from turnloom.operators import examples as M
 from turnloom.operators import sampling as O
 from turnloom.operators import slots as S
+from turnloom.operators.bound import bound
 from turnloom.plans import common as C
 from turnloom.plans import slots as P
 from turnloom.plans import transcripts as T
@@ -33,7 +34,7 @@ def annotated(spark, sf_dir):
 
     odd = [F.struct(x.alias("word_index"), F.struct(F.lit(1.0).alias("backchannel"), F.lit(0.0).alias("interruption"), F.lit(0.0).alias("none")).alias("probabilities")) for x in (F.lit("three"), F.lit("-1"), n.cast("string"), F.lit(None).cast("string"))]
     found = F.concat(F.transform(S.slots_a(words), one), F.array(*odd))
-    return turns.withColumn("boundaries", F.when((F.col("record_id") + F.col("turn")) % 3 != 0, found))
+    return bound(turns, boundaries=F.when((F.col("record_id") + F.col("turn")) % 3 != 0, found))
 
 
 SQL_ANN = f"""{P.SQL_W}, {P.SQL_CONTEXT}, brd AS (SELECT record_id, turn, ws, word_index, CASE WHEN word_index % 7 = 0 THEN 0 ELSE round({sql_uniform('record_id', 'turn', 'word_index', "'b'")}, 6) END AS b, CASE WHEN word_index % 7 = 0 THEN 0 ELSE round({sql_uniform('record_id', 'turn', 'word_index', "'f'")}, 6) END AS f, CASE WHEN word_index % 7 = 0 THEN 0 ELSE round({sql_uniform('record_id', 'turn', 'word_index', "'s'")}, 6) END AS s FROM sa WHERE role = 'user' AND (record_id + turn) % 3 <> 0),
@@ -112,7 +113,7 @@ def proj14_human_votes(spark, sf_dir):
 
 def typed_turns(spark, sf_dir):
     """Transcript turns as (conversation_id, turn, role, content, words, typed)."""
-    rows = T.w5_merged_turns(spark, sf_dir).withColumn("b", M.typed_boundaries(F.col("text")))
+    rows = bound(T.w5_merged_turns(spark, sf_dir), b=M.typed_boundaries(F.col("text")))
     role = F.when(F.col("speaker") == "A", "assistant").otherwise("user")
     return rows.select("conversation_id", F.col("turn_no").alias("turn"), role.alias("role"), F.array_join("b.words", " ").alias("content"), F.col("b.words").alias("words"), F.col("b.typed").alias("typed"))
 
@@ -135,14 +136,14 @@ jb AS (SELECT coalesce(ca.conversation_id, ty.conversation_id) AS conversation_i
 def j7_typed_join(spark, sf_dir):
     """Candidate places of transcript turns joined with the tokens that stand in them; the type wins."""
     rows = typed_turns(spark, sf_dir)
-    joined = M.joined_boundaries(S.slots_b(F.col("words")), F.col("typed"))
-    return rows.select("conversation_id", "turn", F.inline(joined))
+    rows = bound(rows, found=S.slots_b(F.col("words")), joined=M.joined_boundaries(F.col("found"), F.col("typed")))
+    return rows.select("conversation_id", "turn", F.inline("joined"))
 
 
 @registry.query("t13_one_hot_examples", f"{SQL_TYP}, sp AS (SELECT conversation_id, CASE WHEN {C.sql_fold("conversation_id")} / 10000 < 0.9 THEN 'train' ELSE 'test' END AS split FROM (SELECT DISTINCT conversation_id FROM wd)), wh AS (SELECT conversation_id, turn, row_number() OVER (PARTITION BY conversation_id ORDER BY turn) AS nth FROM tn), ct AS (SELECT conversation_id, turn, CAST(least(nth - 1, 4) AS INTEGER) AS most FROM wh), oh AS (SELECT jb.*, CASE type WHEN 'BACKCHANNEL' THEN 0 WHEN 'TAKE_FLOOR' THEN 1 ELSE 2 END AS hot FROM jb JOIN wd USING (conversation_id, turn) WHERE idx < len(ws)) SELECT sp.split, conversation_id, turn, count(*) AS n, sum(CASE WHEN hot = 0 THEN 1 ELSE 0 END) AS backchannel, sum(CASE WHEN hot = 1 THEN 1 ELSE 0 END) AS interruption, sum(CASE WHEN hot = 2 THEN 1 ELSE 0 END) AS none FROM oh JOIN sp USING (conversation_id) GROUP BY ALL")
 def t13_one_hot_examples(spark, sf_dir):
     """Examples of typed transcript turns of either role, split by the hash of their conversation."""
-    rows = typed_turns(spark, sf_dir).withColumn("boundaries", M.joined_boundaries(S.slots_b(F.col("words")), F.col("typed")))
+    rows = bound(typed_turns(spark, sf_dir), found=S.slots_b(F.col("words")), boundaries=M.joined_boundaries(F.col("found"), F.col("typed")))
     got = M.examples(rows, "conversation_id", "turn", "boundaries", "idx", M.one_hot, any_role=True)
     share = lambda k: F.aggregate(F.transform("trps", lambda t: F.get(t["target_probs"], F.lit(k))), F.lit(0.0), lambda a, b: a + b).cast("bigint")
     return got.select(O.hash_split(F.col("conversation_id"), 0.9).alias("split"), "conversation_id", "turn", F.size("trps").cast("bigint").alias("n"), share(0).alias("backchannel"), share(1).alias("interruption"), share(2).alias("none"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from turnloom.functions import text as X
 from turnloom.operators import slots as S
+from turnloom.operators.bound import bound
 from turnloom.plans import common as C
 from turnloom.plans.common import q, sql_strip, sql_uniform, sql_words
 from turnloom.registry import Registry
@@ -25,13 +26,13 @@ sa AS (SELECT record_id, turn, role, ws, word_index, is_stop, is_hes FROM (SELEC
 
 
 def turns_with_words(spark, sf_dir):
-    return C.said(spark, sf_dir).withColumn("words", X.words(F.col("content")))
+    return bound(C.said(spark, sf_dir), words=X.words(F.col("content")))
 
 
 @registry.query("t1_slots", f"WITH {SQL_W} SELECT record_id, turn, role, word_index, is_stop, is_hes AS is_hesitation FROM sa")
 def t1_slots(spark, sf_dir):
     """Policy A: the slots of every turn and the evidence for each."""
-    rows = turns_with_words(spark, sf_dir).select(*KEY, "role", "words", F.explode(S.slots_a(F.col("words"))).alias("word_index"))
+    rows = bound(turns_with_words(spark, sf_dir), slots=S.slots_a(F.col("words"))).select(*KEY, "role", "words", F.explode("slots").alias("word_index"))
     word = F.get("words", F.col("word_index"))
     return rows.select(*KEY, "role", "word_index", word.rlike(X.STOP).alias("is_stop"), X.clean_word(word).isin(*X.HESITATIONS).alias("is_hesitation"))
 
@@ -63,7 +64,7 @@ def w3_thinned_runs(spark, sf_dir):
 @registry.query("t2_slots_annotator", f"WITH {SQL_B} SELECT DISTINCT record_id, turn, CAST(i AS INTEGER) AS word_index FROM (SELECT record_id, turn, n, i FROM thin UNION ALL SELECT record_id, turn, n, i FROM fill) WHERE i >= 0 AND i < n - 1")
 def t2_slots_annotator(spark, sf_dir):
     """Policy B: candidates thinned in runs, long gaps filled."""
-    return turns_with_words(spark, sf_dir).select(*KEY, F.explode(S.slots_b(F.col("words"))).alias("word_index"))
+    return bound(turns_with_words(spark, sf_dir), slots=S.slots_b(F.col("words"))).select(*KEY, F.explode("slots").alias("word_index"))
 
 
 @registry.query("w4_gap_fill", f"WITH {SQL_B} SELECT DISTINCT record_id, turn, CAST(i AS INTEGER) AS word_index FROM fill WHERE i >= 0 AND i < n - 1")
@@ -111,7 +112,7 @@ def decided_turns(spark, sf_dir):
         u = X.uniform(F.lit(42), F.col("record_id"), F.col("turn"), i)
         return F.struct(i.alias("word_index"), S.sampled_action(u, F.lit(P_FLOOR), F.lit(P_BACK)).alias("action"))
 
-    return rows.withColumn("decisions", S.decided(F.transform(S.slots_a(F.col("words")), act)))
+    return bound(rows, slots=S.slots_a(F.col("words")), decisions=S.decided(F.transform("slots", act))).drop("slots")
 
 
 @registry.query("t5_sampled_actions", f"WITH {SQL_W}, a AS (SELECT record_id, turn, word_index, {sql_uniform('42', 'record_id', 'turn', 'word_index')} AS u FROM sa) SELECT record_id, turn, word_index, CASE WHEN u <= {P_FLOOR} THEN 'floor_taking' WHEN u <= {P_FLOOR} + {P_BACK} THEN 'backchannel' ELSE 'silence' END AS action FROM a")
@@ -164,7 +165,7 @@ def w1_last4_context(spark, sf_dir):
 @registry.query("proj8_single_slots", f"WITH {SQL_W} SELECT record_id, turn, word_index, array_to_string(ws[1:word_index + 1], ' ') AS prefix FROM sa")
 def proj8_single_slots(spark, sf_dir):
     """One row for each slot, with the turn up to it."""
-    rows = turns_with_words(spark, sf_dir).select(*KEY, "words", F.explode(S.slots_a(F.col("words"))).alias("word_index"))
+    rows = bound(turns_with_words(spark, sf_dir), slots=S.slots_a(F.col("words"))).select(*KEY, "words", F.explode("slots").alias("word_index"))
     return rows.select(*KEY, "word_index", F.array_join(F.slice("words", F.lit(1), F.col("word_index") + 1), " ").alias("prefix"))
 
 
