@@ -53,7 +53,7 @@ def one_form(texts: DataFrame, text: str = "text", out: str = "canonical", forms
     the unchanged ones are left out.  The classes are built from the code points
     of the whole corpus unless ``forms`` is given.  All texts pass through Python
     once, in Arrow batches: whether a text holds a suspect character is a test of
-    two sets there, which costs a tenth of a pattern of some thousand ranges.
+    two sets there, which costs about a quarter of a pattern of some thousand ranges.
     ``texts`` must not have columns named ``out`` or ``changed``.
     """
     forms = forms or Forms(code_points(texts, text))
