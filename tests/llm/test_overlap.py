@@ -145,3 +145,42 @@ def test_separate_insertions_and_deletions_are_found(spark):
     df = spark.createDataFrame(rows, "id bigint, t boolean, text string")
     links, _ = P.overlaps(df, F.col("id"), F.col("t"), F.col("text"))
     assert links.count() == len(pairs)
+
+
+def test_sketches_differ_in_no_more_bits_than_bags_in_words():
+    from collections import Counter
+
+    rnd = random.Random(7)
+    for n in (4, 9, 40, 200):
+        a = [rnd.choice([3, 5, 1 << 40, rnd.getrandbits(64)]) for _ in range(n)]
+        b = [rnd.choice([x, x, x, rnd.getrandbits(64)]) for x in a] + [5]
+        flat = np.array(a + b, dtype=np.uint64)
+        wide = P.sketches(flat, np.array([n, n + 1]), 16)
+        bags = Counter(a), Counter(b)
+        assert np.bitwise_count(wide[0] ^ wide[1]).sum() <= ((bags[0] - bags[1]) + (bags[1] - bags[0])).total()
+        # a record's sketch doesn't depend on its batch, and a narrow one is the wide one's halves laid over each other
+        alone = P.sketches(flat[n:], np.array([n + 1]), 8)[0]
+        assert (alone == wide[1, :8] ^ wide[1, 8:]).all()
+
+
+def test_a_cell_gets_sketches_and_few_pairs_by_chance(spark, monkeypatch):
+    """Words cross the cluster for pairs that are near alone, not for each block and chunk; records of a small vocabulary are rarely so."""
+    rnd = random.Random(2)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, i >= 100, " ".join(rnd.choice(words) for _ in range(rnd.randint(80, 120)))) for i in range(400)]
+    rows += [(1000 + i, True, f"{text} one more") for i, _, text in rows[:40]]
+    df = spark.createDataFrame(rows, "id bigint, t boolean, text string")
+    compared = spark.sparkContext.accumulator(0)
+    compare = P._compared
+
+    def counted(batches):
+        def tell():
+            for b in batches:
+                compared.add(b.num_rows)
+                yield b
+
+        return compare(tell())
+
+    monkeypatch.setattr(P, "_compared", counted)
+    links, _ = P.overlaps(df, F.col("id"), F.col("t"), F.col("text"))
+    assert links.count() == 40 and compared.value <= 44

@@ -1,22 +1,20 @@
 """Problem 1: records of the evaluation splits that also stand in training.
 
-Word pair hashes of the evaluation side are partitioned into blocks, training is
-scanned for hits against each block, and hits give the containment of an
-evaluation record in a training record; pairs with enough of it are compared
-exactly.
+Every record becomes a parity sketch of its words, evaluation and training
+sketches are compared block by chunk, and the few pairs that are near enough get
+their words back and are compared exactly.
 
 * Records with the same words form a class; only one representative a class is
   compared, so groups of exact copies cost nothing until their pairs are listed.
 * No pair is lost, at any length and in families of any size.  Records of n and m
-  words of which c >= 0.8 * max(n, m) agree in order have at most n + m - 2c + 1
-  runs of common words, so at least 3c - n - m - 1 word pairs in common, which is
-  one or more from four words on.  A record's most frequent fifth of word pairs is
-  left out of the scan and out of that bound (prefix filter in one order for both
-  sides: how often a word pair stands in the block).
+  words of which c >= 0.8 * max(n, m) agree in order differ in at most n + m - 2c
+  words as bags.  Each word of a bag turns one bit of the sketch over, so sketches
+  differ in no more bits than the bags in words; a sketch holds a multiple of the
+  record's words in bits, lest chance pairs come near.
 * Only records whose lengths can agree meet: both sides are parted by the power of
-  two of the length, evaluation into blocks and training into chunks of a bounded
-  number of words.  A word pair that stands everywhere is a long posting list in
-  every block, never one task's share.
+  two of the length, evaluation into blocks and training into chunks of bounded
+  numbers of words and records, and in these by the length itself.  What is sent to
+  every block and chunk is sketches, at a byte a word or so, never words.
 """
 
 from __future__ import annotations
@@ -25,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,10 +36,12 @@ registry = Registry()
 
 #: Share of the longer record's words that must agree in order, in fifths.
 FIFTHS = 4
-#: Words of evaluation records in a block, and of training records in a chunk; they bound a task's memory and lose nothing.
-BLOCK_WORDS, CHUNK_WORDS = 2_000_000, 1_000_000
-#: Cells of the table of hits that one step of a scan fills.
-_CELLS = 4_000_000
+#: Words of evaluation records in a block, and of training records in a chunk, and records in either; they bound a task's memory and time and lose nothing.
+BLOCK_WORDS, CHUNK_WORDS, CELL_RECORDS = 32_000_000, 16_000_000, 100_000
+#: Pairs that one step of a scan compares.
+_CELLS = 262_144
+#: Bits of a sketch for each word of the shortest record of its power of two, and how often they are laid over each other for the first look.
+_BITS, _FOLDS = 8, 4
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -71,65 +72,84 @@ def least_common(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return 3 * c - n - m - 1
 
 
-def left_out(n: np.ndarray) -> np.ndarray:
-    """Word pairs of a record that the scan leaves out, the most frequent ones."""
-    return np.where(n >= 12, n // 5, 0)
+def apart_at_most(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Words in which the bags of records of n and m words may differ if they agree."""
+    return n + m - 2 * ((FIFTHS * np.maximum(n, m) + 4) // 5)
 
 
-def candidates(flat_e: np.ndarray, n_e: np.ndarray, flat_t: np.ndarray, n_t: np.ndarray) -> Iterator[tuple[int, int, float]]:
-    """(place of e, place of t, containment of e's word pairs in t's) of all pairs that may agree."""
-    rec_e, key_e = word_pairs(flat_e, n_e)
-    rec_t, key_t = word_pairs(flat_t, n_t)
-    if not len(key_e) or not len(key_t):
-        return
-    known, id_e, often = np.unique(key_e, return_inverse=True, return_counts=True)
-    id_t = np.searchsorted(known, key_t).clip(0, len(known) - 1)
-    there = known[id_t] == key_t
-    often_t = np.where(there, often[id_t], 0)
-
-    def kept(record: np.ndarray, often: np.ndarray, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
-        order = np.lexsort((ids, often, record))
-        start = np.searchsorted(record, np.arange(len(n)))
-        place = np.arange(len(order)) - start[record[order]]
-        return order[place < (n - 1 - left_out(n))[record[order]]]
-
-    keep_e, keep_t = kept(rec_e, often[id_e], id_e, n_e), kept(rec_t, often_t, id_t, n_t)
-    keep_t = keep_t[there[keep_t]]
-    # postings by key and length, so that only lengths that can agree are read
-    far = int(n_e.max()) + 1
-    posting = id_e[keep_e].astype(np.int64) * far + n_e[rec_e[keep_e]]
-    order = np.argsort(posting, kind="stable")
-    posting, of = posting[order], rec_e[keep_e][order]
-    base, m = id_t[keep_t].astype(np.int64) * far, n_t[rec_t[keep_t]]
-    low = np.searchsorted(posting, base + np.minimum((FIFTHS * m + 4) // 5, far))
-    size = np.searchsorted(posting, base + np.minimum(5 * m // FIFTHS, far - 1), "right") - low
-    begin = np.searchsorted(rec_t[keep_t], np.arange(len(n_t) + 1))
-    hits = np.concatenate([[0], np.cumsum(np.maximum(size, 0))])
+def sketch_words(band: int) -> int:
+    """64-bit words of a sketch that is compared with records of 2 ** band words or more, but not twice as many."""
+    return max(_FOLDS, (_BITS << band) // 64)
+
+
+def sketches(flat: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
+    """A row of ``width`` 64-bit words for each record: the parity of its words at each bit; a word that stands again is another word.
+
+    ``width`` is a power of two, and halves of a sketch laid over each other are the sketch of half that width.
+    At most 2 ** 24 records, more than any batch holds.
+    """
+    out = np.zeros(len(sizes) * width, dtype=np.uint64)
+    if not len(flat):
+        return out.reshape(len(sizes), width)
+    # record and 40 bits of the hash in one number: words that share these count as one word, the same on either side
+    shift = np.uint64(40)
+    key = np.sort((np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes) << shift) | (flat >> np.uint64(24)))
+    record = (key >> shift).astype(np.int64)
+    first = np.ones(len(key), dtype=bool)
+    first[1:] = key[1:] != key[:-1]
+    at = np.arange(len(key))
+    again = (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
+    key &= (np.uint64(1) << shift) - np.uint64(1)
+    with np.errstate(over="ignore"):
+        key = key * _MIX + again * np.uint64(0xD6E8FEB86659FD93)
+        key = (key ^ (key >> np.uint64(29))) * _MIX
+        key ^= key >> np.uint64(32)
+    np.bitwise_xor.at(out, record * width + (key // np.uint64(64) % np.uint64(width)).astype(np.int64), np.uint64(1) << (key % np.uint64(64)))
+    return out.reshape(len(sizes), width)
+
+
+def near(bits_e: np.ndarray, n_e: np.ndarray, bits_t: np.ndarray, n_t: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places of e, places of t) of all pairs whose lengths and sketches allow that they agree."""
+    by_e, by_t = np.argsort(n_e, kind="stable"), np.argsort(n_t, kind="stable")
+    bits_e, n_e, bits_t, n_t = bits_e[by_e], n_e[by_e], bits_t[by_t], n_t[by_t]
+    width = bits_e.shape[1] // _FOLDS
+    first_e, first_t = (np.ascontiguousarray(np.bitwise_xor.reduce(x.reshape(len(x), _FOLDS, width), axis=1).T) for x in (bits_e, bits_t))
+    kind = np.uint8 if width < 4 else np.uint16 if width < 1024 else np.uint32
+    lengths, starts = np.unique(n_e, return_index=True)
+    for n, e_low, e_high in zip(lengths.tolist(), starts.tolist(), [*starts[1:].tolist(), len(n_e)]):
+        low, high = np.searchsorted(n_t, (FIFTHS * n + 4) // 5), np.searchsorted(n_t, 5 * n // FIFTHS, "right")
+        for t0 in range(low, high, _CELLS):
+            t1 = min(high, t0 + _CELLS)
+            most = apart_at_most(n, n_t[t0:t1])
+            limit = np.minimum(most, np.iinfo(kind).max).astype(kind)
+            step = max(1, _CELLS // (t1 - t0))
+            for e0 in range(e_low, e_high, step):
+                e1 = min(e_high, e0 + step)
+                differ = np.zeros((e1 - e0, t1 - t0), dtype=kind)
+                for own, other in zip(first_e, first_t):
+                    differ += np.bitwise_count(own[e0:e1, None] ^ other[None, t0:t1])
+                e, t = np.nonzero(differ <= limit)
+                if len(e):
+                    fits = np.bitwise_count(bits_e[e + e0] ^ bits_t[t + t0]).sum(axis=1, dtype=np.int64) <= most[t]
+                    yield by_e[e[fits] + e0], by_t[t[fits] + t0]
+
+
+def contained(flat_e: np.ndarray, n_e: np.ndarray, flat_t: np.ndarray, n_t: np.ndarray, pairs: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int, float]]:
+    """(place of e, place of t, containment of e's word pairs in t's) of the pairs that share as many word pairs as they must."""
+    (rec_e, key_e), (rec_t, key_t) = word_pairs(flat_e, n_e), word_pairs(flat_t, n_t)
     bounds_e, bounds_t = (np.searchsorted(r, np.arange(len(n) + 1)) for r, n in ((rec_e, n_e), (rec_t, n_t)))
-    step, t0 = max(1, _CELLS // len(n_e)), 0
-    while t0 < len(n_t):
-        t1 = t0 + 1
-        while t1 < min(len(n_t), t0 + step) and hits[begin[t1 + 1]] - hits[begin[t0]] <= 2 * _CELLS:
-            t1 += 1
-        rows = slice(begin[t0], begin[t1])
-        n = np.maximum(size[rows], 0)
-        total = int(n.sum())
-        if total:
-            at = np.repeat(low[rows] - (np.cumsum(n) - n), n) + np.arange(total)
-            cell = np.repeat((rec_t[keep_t[rows]] - t0) * len(n_e), n) + of[at]
-            table_of = np.bincount(cell, minlength=(t1 - t0) * len(n_e)).reshape(t1 - t0, len(n_e))
-            mine = n_t[t0:t1]
-            # one less for a longer partner whose fifth is not yet full
-            least = np.maximum(1, least_common(mine, mine) - 1 - left_out(5 * mine // FIFTHS))
-            t, e = np.nonzero(table_of >= least[:, None])
-            need = least_common(n_e[e], mine[t])
-            enough = table_of[t, e] >= need - np.maximum(left_out(n_e[e]), left_out(mine[t]))
-            for i, j, k in zip(e[enough].tolist(), (t[enough] + t0).tolist(), need[enough].tolist()):
-                own = key_e[bounds_e[i] : bounds_e[i + 1]]
-                shared = len(np.intersect1d(own, key_t[bounds_t[j] : bounds_t[j + 1]], assume_unique=True))
-                if shared >= k:
-                    yield i, j, shared / len(own)
-        t0 = t1
+    for i, j in pairs:
+        own = key_e[bounds_e[i] : bounds_e[i + 1]]
+        shared = len(np.intersect1d(own, key_t[bounds_t[j] : bounds_t[j + 1]], assume_unique=True))
+        if shared >= least_common(n_e[i], n_t[j]):
+            yield i, j, shared / len(own)
+
+
+def candidates(flat_e: np.ndarray, n_e: np.ndarray, flat_t: np.ndarray, n_t: np.ndarray) -> Iterator[tuple[int, int, float]]:
+    """(place of e, place of t, containment of e's word pairs in t's) of all pairs that may agree, of records at hand."""
+    width = sketch_words(int(n_e.max()).bit_length() - 1)
+    found = near(sketches(flat_e, n_e, width), n_e, sketches(flat_t, n_t, width), n_t)
+    return contained(flat_e, n_e, flat_t, n_t, ((i, j) for e, t in found for i, j in zip(e.tolist(), t.tolist())))
 
 
 def same_order(a: list, b: list) -> int:
@@ -169,27 +189,60 @@ def _word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 LINKS = "e bigint, t bigint, contained double, agreement double"
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of lists one after the other, and the lists' lengths."""
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.diff(column.offsets.to_numpy()).astype(np.int64)
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """class, words, first and last band -> class, n, band, the words' sketch for each of these bands."""
+    for batch in batches:
+        for last in set(batch.column(3).to_pylist()):
+            rows = batch.filter(pc.equal(batch.column(3), last))
+            flat, sizes = _lists(rows.column(1))
+            n, first, bits = pa.array(sizes.astype(np.int32)), rows.column(2).to_numpy(), sketches(flat, sizes, sketch_words(last))
+            for band in range(last, int(first.min()) - 1, -1):
+                # a sketch for the band below is half as wide, but for the least width
+                if bits.shape[1] > sketch_words(band):
+                    bits = bits[:, : bits.shape[1] // 2] ^ bits[:, bits.shape[1] // 2 :]
+                mine = np.flatnonzero(first <= band)
+                at = pa.array(mine)
+                held = pa.array([bits[i].tobytes() for i in mine.tolist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([rows.column(0).take(at), n.take(at), pa.array(np.full(len(mine), band, dtype=np.int32)), held], ["class", "n", "band", "bits"])
+
+
 def _cell(evaluation: pa.Table, training: pa.Table) -> pa.Table:
-    """The links between a block of evaluation classes and a chunk of training classes."""
+    """The pairs of an evaluation class in a block and a training class in a chunk that are near enough."""
 
     def side(rows: pa.Table):
-        words = rows.column(1).combine_chunks()
-        flat = words.flatten().to_numpy(zero_copy_only=False)
-        return rows.column(0).to_numpy(), flat.view(np.uint64), np.diff(words.offsets.to_numpy()).astype(np.int64)
-
-    out: list[tuple] = []
-    if not evaluation.num_rows or not training.num_rows:
-        return pa.table({c: pa.array([], k) for c, k in zip(("e", "t", "contained", "agreement"), (pa.int64(), pa.int64(), pa.float64(), pa.float64()))})
-    (own_e, flat_e, n_e), (own_t, flat_t, n_t) = side(evaluation), side(training)
-    ends_e, ends_t = np.cumsum(n_e), np.cumsum(n_t)
-    for i, j, contained in candidates(flat_e, n_e, flat_t, n_t):
-        if own_e[i] != own_t[j]:
-            longer = int(max(n_e[i], n_t[j]))
-            same = same_order(flat_e[ends_e[i] - n_e[i] : ends_e[i]].tolist(), flat_t[ends_t[j] - n_t[j] : ends_t[j]].tolist())
+        bits = b"".join(rows.column(2).to_pylist())
+        return rows.column(0).to_numpy(), rows.column(1).to_numpy().astype(np.int64), np.frombuffer(bits, dtype=np.uint64).reshape(rows.num_rows, -1)
+
+    e, t = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    if evaluation.num_rows and training.num_rows:
+        (own_e, n_e, bits_e), (own_t, n_t, bits_t) = side(evaluation), side(training)
+        for i, j in near(bits_e, n_e, bits_t, n_t):
+            e.append(own_e[i])
+            t.append(own_t[j])
+    e, t = np.concatenate(e), np.concatenate(t)
+    return pa.table({"e": e[e != t], "t": t[e != t]})
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """e, t, the words of both -> the links among them."""
+    for batch in batches:
+        (flat_e, n_e), (flat_t, n_t) = _lists(batch.column(2)), _lists(batch.column(3))
+        ends_e, ends_t = np.cumsum(n_e), np.cumsum(n_t)
+        places, shares, agreements = [], [], []
+        for i, _, share in contained(flat_e, n_e, flat_t, n_t, ((i, i) for i in range(batch.num_rows))):
+            longer = int(max(n_e[i], n_t[i]))
+            same = same_order(flat_e[ends_e[i] - n_e[i] : ends_e[i]].tolist(), flat_t[ends_t[i] - n_t[i] : ends_t[i]].tolist())
             if 5 * same >= FIFTHS * longer:
-                out.append((own_e[i], own_t[j], contained, same / longer))
-    e, t, contained, agreement = zip(*out) if out else ((), (), (), ())
-    return pa.table({"e": pa.array(e, pa.int64()), "t": pa.array(t, pa.int64()), "contained": pa.array(contained, pa.float64()), "agreement": pa.array(agreement, pa.float64())})
+                places.append(i)
+                shares.append(share)
+                agreements.append(same / longer)
+        rows = batch.take(pa.array(places, pa.int64()))
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(shares, pa.float64()), pa.array(agreements, pa.float64())], ["e", "t", "contained", "agreement"])
 
 
 def overlaps(records: DataFrame, record_id: Column, is_train: Column, text: Column) -> tuple[DataFrame, DataFrame]:
@@ -214,23 +267,29 @@ def overlaps(records: DataFrame, record_id: Column, is_train: Column, text: Colu
     def band(x: Column) -> Column:
         return F.length(F.bin(x)) - 1
 
-    # the lengths that can agree with n, as powers of two: one or two bands
-    near = F.sequence(band(F.floor((FIFTHS * F.col("n") + 4) / 5)), band(F.floor(5 * F.col("n") / FIFTHS)))
-    e = classes.where("in_eval AND n > 3").select("class", "words", "n", band(F.col("n")).alias("band"))
-    # named anew: both sides of a cogroup must not share columns
-    t = classes.where("in_train AND n > 3").select(F.col("class").alias("class_t"), F.col("words").alias("words_t"), "n", F.explode(near).alias("band"))
+    # the bands of the lengths that can agree with n, as powers of two: one or two
+    own_band, low, high = band(F.col("n")), band(F.floor((FIFTHS * F.col("n") + 4) / 5)), band(F.floor(5 * F.col("n") / FIFTHS))
+    e = classes.where("in_eval AND n > 3").select("class", "words", "n", own_band.alias("low"), own_band.alias("high"))
+    t = classes.where("in_train AND n > 3").select("class", "words", "n", low.alias("low"), high.alias("high"))
     # at most a row for each power of two
-    size_e, size_t = ({r["band"]: r["k"] for r in x.groupBy("band").agg(F.sum("n").alias("k")).collect()} for x in (e, t))
+    size_e, size_t = ({r["band"]: (r["k"], r["rows"]) for r in x.select("n", F.explode(F.sequence("low", "high")).alias("band")).groupBy("band").agg(F.sum("n").alias("k"), F.count("*").alias("rows")).collect()} for x in (e, t))
     both = sorted(set(size_e) & set(size_t))
     own = classes.where("in_eval AND in_train").select(F.col("class").alias("e"), F.col("class").alias("t"), F.lit(1.0).alias("contained"), F.lit(1.0).alias("agreement"))
     if not both:
         return own, members
-    blocks = F.element_at(F.create_map(*[F.lit(x) for b in both for x in (b, -(-size_e[b] // BLOCK_WORDS))]), F.col("band"))
-    chunks = F.element_at(F.create_map(*[F.lit(x) for b in both for x in (b, -(-size_t[b] // CHUNK_WORDS))]), F.col("band"))
-    e = e.where(F.col("band").isin(both)).select("class", "words", "band", F.pmod(F.xxhash64("class"), blocks).alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)).alias("chunk"))
-    t = t.where(F.col("band").isin(both)).select("class_t", "words_t", "band", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"), F.pmod(F.xxhash64("class_t"), chunks).alias("chunk"))
+
+    def parts(size: dict, most: int) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for b in both for x in (b, max(-(-size[b][0] // most), -(-size[b][1] // CELL_RECORDS)))]), F.col("band"))
+
+    blocks, chunks, first = parts(size_e, BLOCK_WORDS), parts(size_t, CHUNK_WORDS), F.lit(0).cast("bigint")
+    e, t = (x.select("class", "words", "low", "high").mapInArrow(_sketched, "class bigint, n int, band int, bits binary").where(F.col("band").isin(both)) for x in (e, t))
+    e = e.select("class", "n", "bits", "band", F.pmod(F.xxhash64("class"), blocks).alias("block"), F.explode(F.sequence(first, chunks - 1)).alias("chunk"))
+    # named anew: both sides of a cogroup must not share columns
+    t = t.select(F.col("class").alias("class_t"), F.col("n").alias("n_t"), F.col("bits").alias("bits_t"), "band", F.explode(F.sequence(first, blocks - 1)).alias("block"), F.pmod(F.xxhash64("class"), chunks).alias("chunk"))
     cell = ["band", "block", "chunk"]
-    links = e.groupBy(*cell).cogroup(t.groupBy(*cell)).applyInArrow(_cell, LINKS)
+    pairs = e.groupBy(*cell).cogroup(t.groupBy(*cell)).applyInArrow(_cell, "e bigint, t bigint")
+    words_e, words_t = (classes.where(side).select(F.col("class").alias(x), F.col("words").alias(f"words_{x}")) for x, side in (("e", "in_eval"), ("t", "in_train")))
+    links = pairs.join(words_e, "e").join(words_t, "t").select("e", "t", "words_e", "words_t").mapInArrow(_compared, LINKS)
     return links.unionByName(own), members
 
 
