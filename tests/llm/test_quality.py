@@ -41,3 +41,27 @@ def test_fitted_profiles_keep_the_kinds():
     assert own.structures["prose"] != P.structures["prose"] and len(own.classes) >= 1
     assert all(weigh(t, own)["kind"] == k for k in ("list", "table", "junk") for t in CASES[k][:2])
     assert fitted(Profiles(COMMON), []).structures == P.structures
+
+
+def test_profiles_are_fitted_on_every_text(spark):
+    """40 texts in 4,000 are lists of one structure; only a fit on all of them knows their mean to the last text."""
+    from turnloom.llm import quality as Q
+
+    rows = [(i, PROSE.replace("time", f"time {i}") + "\n- one\n- two" * (i % 3), "en") for i in range(4000)]
+    rows += [(4000 + i, "\n".join([PROSE] * (i % 2) + [f"- item {i}"] * 20), "en") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(7)
+    seen = []
+    fitted_on = Q.fitted_on
+
+    def noted(*args):
+        seen.append(fitted_on(*args))
+        return seen[0]
+
+    Q.fitted_on = noted
+    try:
+        got = {r.doc_id: r.kind for r in Q.text_stats(df, COMMON, fit=True).collect()}
+    finally:
+        Q.fitted_on = fitted_on
+    own = Q.fitted(Profiles(COMMON), [t for _, t, _ in rows])
+    assert seen[0].structures == own.structures and seen[0].classes == own.classes and seen[0].others == own.others
+    assert len(got) == 4040 and got == {i: weigh(t, own)["kind"] for i, t, _ in rows}

@@ -5,7 +5,8 @@ running text is prose only as far as its function words and character classes
 are distributed like those of prose in some language (Jensen-Shannon
 divergence).  The weights make a document's structural profile, and the nearest
 of four profiles, again by Jensen-Shannon divergence, is its kind.  The profiles
-of languages and structures are fitted on a bounded sample of the corpus.
+of languages and structures are fitted on all texts: each text is read once into
+its features, which no profile bears on, and the rounds of the fit read these.
 """
 
 from __future__ import annotations
@@ -16,21 +17,21 @@ import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.llm.words import any_forms
 from turnloom.registry import Registry
-from turnloom.session import few, table
+from turnloom.session import cut, few, table
 
 registry = Registry()
 
 KINDS = ("prose", "list", "table", "junk")
-#: Texts of each language label that profiles are fitted on, about.
-SAMPLE = 300
 #: Structural profiles from which fitting starts: shares of prose, item, row and noise characters.
 PROFILES = {"prose": (0.85, 0.09, 0.03, 0.03), "list": (0.12, 0.82, 0.03, 0.03), "table": (0.05, 0.05, 0.87, 0.03), "junk": (0.12, 0.03, 0.03, 0.82)}
 #: Classes of characters, and their shares in prose of unknown language, from which fitting starts.
@@ -73,6 +74,14 @@ def divergence(p, q) -> float:
     return max(0.0, out / 2)
 
 
+def divergences(p: np.ndarray, q) -> np.ndarray:
+    """The divergence of each row of ``p`` from ``q``."""
+    q = np.asarray(q, dtype=float)
+    m = (p + q) / 2
+    sides = (np.where(x > 0, x * np.log2(np.where(x > 0, x, 1.0) / np.where(m > 0, m, 1.0)), 0.0) for x in (p, np.broadcast_to(q, p.shape)))
+    return np.maximum(0.0, sum(x.sum(axis=1) for x in sides) / 2)
+
+
 def bare(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", word.lower().replace("đ", "d")) if not unicodedata.combining(c))
 
@@ -96,41 +105,43 @@ class Profiles:
             for w, v in self.weights[lang].items():
                 for form in {w, bare(w)}:
                     self.by_word.setdefault(form, []).append((lang, v))
-
-    def apart(self, classes: tuple[float, ...]) -> float:
-        """The least divergence of character classes from a language's prose."""
-        return min(divergence(classes, own) for own in self.classes)
-
-    def words(self, words: list[str]) -> tuple[float, float, str | None, float]:
-        """(share of common words, least divergence from a language's function words, that language, share of common words of two letters or more)."""
-        if not words:
-            return 0.0, 1.0, None, 0.0
-        counts: dict[str, dict[float, int]] = {}
-        hits = sure = 0
-        by_word = self.by_word
-        for w, n in Counter(words).items():
-            if langs := by_word.get(w):
-                hits += n
-                sure += n * (len(w) > 1 or w > "\u2fff")
-                for lang, v in langs:
-                    own = counts.setdefault(lang, {})
-                    own[v] = own.get(v, 0) + n
-        best, near = None, 1.0
-        for lang, c in counts.items():
-            # the distribution over the language's function words and all other words, against its prose's
-            other, apart = 1 - sum(c.values()) / len(words), 0.0
-            missing = 1 - self.others
-            for v, n in c.items():
-                a, b = n / len(words), (1 - self.others) * v
-                m = (a + b) / 2
-                apart += a * math.log2(a / m) + b * math.log2(b / m)
-                missing -= b
-            m = (other + self.others) / 2
-            # a word that doesn't stand adds its whole share
-            apart += (other * math.log2(other / m) if other > 0 else 0.0) + self.others * math.log2(self.others / m) + max(0.0, missing)
-            if (d := max(0.0, apart / 2)) < near:
-                best, near = lang, d
-        return hits / len(words), near, best, sure / len(words)
+        self.langs = langs
+        #: The number of each form; the kinds of function word, which are (place of the language, share), and those that a form can be.
+        self.forms = {w: i for i, w in enumerate(sorted(self.by_word))}
+        kinds = sorted({(langs.index(x), v) for own in self.by_word.values() for x, v in own})
+        number = {k: i for i, k in enumerate(kinds)}
+        own = [sorted({number[langs.index(x), v] for x, v in self.by_word[w]}) for w in self.forms]
+        self.lang_of, self.share_of = np.array([x for x, _ in kinds], dtype=np.int64), np.array([v for _, v in kinds])
+        self.can_be, self.how_many = np.array([k for x in own for k in x], dtype=np.int64), np.array([len(x) for x in own], dtype=np.int64)
+
+    def apart(self, classes: np.ndarray) -> np.ndarray:
+        """The least divergence of each row of character classes from a language's prose."""
+        return np.min([divergences(classes, own) for own in self.classes], axis=0)
+
+    def words(self, n_words: np.ndarray, text: np.ndarray, form: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(least divergence from a language's function words, that language's place or -1) of each text, whose ``form`` stands ``count`` times in ``text``."""
+        n_langs, n_kinds = len(self.langs), len(self.share_of)
+        if not len(form):
+            return np.ones(len(n_words)), np.full(len(n_words), -1)
+        many = self.how_many[form]
+        begin = (np.cumsum(self.how_many) - self.how_many)[form]
+        kind = self.can_be[np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+        # forms of one word count together
+        key, at = np.unique(np.repeat(text, many) * n_kinds + kind, return_inverse=True)
+        n = np.bincount(at, weights=np.repeat(count, many))
+        text, kind = key // n_kinds, key % n_kinds
+        # the distribution over the language's function words and all other words, against its prose's
+        a, b = n / n_words[text], (1 - self.others) * self.share_of[kind]
+        m, cell, size = (a + b) / 2, text * n_langs + self.lang_of[kind], len(n_words) * n_langs
+        apart, hit, met = (np.bincount(cell, weights=x, minlength=size).reshape(-1, n_langs) for x in (a * np.log2(a / m) + b * np.log2(b / m), n, b))
+        other = np.maximum(0.0, 1 - hit / np.maximum(n_words, 1)[:, None])
+        m = (other + self.others) / 2
+        # a word that doesn't stand adds its whole share
+        apart += np.where(other > 0, other * np.log2(np.where(other > 0, other, 1.0) / m), 0.0) + self.others * np.log2(self.others / m) + np.maximum(0.0, 1 - self.others - met)
+        apart = np.where(hit > 0, np.maximum(0.0, apart / 2), 1.0)
+        best = apart.argmin(axis=1)
+        far = apart[np.arange(len(best)), best]
+        return far, np.where(far < 1.0, best, -1)
 
 
 @cache
@@ -160,13 +171,12 @@ def _sign(ch: str) -> bool:
     return not (ch.isspace() or ch.isalnum() or unicodedata.category(ch)[0] == "M")
 
 
-def char_classes(chars: dict[str, int]) -> tuple[float, ...]:
-    """Shares of CLASSES, from how often each character stands."""
+def char_classes(chars: dict[str, int]) -> list[int]:
+    """How many characters of each of CLASSES stand, from how often each character stands."""
     n = [0] * len(CLASSES)
     for ch, k in chars.items():
         n[_class(ch)] += k
-    total = sum(n) or 1
-    return tuple(x / total for x in n)
+    return n
 
 
 def _rows(lines: list[str]) -> list[bool]:
@@ -226,8 +236,8 @@ def _loops(words: list[str], text: str) -> bool:
     return (len(text) >= 60 and len(zlib.compress(raw, 6)) < 0.15 * len(raw)) or (len(text) >= 30 and len(set(text)) <= 3)
 
 
-def weigh(text: str, profiles: Profiles) -> dict:
-    """The statistics of one text and its kind; ``text`` is neither null nor blank."""
+def features(text: str, profiles: Profiles) -> dict:
+    """What is known of one text before any profile is held against it; ``text`` is neither null nor blank."""
     lines = [x for x in (_LINE_END.split(text) if {"\x1c", "\x1d", "\x1e"} & set(text) else text.splitlines()) if x.strip()]
     spoken = any_forms().canonical(text)
     control = "[" in spoken and bool(_CONTROL.search(spoken))
@@ -242,7 +252,9 @@ def weigh(text: str, profiles: Profiles) -> dict:
         for t in tokens:
             words += profiles.pieces.findall(t) if _JA.search(t) else [t]
     n_words = len(words)
-    share, far, lang, sure = profiles.words(words)
+    hits = [(w, n) for w, n in Counter(words).items() if w in profiles.forms]
+    share = sum(n for _, n in hits) / n_words if n_words else 0.0
+    sure = sum(n for w, n in hits if len(w) > 1 or w > "\u2fff") / n_words if n_words else 0.0
     classes = char_classes(chars if spoken is text else Counter(spoken))
     signs = sum(k for c, k in chars.items() if _sign(c))
 
@@ -255,7 +267,7 @@ def weigh(text: str, profiles: Profiles) -> dict:
     log = bool(_LEVEL.search(text))
     is_row = _rows(lines) if len(lines) >= 3 else [False] * len(lines)
     rows = any(is_row)
-    weights = dict.fromkeys(KINDS, 0.0)
+    weights = dict.fromkeys(KINDS, 0)
     for i, x in enumerate(lines):
         size = len(x.strip())
         noise = (sum(map(len, _MARKUP.findall(x))) if markup else 0) + (4 * len(_MOJIBAKE.findall(x)) if mojibake else 0) + (sum(map(len, _BLOB.findall(x))) if blob else 0)
@@ -282,102 +294,187 @@ def weigh(text: str, profiles: Profiles) -> dict:
         else:
             weights["prose"] += size
     total = sum(weights.values()) or 1.0
-
-    # running text that isn't distributed like prose, or says the same for ever, is noise
-    apart = profiles.apart(classes)
     # a text of lists is short of function words, so only running text is held to them
-    if weights["table"] < 0.5 * total and _loops(words, text):
-        weights = {"prose": 0.0, "list": 0.0, "table": 0.0, "junk": total}
-    elif n_words >= 10 and weights["prose"] > 0 and weights["list"] + weights["table"] < 0.5 * total and (sure < SURE or far > profiles.far_words or (sure < 3 * SURE and sum(bool(_CLUSTER.search(w)) for w in words) > 0.15 * n_words)):
-        weights["junk"] += weights["prose"]
-        weights["prose"] = 0.0
-    elif not n_words or (apart > profiles.far_classes and share < 0.1 and not ja and weights["prose"] > 0.5 * total):
-        weights["junk"] += weights["prose"]
-        weights["prose"] = 0.0
-    p = [weights[k] / total for k in KINDS]
-    apart_of = {k: divergence(p, profiles.structures[k]) for k in KINDS}
-    kind = min(KINDS, key=lambda k: (apart_of[k], KINDS.index(k)))
+    running = n_words >= 10 and weights["prose"] > 0 and weights["list"] + weights["table"] < 0.5 * total
     return {
         "n_words": n_words,
         "mean_word_len": sum(map(len, words)) / n_words if n_words else 0.0,
         "symbol_ratio": signs / n_solid if n_solid else 0.0,
         "punct_line_share": sum(bool(_STOP.search(x)) for x in lines) / len(lines) if lines else 0.0,
         "common_word_share": share,
-        "word_divergence": far,
-        "class_divergence": apart,
-        "common_lang": lang,
-        "kind": kind,
-        "_profile": p,
-        "_classes": classes,
+        "weights": [weights[k] for k in KINDS],
+        "classes": classes,
+        "forms": [profiles.forms[w] for w, _ in hits],
+        "counts": [n for _, n in hits],
+        "ja": ja,
+        "loops": weights["table"] < 0.5 * total and _loops(words, text),
+        "running": running,
+        "odd": running and (sure < SURE or (sure < 3 * SURE and sum(bool(_CLUSTER.search(w)) for w in words) > 0.15 * n_words)),
     }
 
 
 STATS = "n_words int, mean_word_len double, symbol_ratio double, punct_line_share double, common_word_share double, word_divergence double, class_divergence double, common_lang string, kind string"
+#: A blank text has no weights.
+FEATURES = "n_words int, mean_word_len double, symbol_ratio double, punct_line_share double, common_word_share double, weights array<int>, classes array<int>, forms array<int>, counts array<int>, ja boolean, loops boolean, running boolean, odd boolean"
+_ARROW = {"int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32())}
+_BLANK = {"n_words": 0, "mean_word_len": 0.0, "symbol_ratio": 0.0, "punct_line_share": 0.0, "common_word_share": 0.0, "weights": [], "classes": [], "forms": [], "counts": [], "ja": False, "loops": False, "running": False, "odd": False}
+
+
+def _fields(ddl: str) -> list[tuple[str, pa.DataType]]:
+    return [(x.split()[0], _ARROW[x.split()[1]]) for x in ddl.split(", ")]
+
 
+def read(texts: list[str | None], profiles: Profiles) -> pa.Table:
+    """The features of texts."""
+    rows = [features(t, profiles) if t and t.strip() else _BLANK for t in texts]
+    return pa.table({n: pa.array([r[n] for r in rows], k) for n, k in _fields(FEATURES)})
 
-def text_stats(docs: DataFrame, common: list[tuple[str, int, str]], doc_id: str = "doc_id", text: str = "text", texts: list[str] | None = None) -> DataFrame:
+
+def judge(read: pa.Table | pa.RecordBatch, profiles: Profiles) -> dict[str, np.ndarray]:
+    """From features, each text's divergences, places of its language in ``profiles.langs`` and of its kind in KINDS (-1: none), and structure and character classes in shares."""
+
+    def values(name: str) -> np.ndarray:
+        return read.column(name).to_numpy(zero_copy_only=False) if isinstance(read, pa.RecordBatch) else read.column(name).to_numpy()
+
+    def flat(name: str) -> tuple[np.ndarray, np.ndarray]:
+        c = read.column(name)
+        c = c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
+        return c.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.diff(c.offsets.to_numpy())
+
+    n_words, share = values("n_words").astype(np.int64), values("common_word_share")
+    ja, loops, running, odd = (values(x).astype(bool) for x in ("ja", "loops", "running", "odd"))
+    given, sizes = flat("weights")
+    there = sizes > 0
+    weights, classes = np.zeros((len(there), len(KINDS))), np.zeros((len(there), len(CLASSES)))
+    weights[there], classes[there] = given.reshape(-1, len(KINDS)), flat("classes")[0].reshape(-1, len(CLASSES))
+    (form, many), (count, _) = flat("forms"), flat("counts")
+    far, lang = profiles.words(n_words, np.repeat(np.arange(len(many)), many), form, count)
+    total = weights.sum(axis=1)
+    total[total == 0] = 1.0
+    classes /= np.maximum(1.0, classes.sum(axis=1))[:, None]
+    apart = profiles.apart(classes)
+    prose, junk = KINDS.index("prose"), KINDS.index("junk")
+    # running text that isn't distributed like prose, or says the same for ever, is noise
+    unlike = (running & (odd | (far > profiles.far_words))) | (n_words == 0) | ((apart > profiles.far_classes) & (share < 0.1) & ~ja & (weights[:, prose] > 0.5 * total))
+    weights[unlike, junk] += weights[unlike, prose]
+    weights[unlike, prose] = 0.0
+    weights[loops] = 0.0
+    weights[loops, junk] = total[loops]
+    shares = weights / total[:, None]
+    kind = np.argmin([divergences(shares, profiles.structures[k]) for k in KINDS], axis=0)
+    return {"word_divergence": far, "class_divergence": np.where(there, apart, 0.0 + ~there), "lang": lang, "kind": np.where(there, kind, -1), "shares": shares, "classes": classes}
+
+
+def weigh(text: str, profiles: Profiles) -> dict:
+    """The statistics of one text and its kind; ``text`` is neither null nor blank."""
+    return _stated(read([text], profiles), profiles).to_pylist()[0]
+
+
+def _stated(read: pa.Table | pa.RecordBatch, profiles: Profiles) -> pa.Table:
+    """STATS from features."""
+    told = judge(read, profiles)
+    names = np.array([*profiles.langs, None], dtype=object), np.array([*KINDS, None], dtype=object)
+    own = {"word_divergence": told["word_divergence"], "class_divergence": told["class_divergence"], "common_lang": names[0][told["lang"]], "kind": names[1][told["kind"]]}
+    return pa.table({n: pa.array(own[n], k) if n in own else read.column(n) for n, k in _fields(STATS)})
+
+
+def text_stats(docs: DataFrame, common: list[tuple[str, int, str]], doc_id: str = "doc_id", text: str = "text", fit: bool = False) -> DataFrame:
     """(doc_id, the statistics, kind) of every row of ``docs``.
 
     Words are runs of letters and digits, in Japanese the common words and else
     single characters.  A null, empty or blank text has 0 words, zeros and the kind
-    null.  ``common`` are (lang, rank, word); ``texts`` are what profiles are fitted
-    on, without which they stay as they begin.  Whole texts are read; other columns
+    null.  ``common`` are (lang, rank, word); with ``fit`` profiles are fitted on all
+    of ``docs``, else they stay as they begin.  Whole texts are read; other columns
     don't matter.
     """
-    profiles = fitted(Profiles(common), texts or [])
+    profiles = Profiles(common)
     id_type = docs.schema[doc_id].dataType.simpleString()
-    names = [x.split()[0] for x in STATS.split(", ")]
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = read(batch.column(1).to_pylist(), profiles).combine_chunks()
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[c.combine_chunks() for c in rows.columns]], [doc_id, *rows.column_names])
+
+    found = docs.select(doc_id, text).mapInArrow(known, f"`{doc_id}` {id_type}, {FEATURES}")
+    if fit:
+        found = cut(found)
+        own = fitted_on(found, profiles)
+    else:
+        own = profiles
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"int": pa.int32(), "double": pa.float64(), "string": pa.string()}
-        none = {"n_words": 0, "mean_word_len": 0.0, "symbol_ratio": 0.0, "punct_line_share": 0.0, "common_word_share": 0.0, "word_divergence": 1.0, "class_divergence": 1.0, "common_lang": None, "kind": None}
         for batch in batches:
-            rows = [weigh(t, profiles) if t and t.strip() else none for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[n] for r in rows], kinds[x.split()[1]]) for n, x in zip(names, STATS.split(", "))]], [doc_id, *names])
+            rows = _stated(batch, own)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[c.combine_chunks() for c in rows.columns]], [doc_id, *rows.column_names])
+
+    return found.mapInArrow(tell, f"`{doc_id}` {id_type}, {STATS}")
+
+
+#: Shares are summed as whole numbers of this fraction, so that sums don't depend on their order.
+_UNIT = 1 << 32
 
-    return docs.select(doc_id, text).mapInArrow(tell, f"`{doc_id}` {id_type}, {STATS}")
 
+def gathered(read: pa.Table | pa.RecordBatch, profiles: Profiles) -> dict[tuple[str, int], tuple[int, int]]:
+    """(texts, sum in units) by what is fitted and place: the structure of each kind, the character classes of each language's prose, the share of common words in prose."""
+    told, n_words, share = judge(read, profiles), np.asarray(read.column("n_words")), np.asarray(read.column("common_word_share"))
+    prose = (told["kind"] == KINDS.index("prose")) & (n_words >= 20)
+    parts = [(f"kind {k}", told["kind"] == i, told["shares"]) for i, k in enumerate(KINDS)]
+    parts += [(f"lang {x}", prose & (told["lang"] == i), told["classes"]) for i, x in enumerate(profiles.langs)]
+    parts += [("common", prose, share[:, None])]
+    return {(name, i): (int(rows.sum()), int(np.rint(of[rows, i] * _UNIT).astype(np.int64).sum())) for name, rows, of in parts if rows.any() for i in range(of.shape[1])}
 
-def fitted(profiles: Profiles, texts: list[str], rounds: int = 2, least: int = 20) -> Profiles:
+
+def refitted(profiles: Profiles, sums: dict[tuple[str, int], tuple[int, int]], least: int) -> Profiles:
+    """``profiles`` with the means of ``sums``; what has fewer than ``least`` texts stays as it is."""
+
+    def mean(name: str, size: int) -> tuple[float, ...] | None:
+        return tuple(sums[name, i][1] / (sums[name, i][0] * _UNIT) for i in range(size)) if sums.get((name, 0), (0, 0))[0] >= least else None
+
+    for k in KINDS:
+        profiles.structures[k] = mean(f"kind {k}", len(KINDS)) or profiles.structures[k]
+    profiles.classes = [c for x in profiles.langs if (c := mean(f"lang {x}", len(CLASSES)))] or profiles.classes
+    if common := mean("common", 1):
+        profiles.others = 1 - common[0]
+    return profiles
+
+
+def fitted(profiles: Profiles, texts: list[str | None], rounds: int = 2, least: int = 20) -> Profiles:
     """``profiles`` with the structural profiles, the character classes of each language's prose and the share of its words that are no function words as they are in ``texts``.
 
     Each round weighs the texts by the profiles so far and takes the mean of what
     it told; kinds and languages of fewer than ``least`` texts keep their profile.
     """
-    for _ in range(rounds):
-        told = [weigh(t, profiles) for t in texts if t and t.strip()]
-        for kind in KINDS:
-            own = [r["_profile"] for r in told if r["kind"] == kind]
-            if len(own) >= least:
-                profiles.structures[kind] = tuple(sum(x) / len(own) for x in zip(*own))
-        prose = [r for r in told if r["kind"] == "prose" and r["n_words"] >= 20]
-        classes = []
-        for lang in sorted(profiles.weights):
-            own = [r["_classes"] for r in prose if r["common_lang"] == lang]
-            if len(own) >= least:
-                classes.append(tuple(sum(x) / len(own) for x in zip(*own)))
-        profiles.classes = classes or profiles.classes
-        if len(prose) >= least:
-            profiles.others = 1 - sum(r["common_word_share"] for r in prose) / len(prose)
+    rows = read(texts, profiles)
+    for _ in range(rounds if texts else 0):
+        refitted(profiles, gathered(rows, profiles), least)
     return profiles
 
 
-def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", n: int = SAMPLE) -> list[str]:
-    """About ``n`` texts of each language label, chosen by a hash of their id and read whole: the bounded sample of the fit."""
-    label = F.coalesce(F.col(lang), F.lit(""))
-    rows = docs.where(F.length(text) > 0)
-    counts = {r["label"]: r["k"] for r in few(rows.groupBy(label.alias("label")).agg(F.count("*").alias("k")), 1000, "language labels")}
-    if not counts:
-        return []
-    share = F.element_at(F.create_map(*[F.lit(x) for code, k in counts.items() for x in (code, n / k)]), label)
-    return [r[0] for r in rows.where(F.pmod(F.xxhash64(doc_id), F.lit(1_000_000)) < share * 1_000_000).select(text).collect()]
+def fitted_on(found: DataFrame, profiles: Profiles, rounds: int = 2, least: int = 20) -> Profiles:
+    """The same as ``fitted``, on all texts whose features are in ``found``."""
+    own = copy(profiles)
+    own.structures = dict(profiles.structures)
+    for _ in range(rounds):
+
+        def sums(batches: Iterator[pa.RecordBatch], own: Profiles = own) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows and (of := gathered(batch, own)):
+                    names, places = zip(*of)
+                    n, total = zip(*of.values())
+                    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(places, pa.int32()), pa.array(n, pa.int64()), pa.array(total, pa.int64())], ["name", "place", "n", "total"])
+
+        rows = found.drop(found.columns[0]).mapInArrow(sums, "name string, place int, n bigint, total bigint")
+        # a row for each kind or language and place, whatever the texts
+        rows = rows.groupBy("name", "place").agg(F.sum("n").alias("n"), F.sum(F.col("total").cast("decimal(20,0)")).alias("total"))
+        refitted(own, {(r["name"], r["place"]): (r["n"], int(r["total"])) for r in few(rows, 100_000, "means of profiles")}, least)
+    return own
 
 
 def _stats(spark, sf_dir: str) -> DataFrame:
     # a small fixed table: the most common words of each language
     common = [(r["lang"], r["freq_no"], r["word"]) for r in few(table(spark, sf_dir, "common_words"), 100_000, "common words")]
     docs = table(spark, sf_dir, "documents")
-    return text_stats(docs, common, texts=sample(docs))
+    return text_stats(docs, common, fit=True)
 
 
 @registry.query("p10_found")
